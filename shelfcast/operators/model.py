@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -125,14 +126,19 @@ def residual_gbt(frame: DataFrame, is_train: Column) -> DataFrame:
     aggregation of split statistics over the rows.
     """
     residuals = with_residual(frame)
-    result = residuals
-    for name in TARGETS:
+
+    def fit(name: str):
         label = f"{name}_residual"
-        fit = GBTRegressor(
+        return GBTRegressor(
             featuresCol="features", labelCol=label, predictionCol=f"{name}_residual_pred", seed=SEED,
             maxIter=TREES, maxDepth=TREE_DEPTH, stepSize=LEARNING_RATE,
         ).fit(residuals.where(is_train & F.col(label).isNotNull()).select("features", label))
-        result = fit.transform(result)
+
+    with ThreadPoolExecutor(len(TARGETS)) as fits:
+        models = list(fits.map(fit, TARGETS))
+    result = residuals
+    for fitted in models:
+        result = fitted.transform(result)
     return result
 
 

@@ -262,7 +262,7 @@ BODIES: dict[str, str] = {
         from stg_inventory""",
     "mart_operations": f"""
         select coalesce(o.month, l.month, i.month) as month, o.orders, o.cancel_rate, l.mean_lead_days, l.return_rate,
-               i.fill_rate, i.stockout_rate
+               round(i.fill_rate, 6) as fill_rate, round(i.stockout_rate, 6) as stockout_rate
         from (select {month("order_date")} as month, count(*) as orders,
                      {ratio("count(*) filter (is_cancelled)", "count(*)")} as cancel_rate
               from stg_orders group by 1) o
@@ -362,11 +362,18 @@ BODIES: dict[str, str] = {
                coalesce(p.max_discount_depth, 0) as max_discount_depth,
                coalesce(p.is_stackable_day, false) as is_stackable_day
         from dim_days d left join promo_signals p on d.date = p.date""",
-    "feat_traffic": "select * from daily_traffic",
+    "feat_traffic": """
+        select date, session_count, round(mean_session_seconds, 6) as mean_session_seconds, unique_visitors,
+               round(bounce_rate, 6) as bounce_rate
+        from daily_traffic""",
     "feat_age_groups": f"select date, {', '.join(AGE_FEATURES)} from daily_operations",
-    "feat_cancel_rate": "select date, cancel_rate from daily_operations",
-    "feat_order_volume": "select date, aov, item_sold, unique_order from daily_operations",
-    "feat_inventory_health": "select * from daily_inventory",
+    "feat_cancel_rate": "select date, round(cancel_rate, 6) as cancel_rate from daily_operations",
+    "feat_order_volume": """
+        select date, round(aov, 6) as aov, item_sold, unique_order from daily_operations""",
+    "feat_inventory_health": """
+        select date, round(fill_rate, 6) as fill_rate, round(stockout_rate, 6) as stockout_rate,
+               round(overstock_rate, 6) as overstock_rate, round(sell_through, 6) as sell_through
+        from daily_inventory""",
     "feat_business_diagnostic": """
         select date, return_amount, shipping_fee, cogs, profit from daily_operations""",
     "feat_expected_mean": f"""

@@ -280,11 +280,11 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "feat_season": lambda w: features.feat_season(w.table("dim_date")),
     "feat_sincos365": lambda w: features.feat_sincos365(w.table("dim_date")),
     "feat_promotion": lambda w: features.feat_promotion(w.table("dim_date"), w.table("dim_promotion")),
-    "feat_traffic": _plain("daily_traffic"),
+    "feat_traffic": lambda w: features.feat_traffic(w.table("daily_traffic")),
     "feat_age_groups": lambda w: features.feat_age_groups(w.table("daily_operations")),
     "feat_cancel_rate": lambda w: features.feat_cancel_rate(w.table("daily_operations")),
     "feat_order_volume": lambda w: features.feat_order_volume(w.table("daily_operations")),
-    "feat_inventory_health": _plain("daily_inventory"),
+    "feat_inventory_health": lambda w: features.feat_inventory_health(w.table("daily_inventory")),
     "feat_business_diagnostic": lambda w: features.feat_business_diagnostic(w.table("daily_operations")),
     "feat_expected_mean": _expected_mean,
     "feat_expected_median": _expected_median,

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -37,6 +38,7 @@ LAYERS: dict[str, tuple[str, ...]] = {
         "mart_sales_forecast_ready",
     ),
     "validation": ("sales_reconciliation",),
+    "metadata": ("quality_report", "processed_table_summary", "table_inventory"),
 }
 
 # Date column that gives the year partition of a published table.
@@ -61,6 +63,10 @@ TABLE_DATES = {
 }
 
 
+# Tables of one layer written at the same time.
+WRITERS = 8
+
+
 class Warehouse:
     """Tables by name. A table is a lazy plan over its inputs unless it was published;
     then its files are read, and everything above it builds on them."""
@@ -93,25 +99,24 @@ class Warehouse:
             self._published.add(name)
         return self._tables[name]
 
-    def publish(self, layer: str, name: str, root: str) -> DataFrame:
-        """Write one table; later tables read the files instead of recomputing it."""
-        df = self.table(name)
-        path = os.path.join(root, layer, name)
-        year_of = YEAR_OF.get(name)
-        publish_table(df, path, year_of)
-        columns = df.schema if year_of is None or "year" in df.columns else T.StructType([*df.schema.fields, T.StructField("year", T.IntegerType())])
-        self._tables[name] = self.spark.read.schema(columns).parquet(path).select(*df.columns)
-        self._published.add(name)
-        return self._tables[name]
+    def publish_layer(self, layer: str, names: Sequence[str], root: str) -> list[tuple[str, str, DataFrame]]:
+        """Write the tables of one layer side by side; later layers read the files."""
+        frames = {name: self.table(name) for name in names}
+        paths = {name: os.path.join(root, layer, name) for name in names}
+        with ThreadPoolExecutor(WRITERS) as writers:
+            for _ in writers.map(lambda name: publish_table(frames[name], paths[name], YEAR_OF.get(name)), names):
+                pass
+        for name, df in frames.items():
+            columns = df.schema
+            if name in YEAR_OF and "year" not in df.columns:
+                columns = T.StructType([*columns.fields, T.StructField("year", T.IntegerType())])
+            self._tables[name] = self.spark.read.schema(columns).parquet(paths[name]).select(*df.columns)
+            self._published.add(name)
+        return [(layer, name, self._tables[name]) for name in names]
 
     def publish_all(self, root: str) -> list[tuple[str, str, DataFrame]]:
-        """Every layer in build order, then the metadata tables."""
-        written = [
-            (layer, name, self.publish(layer, name, root)) for layer, names in LAYERS.items() for name in names
-        ]
-        for name in ("quality_report", "processed_table_summary", "table_inventory"):
-            written.append(("metadata", name, self.publish("metadata", name, root)))
-        return written
+        """Every layer in build order. A layer builds on the files of the layers before it."""
+        return [table for layer, names in LAYERS.items() for table in self.publish_layer(layer, names, root)]
 
     def is_train(self):
         return FORECAST_WINDOW.is_train()
@@ -214,10 +219,10 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "mart_sales_forecast_ready": _forecast_ready,
     "daily_operations": lambda w: features.daily_operations(w.table("fact_orders"), w.table("dim_customer")),
-    "daily_inventory": lambda w: features.feat_inventory_health(
+    "daily_inventory": lambda w: features.daily_inventory(
         w.table("dim_date"), marts.monthly_inventory(w.table("fact_inventory_snapshot"))
     ),
-    "daily_traffic": lambda w: features.feat_traffic(w.table("sessions")),
+    "daily_traffic": lambda w: features.daily_traffic(w.table("sessions")),
     "sales_reconciliation": lambda w: quality.sales_reconciliation(w.table("sales"), w.sales_lines()),
     "quality_report": _quality_report,
     "link_check": lambda w: cleaning.clean_link_check(_links(w)),

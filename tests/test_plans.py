@@ -1,0 +1,56 @@
+"""Physical plans: no pair-wise joins, no Python, pruned scans, pushed filters."""
+
+import contextlib
+import io
+import re
+
+import pytest
+
+from shelfcast.plans.queries import PLANS, run
+from shelfcast.plans.warehouse import Warehouse
+
+# These run jobs while they are built.
+EAGER = {
+    "forecast_publish", "layer_publish", "residual_gbt", "hybrid_forecast", "trend_huber", "quality_report",
+    "table_inventory",
+}
+
+
+def plan_of(df) -> str:
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
+
+
+@pytest.mark.parametrize("name", sorted(set(PLANS) - EAGER))
+def test_no_cross_join_and_no_python(spark, small, name):
+    plan = plan_of(run(name, spark, small))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "MapInArrow"):
+        assert node not in plan, node
+
+
+def test_scan_reads_only_used_columns(spark, small):
+    plan = plan_of(Warehouse(spark, small).table("sales"))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    columns = sorted(c.split(":")[0] for schema in schemas for c in schema.split(","))
+    assert columns == [
+        "l_orderkey", "l_partkey", "l_quantity", "o_orderdate", "o_orderkey", "o_totalprice", "p_partkey",
+        "p_retailprice",
+    ]
+
+
+def test_date_filter_reaches_the_scan(spark, small):
+    w = Warehouse(spark, small)
+    plan = plan_of(w.table("sales").where(w.is_train()))
+    assert "LessThan(o_orderdate,2001-01-01T00:00)" in plan
+
+
+def test_revenue_alone_does_not_read_lines(spark, small):
+    plan = plan_of(Warehouse(spark, small).table("sales").select("date", "revenue"))
+    assert "l_orderkey" not in plan
+
+
+def test_payment_join_disappears_when_unused(spark, small):
+    plan = plan_of(Warehouse(spark, small).table("fact_sales_item").groupBy("region").count())
+    assert "o_orderpriority" not in plan

@@ -1,0 +1,46 @@
+import datetime as dt
+
+from shelfcast.operators.features import feat_promotion
+from shelfcast.operators.promotions import leading_promo
+from shelfcast.plans.marts import mart_promotion_effectiveness
+
+D = [dt.date(2001, 1, i) for i in range(1, 11)]
+PROMOS = [
+    (0, D[1], D[4], 10, False, "A"), (1, D[3], D[6], 30, True, "A"), (2, D[8], D[8], 95, False, "B"),
+    (3, D[3], D[3], 80, False, "B"),
+]
+SCHEMA = "promo_id int, start_date date, end_date date, discount_pct int, stackable boolean, category string"
+
+
+def test_daily_signals_include_both_ends(spark):
+    dates = spark.createDataFrame([(d,) for d in D], "date date")
+    got = {
+        r["date"].day: (r["active_promo_count"], r["max_discount_depth"], r["is_stackable_day"])
+        for r in feat_promotion(dates, spark.createDataFrame(PROMOS, SCHEMA)).collect()
+    }
+    assert got == {
+        1: (0, 0, False), 2: (1, 10, False), 3: (1, 10, False), 4: (3, 100, True), 5: (2, 40, True),
+        6: (1, 30, True), 7: (1, 30, True), 8: (0, 0, False), 9: (1, 95, False), 10: (0, 0, False),
+    }
+
+
+def test_leading_promo_is_the_deepest_of_a_category(spark):
+    lead = {(r["date"].day, r["category"]): r["promo_id"] for r in
+            leading_promo(spark.createDataFrame(PROMOS, SCHEMA)).collect()}
+    assert lead == {(2, "A"): 0, (3, "A"): 0, (4, "A"): 1, (5, "A"): 1, (6, "A"): 1, (7, "A"): 1,
+                    (9, "B"): 2, (4, "B"): 3}
+
+
+def test_effectiveness_compares_inside_with_outside(spark):
+    lines = spark.createDataFrame(
+        [(D[0], "A", 10.0, 1.0), (D[2], "A", 40.0, 2.0), (D[2], "A", 20.0, 3.0), (D[9], "A", 30.0, 4.0),
+         (D[8], "C", 5.0, 0.0)],
+        "order_date date, category string, net double, discount double",
+    )
+    got = {r["promo_id"]: r for r in
+           mart_promotion_effectiveness(lines, spark.createDataFrame(PROMOS, SCHEMA)).collect()}
+    assert (got[0]["active_days"], got[0]["revenue_inside"], got[0]["discount_amount"]) == (1, 60, 5)
+    assert (got[0]["revenue_per_active_day"], got[0]["revenue_per_other_day"], got[0]["lift"]) == (60.0, 20.0, 2.0)
+    assert (got[1]["active_days"], got[1]["revenue_per_active_day"], got[1]["lift"]) == (0, None, None)
+    assert (got[2]["active_days"], got[2]["revenue_per_other_day"]) == (0, None)
+    assert len(got) == 4

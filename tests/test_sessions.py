@@ -1,0 +1,63 @@
+import datetime as dt
+import random
+from collections import defaultdict
+
+import pytest
+
+from shelfcast.operators.sessions import web_sessions
+
+START = dt.datetime(2024, 1, 1, 0, 10)
+GAP = dt.timedelta(minutes=30)
+SCHEMA = "event_id long, ts timestamp_ntz, visitor long, source string"
+
+
+def direct_sessions(rows):
+    by_visitor = defaultdict(list)
+    for event_id, ts, visitor, source in rows:
+        by_visitor[visitor].append((ts, event_id, source))
+    sessions = set()
+    for visitor, events in by_visitor.items():
+        events.sort()
+        current = [events[0]]
+        for event in events[1:]:
+            if event[0] - current[-1][0] > GAP:
+                sessions.add((visitor, current[0][0], current[-1][0], len(current), current[0][2]))
+                current = []
+            current.append(event)
+        sessions.add((visitor, current[0][0], current[-1][0], len(current), current[0][2]))
+    return sessions
+
+
+def as_set(df):
+    return {(r["visitor"], r["start_ts"], r["end_ts"], r["events"], r["source"]) for r in df.collect()}
+
+
+def test_exact_gap_stays_and_one_microsecond_more_splits(spark):
+    rows = [(1, START, 1, "a"), (2, START + GAP, 1, "b"), (3, START + 2 * GAP + dt.timedelta(microseconds=1), 1, "c")]
+    got = web_sessions(spark.createDataFrame(rows, SCHEMA))
+    assert as_set(got) == direct_sessions(rows)
+    assert [(r["length_us"], r["bounced"]) for r in got.orderBy("start_ts").collect()] == [
+        (1800 * 10**6, False), (0, True),
+    ]
+
+
+def test_same_instant_opens_with_lowest_event_id(spark):
+    rows = [(9, START, 1, "late"), (4, START, 1, "early")]
+    assert as_set(web_sessions(spark.createDataFrame(rows, SCHEMA))) == {(1, START, START, 2, "early")}
+
+
+def test_long_length_crosses_days(spark):
+    rows = [(i, START + i * dt.timedelta(minutes=29), 1, "a") for i in range(120)]
+    got = web_sessions(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [r["length_us"] for r in got] == [119 * 29 * 60 * 10**6]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_events_with_one_hot_visitor(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(1500):
+        visitor = 0 if rng.random() < 0.4 else rng.randrange(1, 12)
+        micros = rng.randrange(0, 10 * 86400 * 10**6)
+        rows.append((i, START + dt.timedelta(microseconds=micros), visitor, rng.choice("abc")))
+    assert as_set(web_sessions(spark.createDataFrame(rows, SCHEMA))) == direct_sessions(rows)
