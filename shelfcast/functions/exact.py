@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-RATIO_DIGITS = 6
-
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -26,12 +24,9 @@ def line_amount(value: Column) -> Column:
     return value.cast("decimal(18,4)")
 
 
-def ratio(numerator: Column | str, denominator: Column | str, digits: int = RATIO_DIGITS) -> Column:
-    """Rounded quotient; NULL for a zero or missing denominator."""
-    return F.round(raw_ratio(numerator, denominator), digits)
-
-
-def raw_ratio(numerator: Column | str, denominator: Column | str) -> Column:
+def ratio(numerator: Column | str, denominator: Column | str) -> Column:
+    """Quotient as DOUBLE; NULL for a zero or missing denominator. Exact sums make it exact
+    too: one division of the same two numbers gives the same bits everywhere."""
     return F.try_divide(_col(numerator).cast("double"), _col(denominator).cast("double"))
 
 
@@ -39,11 +34,6 @@ def count_if(condition: Column) -> Column:
     return F.sum(condition.cast("int"))
 
 
-def clean_number(name: str) -> Column:
-    """NaN counts as missing, as it does in a pandas frame."""
-    return F.when(~F.isnan(name), F.col(name)).alias(name)
-
-
 def doubles(df: DataFrame) -> DataFrame:
     """Decimal columns as DOUBLE, for results that leave the warehouse."""
     return df.select(

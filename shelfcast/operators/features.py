@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.functions.calendar import is_weekend, month_start, season, year_angle
-from shelfcast.functions.exact import count_if, raw_ratio
+from shelfcast.functions.exact import count_if, ratio
 from shelfcast.operators.promotions import daily_promo_signals
 
 # The customer groups that play the age groups.
@@ -58,9 +58,9 @@ def daily_traffic(sessions: DataFrame) -> DataFrame:
     """Per day of the session start: both readings of "session" (count and mean length)."""
     return sessions.groupBy("date").agg(
         F.count("*").alias("session_count"),
-        raw_ratio(F.sum("length_us") / F.lit(1e6), F.count("*")).alias("mean_session_seconds"),
+        ratio(F.sum("length_us") / F.lit(1e6), F.count("*")).alias("mean_session_seconds"),
         F.countDistinct("visitor").alias("unique_visitors"),
-        raw_ratio(count_if(F.col("bounced")), F.count("*")).alias("bounce_rate"),
+        ratio(count_if(F.col("bounced")), F.count("*")).alias("bounce_rate"),
     )
 
 
@@ -76,8 +76,8 @@ def daily_operations(orders: DataFrame, customers: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("unique_order"),
             F.sum("units").cast("double").alias("item_sold"),
-            raw_ratio(F.sum("payment_value"), F.count("*")).alias("aov"),
-            raw_ratio(count_if(F.col("is_cancelled")), F.count("*")).alias("cancel_rate"),
+            ratio(F.sum("payment_value"), F.count("*")).alias("aov"),
+            ratio(count_if(F.col("is_cancelled")), F.count("*")).alias("cancel_rate"),
             F.sum("return_amount").cast("double").alias("return_amount"),
             F.sum("shipping_fee").cast("double").alias("shipping_fee"),
             F.sum("cogs").cast("double").alias("cogs"),
@@ -96,34 +96,28 @@ def daily_inventory(dates: DataFrame, monthly: DataFrame) -> DataFrame:
     )
 
 
-def _shown(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Daily frames keep full precision for the expected values; what is shown is rounded."""
-    kinds = dict(df.dtypes)
-    return df.select("date", *[F.round(c, 6).alias(c) if kinds[c] == "double" else c for c in columns])
-
-
 def feat_traffic(traffic: DataFrame) -> DataFrame:
-    return _shown(traffic, TRAFFIC_FEATURES)
+    return traffic.select("date", *TRAFFIC_FEATURES)
 
 
 def feat_age_groups(operations: DataFrame) -> DataFrame:
-    return _shown(operations, AGE_FEATURES)
+    return operations.select("date", *AGE_FEATURES)
 
 
 def feat_cancel_rate(operations: DataFrame) -> DataFrame:
-    return _shown(operations, ("cancel_rate",))
+    return operations.select("date", "cancel_rate")
 
 
 def feat_order_volume(operations: DataFrame) -> DataFrame:
-    return _shown(operations, ("aov", "item_sold", "unique_order"))
+    return operations.select("date", "aov", "item_sold", "unique_order")
 
 
 def feat_business_diagnostic(operations: DataFrame) -> DataFrame:
-    return _shown(operations, DIAGNOSTIC_FEATURES)
+    return operations.select("date", *DIAGNOSTIC_FEATURES)
 
 
 def feat_inventory_health(inventory: DataFrame) -> DataFrame:
-    return _shown(inventory, INVENTORY_FEATURES)
+    return inventory.select("date", *INVENTORY_FEATURES)
 
 
 def calendar_expectation(

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.functions.calendar import calendar_parts
-from shelfcast.functions.exact import raw_ratio
+from shelfcast.functions.exact import ratio
 from shelfcast.functions.params import attach_params
 
 TARGETS = ("revenue", "cogs")
@@ -53,7 +53,7 @@ def yoy_change(annual: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return (
         annual.withColumns({f"last_{t}": F.lag(t).over(by_year) for t in TARGETS})
         .where(F.col("last_revenue").isNotNull())
-        .select(*keys, "year", *[(raw_ratio(t, f"last_{t}") - 1).alias(f"{t}_change") for t in TARGETS])
+        .select(*keys, "year", *[(ratio(t, f"last_{t}") - 1).alias(f"{t}_change") for t in TARGETS])
     )
 
 
@@ -75,7 +75,7 @@ def year_mean_normalise(series: DataFrame, keys: Sequence[str] = ()) -> DataFram
     parts = calendar_parts(series)
     return parts.withColumns(
         {
-            f"{t}_norm": raw_ratio(t, raw_ratio(F.sum(t).over(one_year), F.count(t).over(one_year)))
+            f"{t}_norm": ratio(t, ratio(F.sum(t).over(one_year), F.count(t).over(one_year)))
             for t in TARGETS
         }
     )
@@ -161,7 +161,7 @@ def forecast_mape(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean absolute percentage error per target; a zero actual has none and is left out."""
     return scored.groupBy(*keys).agg(
         *[
-            (F.avg(raw_ratio(F.abs(F.col(t).cast("double") - F.col(f"{t}_pred")), t)) * 100).alias(f"{t}_mape")
+            (F.avg(ratio(F.abs(F.col(t).cast("double") - F.col(f"{t}_pred")), t)) * 100).alias(f"{t}_mape")
             for t in TARGETS
         ]
     )

@@ -13,7 +13,6 @@ from shelfcast.oracle.ctes import (
     names,
     on_calendar_day,
     ratio,
-    raw_ratio,
     season,
 )
 
@@ -76,14 +75,14 @@ BODIES: dict[str, str] = {
         from backcast""",
     "forecast_mape": f"""
         select 'in_sample' as sample,
-               round(avg({raw_ratio("abs(cast(revenue as double) - revenue_pred)", "revenue")}) * 100, 6)
+               round(avg({ratio("abs(cast(revenue as double) - revenue_pred)", "revenue")}) * 100, 6)
                    as revenue_mape,
-               round(avg({raw_ratio("abs(cast(cogs as double) - cogs_pred)", "cogs")}) * 100, 6) as cogs_mape
+               round(avg({ratio("abs(cast(cogs as double) - cogs_pred)", "cogs")}) * 100, 6) as cogs_mape
         from backcast
         union all
         select 'hold_out',
-               round(avg({raw_ratio("abs(cast(s.revenue as double) - f.revenue_pred)", "s.revenue")}) * 100, 6),
-               round(avg({raw_ratio("abs(cast(s.cogs as double) - f.cogs_pred)", "s.cogs")}) * 100, 6)
+               round(avg({ratio("abs(cast(s.revenue as double) - f.revenue_pred)", "s.revenue")}) * 100, 6),
+               round(avg({ratio("abs(cast(s.cogs as double) - f.cogs_pred)", "s.cogs")}) * 100, 6)
         from forecast f join stg_sales s using (date)""",
     "seasonal_forecast_by_key": """
         select s.category, s.region, s.date, cast(year(s.date) - 2000 as int) as years_ahead,
@@ -232,8 +231,7 @@ BODIES: dict[str, str] = {
                cast(discount_amount as double) as discount_amount,
                {ratio("inside", "active_days")} as revenue_per_active_day,
                {ratio("outside", "all_days - active_days")} as revenue_per_other_day,
-               round(({raw_ratio("inside", "active_days")})
-                     / nullif({raw_ratio("outside", "all_days - active_days")}, 0) - 1, 6) as lift
+               {ratio(ratio("inside", "active_days"), ratio("outside", "all_days - active_days"))} - 1 as lift
         from with_sides""",
     "mart_return_diagnostics": f"""
         select r.category, r.region, r.month, r.return_reason, cast(r.units as double) as returned_units,
@@ -256,13 +254,12 @@ BODIES: dict[str, str] = {
                cast(sum(shipping_fee) as double) as shipping_fee, {ratio("sum(shipping_fee)", "sum(net)")} as fee_share
         from f_item group by 1, 2""",
     "mart_inventory_risk": """
-        select product_id, month, round(fill_rate, 6) as fill_rate, stockout, overstock,
-               round(least(sell_through, 1.0), 6) as sell_through,
+        select product_id, month, fill_rate, stockout, overstock, least(sell_through, 1.0) as sell_through,
                case when stockout then 'stockout' when overstock then 'overstock' else 'healthy' end as risk
         from stg_inventory""",
     "mart_operations": f"""
         select coalesce(o.month, l.month, i.month) as month, o.orders, o.cancel_rate, l.mean_lead_days, l.return_rate,
-               round(i.fill_rate, 6) as fill_rate, round(i.stockout_rate, 6) as stockout_rate
+               i.fill_rate, i.stockout_rate
         from (select {month("order_date")} as month, count(*) as orders,
                      {ratio("count(*) filter (is_cancelled)", "count(*)")} as cancel_rate
               from stg_orders group by 1) o
@@ -291,10 +288,9 @@ BODIES: dict[str, str] = {
     "report_business_overview": """
         select month, cast(revenue as double) as revenue, cast(profit as double) as profit, orders, customers,
                cast(cogs as double) as cogs, cast(return_amount as double) as return_amount,
-               round(cast(revenue as double) / nullif(cast(lag(revenue) over m as double), 0) - 1, 6)
-                   as revenue_growth,
-               round(cast(profit as double) / nullif(cast(lag(profit) over m as double), 0) - 1, 6) as profit_growth,
-               round(cast(orders as double) / nullif(cast(lag(orders) over m as double), 0) - 1, 6) as orders_growth
+               cast(revenue as double) / nullif(cast(lag(revenue) over m as double), 0) - 1 as revenue_growth,
+               cast(profit as double) / nullif(cast(lag(profit) over m as double), 0) - 1 as profit_growth,
+               cast(orders as double) / nullif(cast(lag(orders) over m as double), 0) - 1 as orders_growth
         from (select %s as month, sum(net) as revenue, sum(net_profit) as profit, count(*) as orders,
                      count(distinct customer_id) as customers, sum(cogs) as cogs, sum(return_amount) as return_amount
               from f_orders group by 1)
@@ -342,7 +338,7 @@ BODIES: dict[str, str] = {
             select *, count(growth) over b as history,
                    (growth - avg(growth) over b) / nullif(stddev_samp(growth) over b, 0) as z_score
             from with_growth window b as (order by month rows between 12 preceding and 1 preceding))
-        select month, revenue, round(growth, 6) as growth, round(z_score, 6) as z_score,
+        select month, revenue, growth, round(z_score, 6) as z_score,
                case when z_score > 0 then 'growth' else 'decline' end as direction
         from with_history where history = 12 and abs(z_score) > 2"""
     % month("order_date"),
@@ -363,17 +359,13 @@ BODIES: dict[str, str] = {
                coalesce(p.is_stackable_day, false) as is_stackable_day
         from dim_days d left join promo_signals p on d.date = p.date""",
     "feat_traffic": """
-        select date, session_count, round(mean_session_seconds, 6) as mean_session_seconds, unique_visitors,
-               round(bounce_rate, 6) as bounce_rate
-        from daily_traffic""",
+        select date, session_count, mean_session_seconds, unique_visitors, bounce_rate from daily_traffic""",
     "feat_age_groups": f"select date, {', '.join(AGE_FEATURES)} from daily_operations",
-    "feat_cancel_rate": "select date, round(cancel_rate, 6) as cancel_rate from daily_operations",
+    "feat_cancel_rate": "select date, cancel_rate from daily_operations",
     "feat_order_volume": """
-        select date, round(aov, 6) as aov, item_sold, unique_order from daily_operations""",
+        select date, aov, item_sold, unique_order from daily_operations""",
     "feat_inventory_health": """
-        select date, round(fill_rate, 6) as fill_rate, round(stockout_rate, 6) as stockout_rate,
-               round(overstock_rate, 6) as overstock_rate, round(sell_through, 6) as sell_through
-        from daily_inventory""",
+        select date, fill_rate, stockout_rate, overstock_rate, sell_through from daily_inventory""",
     "feat_business_diagnostic": """
         select date, return_amount, shipping_fee, cogs, profit from daily_operations""",
     "feat_expected_mean": f"""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfcast.functions.calendar import month_start
-from shelfcast.functions.exact import count_if, ratio, raw_ratio
+from shelfcast.functions.exact import count_if, ratio
 from shelfcast.functions.ranking import rank_in_group
 from shelfcast.operators.promotions import promo_days
 
@@ -102,15 +102,15 @@ def mart_promotion_effectiveness(lines: DataFrame, promotions: DataFrame) -> Dat
             }
         )
     )
-    inside_rate = raw_ratio("revenue_inside", "active_days")
-    outside_rate = raw_ratio(
+    inside_rate = ratio("revenue_inside", "active_days")
+    outside_rate = ratio(
         F.col("all_revenue") - F.col("revenue_inside"), F.col("all_days") - F.col("active_days")
     )
     return joined.select(
         "promo_id", "category", "discount_pct", "active_days", "revenue_inside", "discount_amount",
-        F.round(inside_rate, 6).alias("revenue_per_active_day"),
-        F.round(outside_rate, 6).alias("revenue_per_other_day"),
-        F.round(F.try_divide(inside_rate, outside_rate) - 1, 6).alias("lift"),
+        inside_rate.alias("revenue_per_active_day"),
+        outside_rate.alias("revenue_per_other_day"),
+        (ratio(inside_rate, outside_rate) - 1).alias("lift"),
     )
 
 
@@ -156,10 +156,8 @@ def mart_shipping_service(sales_item: DataFrame) -> DataFrame:
 
 def mart_inventory_risk(snapshot: DataFrame) -> DataFrame:
     return snapshot.select(
-        "product_id", "month",
-        F.round("fill_rate", 6).alias("fill_rate"),
-        "stockout", "overstock",
-        F.round(F.least("sell_through", F.lit(1.0)), 6).alias("sell_through"),
+        "product_id", "month", "fill_rate", "stockout", "overstock",
+        F.least("sell_through", F.lit(1.0)).alias("sell_through"),
         F.when(F.col("stockout"), "stockout")
         .when(F.col("overstock"), "overstock")
         .otherwise("healthy")
@@ -170,10 +168,10 @@ def mart_inventory_risk(snapshot: DataFrame) -> DataFrame:
 def monthly_inventory(snapshot: DataFrame) -> DataFrame:
     """Stock ratios of all products per month. The fill rate counts units, not products."""
     return snapshot.groupBy("month").agg(
-        raw_ratio(F.sum(F.least("demand", F.col("received"))), F.sum("demand")).alias("fill_rate"),
-        raw_ratio(count_if(F.col("stockout")), F.count("*")).alias("stockout_rate"),
-        raw_ratio(count_if(F.col("overstock")), F.count("*")).alias("overstock_rate"),
-        raw_ratio(F.sum("demand"), F.sum("received")).alias("sell_through"),
+        ratio(F.sum(F.least("demand", F.col("received"))), F.sum("demand")).alias("fill_rate"),
+        ratio(count_if(F.col("stockout")), F.count("*")).alias("stockout_rate"),
+        ratio(count_if(F.col("overstock")), F.count("*")).alias("overstock_rate"),
+        ratio(F.sum("demand"), F.sum("received")).alias("sell_through"),
     )
 
 
@@ -187,7 +185,5 @@ def mart_operations(orders: DataFrame, sales_item: DataFrame, snapshot: DataFram
         ratio(F.sum(F.when(lead >= 0, lead)), F.count(F.when(lead >= 0, 1))).alias("mean_lead_days"),
         ratio(F.sum("returned_units"), F.sum("units")).alias("return_rate"),
     )
-    stock_month = monthly_inventory(snapshot).select(
-        "month", F.round("fill_rate", 6).alias("fill_rate"), F.round("stockout_rate", 6).alias("stockout_rate")
-    )
+    stock_month = monthly_inventory(snapshot).select("month", "fill_rate", "stockout_rate")
     return order_month.join(line_month, "month", "full_outer").join(stock_month, "month", "full_outer")

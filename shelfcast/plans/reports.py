@@ -26,9 +26,7 @@ def report_business_overview(orders: DataFrame) -> DataFrame:
     )
     by_month = Window.orderBy("month")
     growth = {
-        f"{name}_growth": F.round(
-            F.try_divide(F.col(name).cast("double"), F.lag(name).over(by_month).cast("double")) - 1, 6
-        )
+        f"{name}_growth": ratio(name, F.lag(name).over(by_month)) - 1
         for name in ("revenue", "profit", "orders")
     }
     return monthly.withColumns(growth)
@@ -153,9 +151,8 @@ def report_abnormal_growth(orders: DataFrame) -> DataFrame:
     monthly = orders.groupBy(month_start("order_date").alias("month")).agg(F.sum("net").alias("revenue"))
     by_month = Window.orderBy("month")
     before = by_month.rowsBetween(-GROWTH_HISTORY_MONTHS, -1)
-    revenue = F.col("revenue").cast("double")
     growth = monthly.select(
-        "month", "revenue", (F.try_divide(revenue, F.lag(revenue).over(by_month)) - 1).alias("growth")
+        "month", "revenue", (ratio("revenue", F.lag("revenue").over(by_month)) - 1).alias("growth")
     )
     z = F.try_divide(F.col("growth") - F.avg("growth").over(before), F.stddev("growth").over(before))
     return (
@@ -164,7 +161,7 @@ def report_abnormal_growth(orders: DataFrame) -> DataFrame:
         .select(
             "month",
             "revenue",
-            F.round("growth", 6).alias("growth"),
+            "growth",
             F.round("z_score", 6).alias("z_score"),
             F.when(F.col("z_score") > 0, "growth").otherwise("decline").alias("direction"),
         )

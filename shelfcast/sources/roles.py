@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfcast.functions.calendar import month_start
-from shelfcast.functions.exact import line_amount, money, raw_ratio, share
+from shelfcast.functions.exact import line_amount, money, ratio, share
 
 # The role contract of promotions (days and percent).
 PROMO_FIRST_OFFSET = 14
@@ -202,10 +202,10 @@ def stg_inventory(lineitem: DataFrame, products: DataFrame) -> DataFrame:
             "month",
             "demand",
             "received",
-            raw_ratio(F.least("demand", F.col("received")), "demand").alias("fill_rate"),
+            ratio(F.least("demand", F.col("received")), "demand").alias("fill_rate"),
             (F.col("demand") > F.col("received")).alias("stockout"),
             (F.col("received") > 2 * F.col("demand")).alias("overstock"),
-            raw_ratio("demand", "received").alias("sell_through"),
+            ratio("demand", "received").alias("sell_through"),
         )
     )
 
