@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions.exact import count_if, ratio
 
-ORDER_SUMS = (
-    "units", "returned_units", "discount", "net", "cogs", "shipping_fee", "return_amount", "gross_profit", "net_profit",
-)
+ORDER_SUMS = ("units", "returned_units", "gross", "net", "cogs", "shipping_fee", "return_amount")
+
+
+def summed(names: Sequence[str]) -> list[Column]:
+    return [F.sum(name).alias(name) for name in names]
+
+
+def profit_of_sums() -> Column:
+    """Net profit of a group from its sums: the same amount as summing it line by line,
+    without computing it for each line."""
+    return F.sum("net") - F.sum("cogs") - F.sum("shipping_fee") - F.sum("return_amount")
 
 
 def sales_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -44,18 +54,25 @@ def fact_sales_item(
 
 
 def order_sums(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(
-        F.count("*").alias("line_count"), *[F.sum(name).alias(name) for name in ORDER_SUMS]
-    )
+    return items.groupBy("order_id").agg(F.count("*").alias("line_count"), *summed(ORDER_SUMS))
 
 
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
-    """One row per order, also for an order without lines."""
+    """One row per order, also for an order without lines. Lines are summed before the
+    join, so a long order reaches it as one row."""
     joined = orders.join(order_sums(items), "order_id", "left").join(order_payments(payments), "order_id", "left")
-    return joined.select(
+    filled = joined.withColumns({name: F.coalesce(name, F.lit(0)).cast("decimal(28,4)") for name in ORDER_SUMS})
+    return filled.withColumns(
+        {
+            "line_count": F.coalesce("line_count", F.lit(0)).cast("bigint"),
+            "discount": F.col("gross") - F.col("net"),
+            "gross_profit": F.col("net") - F.col("cogs"),
+            "net_profit": F.col("net") - F.col("cogs") - F.col("shipping_fee") - F.col("return_amount"),
+        }
+    ).select(
         "order_id", "customer_id", "order_date", "status", "is_cancelled", "payment_method", "payment_value",
-        F.coalesce("line_count", F.lit(0)).cast("bigint").alias("line_count"),
-        *[F.coalesce(name, F.lit(0)).cast("decimal(28,4)").alias(name) for name in ORDER_SUMS],
+        "line_count", "units", "returned_units", "gross", "discount", "net", "cogs", "shipping_fee", "return_amount",
+        "gross_profit", "net_profit",
     )
 
 

@@ -21,36 +21,41 @@ DIAGNOSTIC_FEATURES = ("return_amount", "shipping_fee", "cogs", "profit")
 MEDIAN_FEATURES = ("unique_order", "item_sold")
 
 
-def feat_calendar(dates: DataFrame) -> DataFrame:
+def feat_calendar(days: DataFrame) -> DataFrame:
     """``day_of_week`` counts from Monday = 0; the weekend is Friday to Sunday."""
-    return dates.select(
-        "date",
-        F.weekday("date").alias("day_of_week"),
-        F.dayofmonth("date").alias("day_of_month"),
-        F.month("date").alias("month"),
-        F.quarter("date").alias("quarter"),
-        is_weekend("date").alias("is_weekend"),
+    return days.withColumns(
+        {
+            "day_of_week": F.weekday("date"),
+            "day_of_month": F.dayofmonth("date"),
+            "month": F.month("date"),
+            "quarter": F.quarter("date"),
+            "is_weekend": is_weekend("date"),
+        }
     )
 
 
-def feat_season(dates: DataFrame) -> DataFrame:
-    return dates.select("date", season("date").alias("season"))
+def feat_season(days: DataFrame) -> DataFrame:
+    return days.withColumn("season", season("date"))
 
 
-def feat_sincos365(dates: DataFrame) -> DataFrame:
-    return dates.select(
-        "date",
-        F.round(F.sin(year_angle("date")), 6).alias("sin365"),
-        F.round(F.cos(year_angle("date")), 6).alias("cos365"),
+def feat_sincos365(days: DataFrame) -> DataFrame:
+    return days.withColumns(
+        {
+            "sin365": F.round(F.sin(year_angle("date")), 6),
+            "cos365": F.round(F.cos(year_angle("date")), 6),
+        }
     )
 
 
-def feat_promotion(dates: DataFrame, promotions: DataFrame) -> DataFrame:
-    return dates.select("date").join(daily_promo_signals(promotions), "date", "left").select(
-        "date",
-        F.coalesce("active_promo_count", F.lit(0)).cast("bigint").alias("active_promo_count"),
-        F.coalesce("max_discount_depth", F.lit(0)).cast("int").alias("max_discount_depth"),
-        F.coalesce("is_stackable_day", F.lit(False)).alias("is_stackable_day"),
+def feat_promotion(days: DataFrame, promotions: DataFrame) -> DataFrame:
+    """Promotion signals; the calendar bounds their size, so they are broadcast."""
+    joined = days.join(F.broadcast(daily_promo_signals(promotions)), "date", "left")
+    return joined.withColumns(
+        {
+            "active_promo_count": F.coalesce("active_promo_count", F.lit(0)).cast("bigint"),
+            "max_discount_depth": F.coalesce("max_discount_depth", F.lit(0)).cast("int"),
+            "is_stackable_day": F.coalesce("is_stackable_day", F.lit(False)),
+        }
     )
 
 
@@ -121,17 +126,17 @@ def feat_inventory_health(inventory: DataFrame) -> DataFrame:
 
 
 def calendar_expectation(
-    daily: DataFrame, columns: Sequence[str], stat: str = "mean", prefix: str = "expected"
+    daily: DataFrame, means: Sequence[str] = (), medians: Sequence[str] = ()
 ) -> DataFrame:
-    """Expected value of each column for each of the 366 calendar days.
+    """``expected_<column>`` (mean) and ``median_<column>`` for each of the 366 calendar days.
 
     ``daily`` must hold training days only. A calendar day without history takes the mean
     over the calendar days that have one and is marked ``has_history = false``. The window
     sees the 366 calendar days.
     """
-    pick = {"mean": F.avg, "median": F.median}[stat]
+    stats = {f"expected_{c}": F.avg(c) for c in means} | {f"median_{c}": F.median(c) for c in medians}
     profile = daily.groupBy(F.month("date").alias("month"), F.dayofmonth("date").alias("day")).agg(
-        F.count("*").alias("history"), *[pick(c).alias(c) for c in columns]
+        F.count("*").alias("history"), *[stat.alias(name) for name, stat in stats.items()]
     )
     leap_year = F.sequence(F.lit("2000-01-01").cast("date"), F.lit("2000-12-31").cast("date"))
     pairs = (
@@ -144,7 +149,7 @@ def calendar_expectation(
         "month",
         "day",
         F.col("history").isNotNull().alias("has_history"),
-        *[F.round(F.coalesce(c, F.avg(c).over(everywhere)), 6).alias(f"{prefix}_{c}") for c in columns],
+        *[F.round(F.coalesce(name, F.avg(name).over(everywhere)), 6).alias(name) for name in stats],
     )
 
 
@@ -155,29 +160,39 @@ def on_calendar_day(days: DataFrame, expectation: DataFrame) -> DataFrame:
     return keyed.join(F.broadcast(small), ["_month", "_day"], "left").drop("_month", "_day")
 
 
+def expected_orders(days: DataFrame, operations: DataFrame, is_train: Column) -> DataFrame:
+    """Expected order features, means and medians in one pass over the training days."""
+    expectation = calendar_expectation(
+        operations.where(is_train), (*AGE_FEATURES, *ORDER_FEATURES, *DIAGNOSTIC_FEATURES), MEDIAN_FEATURES
+    )
+    return on_calendar_day(days, expectation.drop("has_history"))
+
+
+def expected_inventory(days: DataFrame, inventory: DataFrame, is_train: Column) -> DataFrame:
+    expectation = calendar_expectation(inventory.where(is_train), INVENTORY_FEATURES)
+    return on_calendar_day(days, expectation.drop("has_history"))
+
+
+def expected_traffic(days: DataFrame, traffic: DataFrame) -> DataFrame:
+    """Traffic has no training years in the test tables: all its days count, and days of
+    the year without traffic are marked in ``traffic_is_imputed``."""
+    joined = on_calendar_day(days, calendar_expectation(traffic, TRAFFIC_FEATURES))
+    return joined.withColumn("traffic_is_imputed", ~F.col("has_history")).drop("has_history")
+
+
 def feat_expected_mean(
     days: DataFrame, operations: DataFrame, inventory: DataFrame, traffic: DataFrame, is_train: Column
 ) -> DataFrame:
-    """Mean of each operational feature on the same calendar day of all training years.
-
-    Traffic has no training years in the test tables: all its days count, and days of
-    the year without traffic are marked in ``traffic_is_imputed``.
-    """
-    order_columns = (*AGE_FEATURES, *ORDER_FEATURES, *DIAGNOSTIC_FEATURES)
-    result = on_calendar_day(
-        days, calendar_expectation(operations.where(is_train), order_columns).drop("has_history")
-    )
-    result = on_calendar_day(
-        result, calendar_expectation(inventory.where(is_train), INVENTORY_FEATURES).drop("has_history")
-    )
-    result = on_calendar_day(result, calendar_expectation(traffic, TRAFFIC_FEATURES))
-    return result.withColumn("traffic_is_imputed", ~F.col("has_history")).drop("has_history")
+    """Mean of each operational feature on the same calendar day of all training years."""
+    orders = expected_orders(days, operations, is_train).drop(*[f"median_{c}" for c in MEDIAN_FEATURES])
+    return expected_traffic(expected_inventory(orders, inventory, is_train), traffic)
 
 
 def feat_expected_median(days: DataFrame, operations: DataFrame, is_train: Column) -> DataFrame:
     """Median orders and items on the same calendar day of all training years."""
-    expectation = calendar_expectation(operations.where(is_train), MEDIAN_FEATURES, "median", "median")
-    return on_calendar_day(days, expectation.drop("has_history"))
+    return expected_orders(days, operations, is_train).select(
+        *days.columns, *[f"median_{c}" for c in MEDIAN_FEATURES]
+    )
 
 
 def mart_sales_forecast_ready(
@@ -189,14 +204,9 @@ def mart_sales_forecast_ready(
     is_train: Column,
 ) -> DataFrame:
     """Targets and leak-free features per day of the series. Operational features enter
-    as expected values on every day, so training rows look like horizon rows."""
-    days = series.select("date")
-    targets = series.select("date", is_train.alias("is_train"), "revenue", "cogs")
-    return (
-        targets.join(feat_calendar(days), "date")
-        .join(feat_season(days), "date")
-        .join(feat_sincos365(days), "date")
-        .join(feat_promotion(days, promotions), "date")
-        .join(feat_expected_mean(days, operations, inventory, traffic, is_train), "date")
-        .join(feat_expected_median(days, operations, is_train), "date")
-    )
+    as expected values on every day, so training rows look like horizon rows. Each step
+    adds columns to the same frame; the series is read once."""
+    days = series.select("date", is_train.alias("is_train"), "revenue", "cogs")
+    known_ahead = feat_promotion(feat_sincos365(feat_season(feat_calendar(days))), promotions)
+    with_orders = expected_orders(known_ahead, operations, is_train)
+    return expected_traffic(expected_inventory(with_orders, inventory, is_train), traffic)

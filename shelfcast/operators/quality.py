@@ -13,13 +13,17 @@ from shelfcast.functions.exact import count_if, ratio
 
 @dataclass(frozen=True)
 class TableCheck:
-    """What to check in one table: its key, its parents and its date rule."""
+    """What to check in one table: its key, its date rule and its parents.
+
+    A parent is (rows holding the foreign key, key, parent table, parent key). The rows may
+    be a narrower frame than the table, one that needs no join.
+    """
 
     name: str
     df: DataFrame
     keys: Sequence[str]
     bad_date: Column | None = None
-    parents: Sequence[tuple[str, DataFrame, str]] = field(default_factory=tuple)
+    parents: Sequence[tuple[DataFrame, str, DataFrame, str]] = field(default_factory=tuple)
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -44,8 +48,8 @@ def _own_counts(check: TableCheck) -> DataFrame:
 def _orphan_counts(check: TableCheck) -> list[DataFrame]:
     zero = F.lit(0).cast("bigint")
     counts = []
-    for child_key, parent, parent_key in check.parents:
-        children = check.df.groupBy(F.col(child_key).alias("k")).agg(F.count("*").alias("n"))
+    for child, child_key, parent, parent_key in check.parents:
+        children = child.groupBy(F.col(child_key).alias("k")).agg(F.count("*").alias("n"))
         parents = parent.select(F.col(parent_key).alias("k")).distinct()
         counts.append(
             children.join(parents, "k", "left_anti")

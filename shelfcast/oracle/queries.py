@@ -283,7 +283,7 @@ BODIES: dict[str, str] = {
                {EXPECTED_MEAN_COLUMNS}, not e_traffic.has_history as traffic_is_imputed,
                {names("median", MEDIAN_COLUMNS)}
         from stg_sales s left join promo_signals p on s.date = p.date
-             {on_calendar_day("s", "e_orders", "e_inventory", "e_traffic", "e_median")}""",
+             {on_calendar_day("s", "e_orders", "e_inventory", "e_traffic")}""",
     # --- reports
     "report_business_overview": """
         select month, cast(revenue as double) as revenue, cast(profit as double) as profit, orders, customers,
@@ -372,7 +372,7 @@ BODIES: dict[str, str] = {
         select h.date, {EXPECTED_MEAN_COLUMNS}, not e_traffic.has_history as traffic_is_imputed
         from horizon h {on_calendar_day("h", "e_orders", "e_inventory", "e_traffic")}""",
     "feat_expected_median": f"""
-        select h.date, {names("median", MEDIAN_COLUMNS)} from horizon h {on_calendar_day("h", "e_median")}""",
+        select h.date, {names("median", MEDIAN_COLUMNS)} from horizon h {on_calendar_day("h", "e_orders")}""",
     # --- model
     "trend_ridge": """
         with_time as (
@@ -522,7 +522,7 @@ TABLE_COLUMNS = {
         "dim_return_reason": 2, "dim_traffic_source": 2,
     },
     "fact": {
-        "fact_sales_item": 26, "fact_orders": 17, "fact_shipments": 7, "fact_returns": 8, "fact_reviews": 5,
+        "fact_sales_item": 26, "fact_orders": 18, "fact_shipments": 7, "fact_returns": 8, "fact_reviews": 5,
         "fact_inventory_snapshot": 9, "fact_sales_series": 10, "fact_web_traffic": 7,
     },
     "mart": {

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shelfcast.functions.calendar import month_start
 from shelfcast.functions.exact import count_if, ratio
 from shelfcast.functions.ranking import rank_in_group
+from shelfcast.operators.facts import profit_of_sums, summed
 from shelfcast.operators.promotions import promo_days
 
 
@@ -15,11 +16,11 @@ def mart_sales_overview(sales_item: DataFrame) -> DataFrame:
     """Day x category x region. An order has one day and one customer, so counting the
     groups of (order, category) counts its orders without a second distinct."""
     per_order = sales_item.groupBy("order_id", "customer_id", "order_date", "category", "region").agg(
-        *[F.sum(name).alias(name) for name in ("net", "net_profit", "cogs", "return_amount")]
+        *summed(("net", "cogs", "shipping_fee", "return_amount"))
     )
     return per_order.groupBy("order_date", "category", "region").agg(
         F.sum("net").alias("revenue"),
-        F.sum("net_profit").alias("profit"),
+        profit_of_sums().alias("profit"),
         F.count("*").alias("orders"),
         F.countDistinct("customer_id").alias("customers"),
         F.sum("cogs").alias("cogs"),
@@ -27,23 +28,26 @@ def mart_sales_overview(sales_item: DataFrame) -> DataFrame:
     )
 
 
-def mart_product_performance(lines: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Product x order month, with the product's rating and its revenue rank in the category."""
-    monthly = (
-        lines.groupBy("product_id", "category", month_start("order_date").alias("month"))
-        .agg(
-            F.sum("units").alias("units"),
-            F.sum("net").alias("revenue"),
-            F.sum("net_profit").alias("profit"),
-            F.sum("returned_units").alias("returned"),
-        )
+def product_month(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("product_id", "category", month_start("order_date").alias("month")).agg(
+        F.sum("units").alias("units"),
+        F.sum("returned_units").alias("returned_units"),
+        F.sum("net").alias("revenue"),
+        profit_of_sums().alias("profit"),
     )
+
+
+def mart_product_performance(monthly: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Product x order month, with the product's rating and its revenue rank in the category.
+
+    ``monthly`` is read several times by the rank, so pass a stored ``product_month``.
+    """
     ratings = reviews.groupBy("product_id").agg(ratio(F.sum("rating"), F.count("rating")).alias("mean_rating"))
     ranked = rank_in_group(monthly, ["category", "month"], "revenue", "rank_in_category")
     return ranked.join(ratings, "product_id", "left").select(
         "product_id", "category", "month", "units", "revenue", "profit",
         ratio("profit", "revenue").alias("margin"),
-        ratio("returned", "units").alias("return_rate"),
+        ratio("returned_units", "units").alias("return_rate"),
         "mean_rating",
         F.col("rank_in_category").cast("bigint").alias("rank_in_category"),
     )
@@ -54,7 +58,7 @@ def mart_customer_insight(orders: DataFrame, customers: DataFrame, geography: Da
     totals = orders.groupBy("customer_id").agg(
         F.count("*").alias("orders"),
         F.sum("net").alias("revenue"),
-        F.sum("net_profit").alias("profit"),
+        profit_of_sums().alias("profit"),
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"),
         ratio(F.sum("returned_units"), F.sum("units")).alias("return_rate"),

@@ -109,14 +109,8 @@ def _mape(w: Warehouse) -> DataFrame:
 SERIES_KEYS = ("category", "region")
 
 
-def keyed_series(w: Warehouse) -> DataFrame:
-    return w.table("fact_sales_item").groupBy(*SERIES_KEYS, F.col("order_date").alias("date")).agg(
-        F.sum("net").alias("revenue"), F.sum("cogs").alias("cogs")
-    )
-
-
 def _forecast_by_key(w: Warehouse) -> DataFrame:
-    return seasonal.seasonal_forecast(keyed_series(w), FORECAST_WINDOW, SERIES_KEYS).select(
+    return seasonal.seasonal_forecast(w.stored("keyed_series"), FORECAST_WINDOW, SERIES_KEYS).select(
         *SERIES_KEYS, "date", "years_ahead", *_columns("{}_pred")
     )
 
@@ -150,6 +144,10 @@ def _filled_reviews(w: Warehouse) -> DataFrame:
 # --- features ---------------------------------------------------------------------------
 
 
+def _all_days(w: Warehouse) -> DataFrame:
+    return w.table("dim_date").select("date")
+
+
 def _horizon_days(w: Warehouse) -> DataFrame:
     return w.table("orders").where(~FORECAST_WINDOW.is_train("order_date")).select(
         F.col("order_date").alias("date")
@@ -230,8 +228,8 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "layer_publish": _layer_publish,
     "frame_profile": lambda w: seasonal.frame_profile(
         {
-            "train": _train(w),
-            "horizon": w.table("sales").where(~w.is_train()).select("date"),
+            "train": w.stored("sales").where(w.is_train()),
+            "horizon": w.stored("sales").where(~w.is_train()).select("date"),
             "forecast": _forecast(w).select("date", *_columns("{}_pred")),
         }
     ),
@@ -276,10 +274,10 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
         reports.report_segment_insight(w.table("fact_sales_item"), w.table("fact_reviews"))
     ),
     "report_abnormal_growth": lambda w: reports.report_abnormal_growth(w.table("fact_orders")),
-    "feat_calendar": lambda w: features.feat_calendar(w.table("dim_date")),
-    "feat_season": lambda w: features.feat_season(w.table("dim_date")),
-    "feat_sincos365": lambda w: features.feat_sincos365(w.table("dim_date")),
-    "feat_promotion": lambda w: features.feat_promotion(w.table("dim_date"), w.table("dim_promotion")),
+    "feat_calendar": lambda w: features.feat_calendar(_all_days(w)),
+    "feat_season": lambda w: features.feat_season(_all_days(w)),
+    "feat_sincos365": lambda w: features.feat_sincos365(_all_days(w)),
+    "feat_promotion": lambda w: features.feat_promotion(_all_days(w), w.table("dim_promotion")),
     "feat_traffic": lambda w: features.feat_traffic(w.table("daily_traffic")),
     "feat_age_groups": lambda w: features.feat_age_groups(w.table("daily_operations")),
     "feat_cancel_rate": lambda w: features.feat_cancel_rate(w.table("daily_operations")),

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.functions.calendar import month_start
 from shelfcast.functions.exact import ratio
+from shelfcast.operators.facts import profit_of_sums, summed
 from shelfcast.operators.promotions import leading_promo
 
 HIGH_RANK, LOW_RANK = 0.75, 0.25
 GROWTH_HISTORY_MONTHS = 12
 ABNORMAL_Z = 2.0
+SEGMENT_SUMS = ("units", "returned_units", "net", "cogs", "shipping_fee", "return_amount")
 
 
 def report_business_overview(orders: DataFrame) -> DataFrame:
@@ -18,7 +20,7 @@ def report_business_overview(orders: DataFrame) -> DataFrame:
     unpartitioned window sees one row per month."""
     monthly = orders.groupBy(month_start("order_date").alias("month")).agg(
         F.sum("net").alias("revenue"),
-        F.sum("net_profit").alias("profit"),
+        profit_of_sums().alias("profit"),
         F.count("*").alias("orders"),
         F.countDistinct("customer_id").alias("customers"),
         F.sum("cogs").alias("cogs"),
@@ -45,9 +47,8 @@ def report_profit_diagnostic(sales_item: DataFrame, promotions: DataFrame) -> Da
 
     Lines shrink to day x category x region; the grouping sets then expand only that.
     """
-    costs = ("net", "cogs", "discount", "shipping_fee", "return_amount", "net_profit")
     daily = sales_item.groupBy(F.col("order_date").alias("date"), "category", "region").agg(
-        *[F.sum(c).alias(c) for c in costs]
+        *summed(("gross", "net", "cogs", "shipping_fee", "return_amount"))
     )
     promo, category, region = F.col("promo_id"), F.col("category"), F.col("region")
     return (
@@ -57,11 +58,11 @@ def report_profit_diagnostic(sales_item: DataFrame, promotions: DataFrame) -> Da
             _level({"promo_id": "promotion", "category": "category", "region": "region"}).alias("level"),
             F.sum("net").alias("revenue"),
             F.sum("cogs").alias("cogs"),
-            F.sum("discount").alias("discount"),
+            (F.sum("gross") - F.sum("net")).alias("discount"),
             F.sum("shipping_fee").alias("shipping_fee"),
             F.sum("return_amount").alias("return_amount"),
-            F.sum("net_profit").alias("profit"),
-            ratio(F.sum("net_profit"), F.sum("net")).alias("margin"),
+            profit_of_sums().alias("profit"),
+            ratio(profit_of_sums(), F.sum("net")).alias("margin"),
         )
     )
 
@@ -74,18 +75,14 @@ def segment_sums(sales_item: DataFrame) -> DataFrame:
     categories. So no level needs a distinct count over all orders.
     """
     per_order = sales_item.groupBy("order_id", "age_group", "region", "category").agg(
-        F.sum("net").alias("net"),
-        F.sum("net_profit").alias("net_profit"),
-        F.sum("shipping_fee").alias("shipping_fee"),
-        F.sum("units").alias("units"),
-        F.sum("returned_units").alias("returned"),
+        *summed(SEGMENT_SUMS)
     )
     one_order = Window.partitionBy("order_id").orderBy("category")
     return (
         per_order.withColumn("is_first", (F.row_number().over(one_order) == 1).cast("int"))
         .groupBy("age_group", "region", "category")
         .agg(
-            *[F.sum(c).alias(c) for c in ("net", "net_profit", "shipping_fee", "units", "returned")],
+            *summed(SEGMENT_SUMS),
             F.count("*").alias("category_orders"),
             F.sum("is_first").alias("orders"),
         )
@@ -102,12 +99,12 @@ def report_segment_insight(sales_item: DataFrame, reviews: DataFrame) -> DataFra
         .agg(
             _level({"age_group": "age_group", "category": "category", "region": "region"}).alias("segment_type"),
             F.sum("net").alias("revenue"),
-            F.sum("net_profit").alias("profit"),
-            ratio(F.sum("net_profit"), F.sum("net")).alias("margin"),
+            profit_of_sums().alias("profit"),
+            ratio(profit_of_sums(), F.sum("net")).alias("margin"),
             F.when(F.grouping("category") == 0, F.sum("category_orders"))
             .otherwise(F.sum("orders"))
             .alias("orders"),
-            ratio(F.sum("returned"), F.sum("units")).alias("return_rate"),
+            ratio(F.sum("returned_units"), F.sum("units")).alias("return_rate"),
             ratio(F.sum("shipping_fee"), F.sum("net")).alias("shipping_fee_share"),
         )
     )

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from shelfcast.functions.calendar import month_start
 from shelfcast.operators import cleaning, dims, facts, features, quality
 from shelfcast.operators.seasonal import ForecastWindow
 from shelfcast.operators.sessions import web_sessions
@@ -93,7 +94,7 @@ class Warehouse:
         return facts.sales_lines(self.table("order_items"), self.table("orders"))
 
     def stored(self, name: str) -> DataFrame:
-        """A daily table that the caller scans several times, computed once."""
+        """A table that the caller scans several times, computed once."""
         if name not in self._published:
             self._tables[name] = durable(self.table(name), name)
             self._published.add(name)
@@ -127,35 +128,44 @@ def _web_role(w: Warehouse) -> DataFrame:
 
 
 def _links(w: Warehouse) -> list[cleaning.Link]:
-    orders, items = w.table("orders"), roles.stg_items(w.raw("lineitem"), w.table("products"))
+    orders, lines = w.table("orders"), w.table("lines")
     return [
-        cleaning.Link("order_items.order_id", items, "order_id", orders, "order_id"),
-        cleaning.Link("order_items.product_id", items, "product_id", w.table("products"), "product_id"),
+        cleaning.Link("order_items.order_id", lines, "order_id", orders, "order_id"),
+        cleaning.Link("order_items.product_id", lines, "product_id", w.table("products"), "product_id"),
         cleaning.Link("orders.customer_id", orders, "customer_id", w.table("customers"), "customer_id"),
     ]
 
 
 def _quality_report(w: Warehouse) -> DataFrame:
     t = w.table
-    orders = (("order_id", t("orders"), "order_id"),)
-    products = (("product_id", t("products"), "product_id"),)
     check = quality.TableCheck
+    returned = t("lines").where("is_returned")
+
+    def order_of(child: DataFrame):
+        return child, "order_id", t("orders"), "order_id"
+
+    def product_of(child: DataFrame):
+        return child, "product_id", t("products"), "product_id"
+
     return quality.quality_report(
         [
             check("customers", t("customers"), ["customer_id"],
-                  parents=(("nation_id", t("geography"), "nation_id"),)),
+                  parents=((t("customers"), "nation_id", t("geography"), "nation_id"),)),
             check("geography", t("geography"), ["nation_id"]),
             check("products", t("products"), ["product_id"]),
             check("promotions", t("promotions"), ["promo_id"], F.col("end_date") < F.col("start_date")),
             check("orders", t("orders"), ["order_id"], F.col("order_date").isNull(),
-                  (("customer_id", t("customers"), "customer_id"),)),
+                  ((t("orders"), "customer_id", t("customers"), "customer_id"),)),
             check("order_items", t("order_items"), ["order_id", "line_no"], F.col("ship_date").isNull(),
-                  orders + products),
-            check("payments", t("payments"), ["order_id"], parents=orders),
-            check("shipments", t("shipments"), ["order_id", "line_no"], ~F.col("is_valid"), orders),
-            check("returns", t("returns"), ["order_id", "product_id"], parents=orders + products),
-            check("reviews", t("reviews"), ["review_id"], parents=products),
-            check("inventory", t("inventory"), ["product_id", "month"], F.col("month").isNull(), products),
+                  (order_of(t("lines")), product_of(t("lines")))),
+            check("payments", t("payments"), ["order_id"], parents=(order_of(t("payments")),)),
+            check("shipments", t("shipments"), ["order_id", "line_no"], ~F.col("is_valid"),
+                  (order_of(t("shipments")),)),
+            check("returns", t("returns"), ["order_id", "product_id"],
+                  parents=(order_of(returned), product_of(returned))),
+            check("reviews", t("reviews"), ["review_id"], parents=(product_of(t("reviews")),)),
+            check("inventory", t("inventory"), ["product_id", "month"], F.col("month").isNull(),
+                  (product_of(t("lines").groupBy("product_id", month_start("ship_date").alias("month")).count()),)),
             check("web_traffic", t("web_traffic"), ["event_id"], F.col("ts").isNull()),
             check("sales", t("sales"), ["date"], F.col("date").isNull()),
         ]
@@ -175,12 +185,13 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "products": lambda w: roles.stg_products(w.raw("part")),
     "promotions": lambda w: roles.stg_promotions(w.raw("orders"), w.raw("part")),
     "orders": lambda w: roles.stg_orders(w.raw("orders")),
-    "order_items": lambda w: roles.stg_items(w.raw("lineitem"), w.table("products")),
+    "lines": lambda w: roles.stg_lines(w.raw("lineitem")),
+    "order_items": lambda w: roles.stg_items(w.table("lines"), w.table("products")),
     "payments": lambda w: roles.stg_payments(w.raw("orders")),
-    "shipments": lambda w: roles.stg_shipments(w.raw("lineitem"), w.table("orders")),
-    "returns": lambda w: roles.stg_returns(w.table("order_items")),
+    "shipments": lambda w: roles.stg_shipments(w.table("lines"), w.table("orders")),
+    "returns": lambda w: roles.stg_returns(w.table("lines")),
     "reviews": lambda w: roles.stg_reviews(w.raw("documents"), w.raw("labels"), w.raw("part")),
-    "inventory": lambda w: roles.stg_inventory(w.raw("lineitem"), w.table("products")),
+    "inventory": lambda w: roles.stg_inventory(w.table("lines"), w.table("products")),
     "web_traffic": _web_role,
     "sales": lambda w: roles.stg_sales(w.raw("orders"), w.table("order_items")),
     "sessions": lambda w: web_sessions(w.table("web_traffic")),
@@ -204,7 +215,10 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fact_sales_series": lambda w: facts.fact_sales_series(w.table("sales"), w.table("dim_date")),
     "fact_web_traffic": lambda w: facts.fact_web_traffic(w.table("sessions"), w.table("dim_traffic_source")),
     "mart_sales_overview": lambda w: marts.mart_sales_overview(w.table("fact_sales_item")),
-    "mart_product_performance": lambda w: marts.mart_product_performance(w.sales_lines(), w.table("fact_reviews")),
+    "product_month": lambda w: marts.product_month(w.sales_lines()),
+    "mart_product_performance": lambda w: marts.mart_product_performance(
+        w.stored("product_month"), w.table("fact_reviews")
+    ),
     "mart_customer_insight": lambda w: marts.mart_customer_insight(
         w.table("fact_orders"), w.table("dim_customer"), w.table("dim_geography")
     ),
@@ -218,6 +232,9 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.table("fact_orders"), w.sales_lines(), w.table("fact_inventory_snapshot")
     ),
     "mart_sales_forecast_ready": _forecast_ready,
+    "keyed_series": lambda w: w.table("fact_sales_item")
+    .groupBy("category", "region", F.col("order_date").alias("date"))
+    .agg(F.sum("net").alias("revenue"), F.sum("cogs").alias("cogs")),
     "daily_operations": lambda w: features.daily_operations(w.table("fact_orders"), w.table("dim_customer")),
     "daily_inventory": lambda w: features.daily_inventory(
         w.table("dim_date"), marts.monthly_inventory(w.table("fact_inventory_snapshot"))

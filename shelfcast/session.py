@@ -64,9 +64,10 @@ def publish_folder(spark: SparkSession, name: str) -> str:
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that is read several times to the shared folder, and read it back.
 
-    Used for daily frames, whose size is bounded by the calendar, before the forecast
-    steps and iterative fits scan them again. Without a shared folder the frame stays
-    lazy: slower, still right when executors are lost.
+    Spark reuses a shuffle only between identical subplans, and different columns or
+    filters make them differ. So frames that a line-level pass produces are stored before
+    ranks, forecast steps and iterative fits scan them again. Without a shared folder the
+    frame stays lazy: slower, still right when executors are lost.
     """
     spark = df.sparkSession
     if shared_folder(spark) is None:

@@ -50,9 +50,9 @@ def stg_products(part: DataFrame) -> DataFrame:
     )
 
 
-def stg_items(lineitem: DataFrame, products: DataFrame) -> DataFrame:
-    """Order lines with money columns. A line of an unknown product keeps NULL cost."""
-    lines = lineitem.select(
+def stg_lines(lineitem: DataFrame) -> DataFrame:
+    """Order lines as recorded, before any product is looked up."""
+    return lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("product_id"),
@@ -64,20 +64,26 @@ def stg_items(lineitem: DataFrame, products: DataFrame) -> DataFrame:
         F.col("l_linestatus").alias("line_status"),
         F.to_date("l_shipdate").alias("ship_date"),
     )
+
+
+def stg_items(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Order lines with money columns. A line of an unknown product is kept at no cost; the
+    link check lists it."""
     priced = lines.join(products.select("product_id", "category", "price"), "product_id", "left")
+    nothing = F.lit(0).cast("decimal(12,2)")
     return (
         priced.withColumns(
             {
                 "discount": line_amount(F.col("gross") * F.col("discount_share")),
                 "net": line_amount(F.col("gross") * (1 - F.col("discount_share"))),
-                "cogs": line_amount(F.col("units") * F.col("price")),
+                "cogs": line_amount(F.coalesce(F.col("units") * F.col("price"), nothing)),
                 "shipping_fee": line_amount(F.col("gross") * F.col("tax_share")),
             }
         )
         .withColumns(
             {
-                "return_amount": F.when(F.col("is_returned"), F.col("net")).otherwise(F.lit(0).cast("decimal(18,4)")),
-                "returned_units": F.when(F.col("is_returned"), F.col("units")).otherwise(F.lit(0).cast("decimal(12,2)")),
+                "return_amount": F.when(F.col("is_returned"), F.col("net")).otherwise(line_amount(nothing)),
+                "returned_units": F.when(F.col("is_returned"), F.col("units")).otherwise(nothing),
                 "return_reason": F.when(F.col("is_returned"), F.col("line_status")),
                 "gross_profit": line_amount(F.col("net") - F.col("cogs")),
             }
@@ -152,23 +158,24 @@ def stg_promotions(orders: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def stg_shipments(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    lines = lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("line_no"),
-        F.to_date("l_shipdate").alias("ship_date"),
-        line_amount(money("l_extendedprice") * share("l_tax")).alias("shipping_fee"),
-    )
+def stg_shipments(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return (
-        lines.join(orders.select("order_id", "order_date"), "order_id")
+        lines.select(
+            "order_id", "line_no", "ship_date", line_amount(F.col("gross") * F.col("tax_share")).alias("shipping_fee")
+        )
+        .join(orders.select("order_id", "order_date"), "order_id")
         .withColumn("lead_days", F.datediff("ship_date", "order_date"))
         .withColumn("is_valid", F.col("lead_days") >= 0)
     )
 
 
-def stg_returns(items: DataFrame) -> DataFrame:
-    return items.where("is_returned").select(
-        "order_id", "product_id", "units", "return_amount", F.col("return_reason").alias("reason")
+def stg_returns(lines: DataFrame) -> DataFrame:
+    return lines.where("is_returned").select(
+        "order_id",
+        "product_id",
+        "units",
+        line_amount(F.col("gross") * (1 - F.col("discount_share"))).alias("return_amount"),
+        F.col("line_status").alias("reason"),
     )
 
 
@@ -182,18 +189,10 @@ def stg_reviews(documents: DataFrame, labels: DataFrame, part: DataFrame) -> Dat
     )
 
 
-def stg_inventory(lineitem: DataFrame, products: DataFrame) -> DataFrame:
+def stg_inventory(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Product-month stock. Lines are summed before the product join, so a hot product
     reaches the join with one row per month."""
-    demand = (
-        lineitem.select(
-            F.col("l_partkey").alias("product_id"),
-            month_start(F.to_date("l_shipdate")).alias("month"),
-            money("l_quantity").alias("units"),
-        )
-        .groupBy("product_id", "month")
-        .agg(F.sum("units").alias("demand"))
-    )
+    demand = lines.groupBy("product_id", month_start("ship_date").alias("month")).agg(F.sum("units").alias("demand"))
     return (
         demand.join(products.select("product_id", "size"), "product_id", "left")
         .withColumn("received", (2 * F.col("size")).cast("bigint"))

@@ -48,7 +48,7 @@ def test_quality_report_counts(spark):
     )
     orders = spark.createDataFrame([(1,)], "order_id long")
     check = TableCheck(
-        "lines", lines, ["order_id", "line_no"], F.col("at").isNull(), (("order_id", orders, "order_id"),)
+        "lines", lines, ["order_id", "line_no"], F.col("at").isNull(), ((lines, "order_id", orders, "order_id"),)
     )
     row = quality_report([check]).first()
     assert row.asDict() == {

@@ -9,7 +9,7 @@ import pytest
 
 from shelfcast.operators import seasonal
 from shelfcast.operators.seasonal import ForecastWindow
-from shelfcast.plans.queries import keyed_series, run
+from shelfcast.plans.queries import run
 from shelfcast.plans.warehouse import Warehouse
 from shelfcast.session import durable
 
@@ -150,7 +150,7 @@ def test_hold_out_error_on_test_tables(spark, small):
 
 def test_keyed_series_adds_up_to_the_lines(spark, small):
     w = Warehouse(spark, small)
-    keyed = keyed_series(w).groupBy().sum("revenue").first()[0]
+    keyed = w.table("keyed_series").groupBy().sum("revenue").first()[0]
     assert keyed == w.table("fact_sales_item").groupBy().sum("net").first()[0]
 
 
