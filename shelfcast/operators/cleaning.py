@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -58,29 +59,25 @@ class Link:
     parent_key: str
 
 
-def _keys(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(F.col(key).alias("orphan_key")).agg(F.count("*").alias("row_count"))
-
-
 def clean_link_check(links: Sequence[Link]) -> DataFrame:
     """Keys without a partner, in both directions, with the number of rows they stand for.
 
-    Both sides are counted per key first: a hot key reaches the anti join as one row.
-    A missing child key has no parent and is listed as NULL.
+    Both sides are counted per key first, so a hot key reaches the join as one row, and one
+    full outer join on that partitioning finds both kinds. A missing child key has no
+    parent and is listed as NULL.
     """
-    result = None
-    for link in links:
-        child = _keys(link.child, link.child_key)
-        parent = _keys(link.parent, link.parent_key)
-        for direction, left, right in (
-            ("child_without_parent", child, parent),
-            ("parent_without_child", parent, child),
-        ):
-            orphans = left.join(right.select("orphan_key"), "orphan_key", "left_anti").select(
-                F.lit(link.name).alias("relationship"),
-                F.lit(direction).alias("direction"),
-                F.col("orphan_key").cast("bigint").alias("orphan_key"),
-                "row_count",
-            )
-            result = orphans if result is None else result.unionByName(orphans)
-    return result
+    return reduce(DataFrame.unionByName, [_orphans(link) for link in links])
+
+
+def _orphans(link: Link) -> DataFrame:
+    child = link.child.groupBy(F.col(link.child_key).alias("orphan_key")).agg(F.count("*").alias("child_rows"))
+    parent = link.parent.groupBy(F.col(link.parent_key).alias("orphan_key")).agg(F.count("*").alias("parent_rows"))
+    joined = child.join(parent, "orphan_key", "full_outer")
+    return joined.where(F.col("child_rows").isNull() | F.col("parent_rows").isNull()).select(
+        F.lit(link.name).alias("relationship"),
+        F.when(F.col("parent_rows").isNull(), "child_without_parent")
+        .otherwise("parent_without_child")
+        .alias("direction"),
+        F.col("orphan_key").cast("bigint").alias("orphan_key"),
+        F.coalesce("child_rows", "parent_rows").alias("row_count"),
+    )

@@ -12,15 +12,21 @@ def dim_date(orders: DataFrame, web: DataFrame) -> DataFrame:
     first = orders.agg(F.min("order_date").alias("first_day"), F.max("order_date").alias("last_order"))
     last_event = web.agg(F.to_date(F.max("ts"))).scalar()
     days = calendar_between(first, F.col("first_day"), F.greatest("last_order", last_event))
-    return days.select(
-        "date",
-        F.year("date").alias("year"),
-        F.quarter("date").alias("quarter"),
-        F.month("date").alias("month"),
-        F.dayofmonth("date").alias("day"),
-        iso_weekday("date").alias("iso_weekday"),
-        is_weekend("date").alias("is_weekend"),
-        season("date").alias("season"),
+    return with_calendar(days)
+
+
+def with_calendar(days: DataFrame) -> DataFrame:
+    """The calendar columns of ``dim_date`` for any frame with a date."""
+    return days.withColumns(
+        {
+            "year": F.year("date"),
+            "quarter": F.quarter("date"),
+            "month": F.month("date"),
+            "day": F.dayofmonth("date"),
+            "iso_weekday": iso_weekday("date"),
+            "is_weekend": is_weekend("date"),
+            "season": season("date"),
+        }
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions.exact import count_if, ratio
+from shelfcast.operators.dims import with_calendar
 
 ORDER_SUMS = ("units", "returned_units", "gross", "net", "cogs", "shipping_fee", "return_amount")
 
@@ -109,11 +110,9 @@ def fact_inventory_snapshot(inventory: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales_series(sales: DataFrame, dates: DataFrame) -> DataFrame:
+def fact_sales_series(sales: DataFrame) -> DataFrame:
     """The daily series with calendar columns; it stays independent of the order lines."""
-    return sales.join(
-        dates.select("date", "year", "quarter", "month", "day", "iso_weekday", "is_weekend", "season"), "date", "left"
-    )
+    return with_calendar(sales)
 
 
 def fact_web_traffic(sessions: DataFrame, sources: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -202,3 +203,19 @@ def forecast_metrics(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.avg(F.abs(error)).alias("mae"),
         (1 - F.try_divide(F.sum(error * error), F.var_pop("actual") * F.count("*"))).alias("r2"),
     )
+
+
+def hybrid_metrics(mart_of: Callable[[Column], DataFrame], first_years: Sequence[int]) -> DataFrame:
+    """RMSE, MAE and R2 of the hybrid per expanding fold.
+
+    ``mart_of`` builds the forecast mart for a training condition, so that the expected
+    values of each fold see only that fold's training days.
+    """
+    scored = []
+    for number, year in enumerate(first_years, start=1):
+        cut = f"{year}-01-01"
+        is_train = F.col("date") < F.lit(cut).cast("date")
+        predicted = hybrid_predict(mart_of(is_train), is_train, cut)
+        scored.append(predicted.where(F.year("date") == year).withColumn("fold", F.lit(number)))
+    columns = ["fold", *TARGETS, *[f"{name}_pred" for name in TARGETS]]
+    return forecast_metrics(reduce(DataFrame.unionByName, [df.select(*columns) for df in scored]), ["fold"])

@@ -74,15 +74,16 @@ def mart_customer_insight(orders: DataFrame, customers: DataFrame, geography: Da
     )
 
 
-def mart_promotion_effectiveness(lines: DataFrame, promotions: DataFrame) -> DataFrame:
+def category_day(lines: DataFrame) -> DataFrame:
+    return lines.groupBy(F.col("order_date").alias("date"), "category").agg(*summed(("net", "discount")))
+
+
+def mart_promotion_effectiveness(daily: DataFrame, promotions: DataFrame) -> DataFrame:
     """Each promotion against the other days of its category.
 
-    Sales shrink to day x category before they meet promotion days. What lies outside a
-    promotion is the category total minus what lies inside.
+    ``daily`` is a stored ``category_day``: sales shrink to it before they meet promotion
+    days. What lies outside a promotion is the category total minus what lies inside.
     """
-    daily = lines.groupBy(F.col("order_date").alias("date"), "category").agg(
-        F.sum("net").alias("net"), F.sum("discount").alias("discount")
-    )
     totals = daily.groupBy("category").agg(F.count("*").alias("all_days"), F.sum("net").alias("all_revenue"))
     inside = (
         promo_days(promotions)

@@ -233,7 +233,7 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
             "forecast": _forecast(w).select("date", *_columns("{}_pred")),
         }
     ),
-    "series_preview": lambda w: seasonal.series_preview(w.table("sales"), PREVIEW_ROWS),
+    "series_preview": lambda w: seasonal.series_preview(w.stored("sales"), PREVIEW_ROWS),
     "calendar_parts": lambda w: calendar_parts(w.table("sales")),
     "full_year_slice": _growth_years,
     "validation_filter": lambda w: seasonal.validation_filter(w.table("sales"), FORECAST_WINDOW.check_years),

@@ -212,7 +212,7 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "fact_reviews": lambda w: facts.fact_reviews(w.table("reviews"), w.table("products")),
     "fact_inventory_snapshot": lambda w: facts.fact_inventory_snapshot(w.table("inventory")),
-    "fact_sales_series": lambda w: facts.fact_sales_series(w.table("sales"), w.table("dim_date")),
+    "fact_sales_series": lambda w: facts.fact_sales_series(w.table("sales")),
     "fact_web_traffic": lambda w: facts.fact_web_traffic(w.table("sessions"), w.table("dim_traffic_source")),
     "mart_sales_overview": lambda w: marts.mart_sales_overview(w.table("fact_sales_item")),
     "product_month": lambda w: marts.product_month(w.sales_lines()),
@@ -222,8 +222,9 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "mart_customer_insight": lambda w: marts.mart_customer_insight(
         w.table("fact_orders"), w.table("dim_customer"), w.table("dim_geography")
     ),
+    "category_day": lambda w: marts.category_day(w.sales_lines()),
     "mart_promotion_effectiveness": lambda w: marts.mart_promotion_effectiveness(
-        w.sales_lines(), w.table("dim_promotion")
+        w.stored("category_day"), w.stored("dim_promotion")
     ),
     "mart_return_diagnostics": lambda w: marts.mart_return_diagnostics(w.table("fact_sales_item")),
     "mart_shipping_service": lambda w: marts.mart_shipping_service(w.table("fact_sales_item")),

@@ -6,7 +6,7 @@ own files only has to supply frames with these columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.calendar import month_start
 from shelfcast.functions.exact import line_amount, money, ratio, share
@@ -118,44 +118,27 @@ def stg_geography(nation: DataFrame, region: DataFrame) -> DataFrame:
 def stg_promotions(orders: DataFrame, part: DataFrame) -> DataFrame:
     """One promotion every 50 days over the order calendar, each for one product category.
 
-    The window that numbers categories sees one row per category name.
+    The category list is the short set of distinct names, in name order.
     """
-    categories = (
-        part.groupBy(F.col("p_type").alias("category"))
-        .agg(F.count("*").alias("products"))
-        .select(
-            (F.row_number().over(Window.orderBy("category")) - 1).alias("category_no"),
-            F.count("*").over(Window.partitionBy()).alias("category_count"),
-            "category",
-        )
-    )
+    categories = part.agg(F.sort_array(F.collect_set("p_type"))).scalar()
     span = orders.agg(
         F.to_date(F.min("o_orderdate")).alias("first_day"), F.to_date(F.max("o_orderdate")).alias("last_day")
     )
     last_no = F.floor((F.datediff("last_day", "first_day") - PROMO_FIRST_OFFSET) / F.lit(PROMO_EVERY)).cast("int")
-    promos = (
+    promo = F.col("promo_id")
+    return (
         span.where(F.datediff("last_day", "first_day") >= PROMO_FIRST_OFFSET)
         .select("first_day", F.explode(F.sequence(F.lit(0), last_no)).alias("promo_id"))
-        .select(
-            "promo_id",
-            F.date_add("first_day", PROMO_FIRST_OFFSET + F.col("promo_id") * PROMO_EVERY).alias("start_date"),
-        )
+        .select("promo_id", F.date_add("first_day", PROMO_FIRST_OFFSET + promo * PROMO_EVERY).alias("start_date"))
         .select(
             "promo_id",
             "start_date",
-            F.date_add(
-                "start_date", PROMO_DAYS + PROMO_DAYS_STEP * (F.col("promo_id") % PROMO_DAYS_CYCLE)
-            ).alias("end_date"),
-            (PROMO_PCT + PROMO_PCT_STEP * (F.col("promo_id") % PROMO_PCT_CYCLE)).alias("discount_pct"),
-            (F.col("promo_id") % PROMO_STACKABLE_EVERY == 0).alias("stackable"),
+            F.date_add("start_date", PROMO_DAYS + PROMO_DAYS_STEP * (promo % PROMO_DAYS_CYCLE)).alias("end_date"),
+            (PROMO_PCT + PROMO_PCT_STEP * (promo % PROMO_PCT_CYCLE)).alias("discount_pct"),
+            (promo % PROMO_STACKABLE_EVERY == 0).alias("stackable"),
+            F.get(categories, promo % F.size(categories)).alias("category"),
         )
     )
-    category_count = categories.agg(F.max("category_count")).scalar()
-    return (
-        promos.withColumn("category_no", (F.col("promo_id") % category_count).cast("int"))
-        .join(categories.select("category_no", "category"), "category_no")
-        .select("promo_id", "start_date", "end_date", "discount_pct", "stackable", "category")
-    )
 
 
 def stg_shipments(lines: DataFrame, orders: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from shelfcast.operators import model
+from shelfcast.operators import features, model
 from shelfcast.plans.queries import CV_FIRST_YEARS, ORIGIN
 from shelfcast.plans.warehouse import Warehouse
+from shelfcast.session import durable
 
 CUT = "2001-01-01"
 
@@ -90,6 +91,19 @@ def test_hybrid_beats_the_trend_on_training_days_and_is_stable(spark, small):
     assert len(first) == mart.count()
 
 
+def test_hybrid_is_scored_on_unseen_years(spark, small):
+    w = Warehouse(spark, small)
+    frames = [w.stored(name) for name in
+              ("fact_sales_series", "promotions", "daily_operations", "daily_inventory", "daily_traffic")]
+    metrics = model.hybrid_metrics(
+        lambda is_train: durable(features.mart_sales_forecast_ready(*frames, is_train), "fold"), [2001]
+    )
+    got = {(r["fold"], r["target"]): r for r in metrics.collect()}
+    assert set(got) == {(1, "revenue"), (1, "cogs")}
+    for r in got.values():
+        assert r["row_count"] == 83 and 0 < r["mae"] <= r["rmse"]
+
+
 def test_folds_expand_and_never_look_ahead(spark, small):
     days = Warehouse(spark, small).table("sales")
     folds = model.ts_cross_validation(days, CV_FIRST_YEARS)

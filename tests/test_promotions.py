@@ -2,7 +2,7 @@ import datetime as dt
 
 from shelfcast.operators.features import feat_promotion
 from shelfcast.operators.promotions import leading_promo
-from shelfcast.plans.marts import mart_promotion_effectiveness
+from shelfcast.plans.marts import category_day, mart_promotion_effectiveness
 
 D = [dt.date(2001, 1, i) for i in range(1, 11)]
 PROMOS = [
@@ -38,7 +38,7 @@ def test_effectiveness_compares_inside_with_outside(spark):
         "order_date date, category string, net double, discount double",
     )
     got = {r["promo_id"]: r for r in
-           mart_promotion_effectiveness(lines, spark.createDataFrame(PROMOS, SCHEMA)).collect()}
+           mart_promotion_effectiveness(category_day(lines), spark.createDataFrame(PROMOS, SCHEMA)).collect()}
     assert (got[0]["active_days"], got[0]["revenue_inside"], got[0]["discount_amount"]) == (1, 60, 5)
     assert (got[0]["revenue_per_active_day"], got[0]["revenue_per_other_day"], got[0]["lift"]) == (60.0, 20.0, 2.0)
     assert (got[1]["active_days"], got[1]["revenue_per_active_day"], got[1]["lift"]) == (0, None, None)

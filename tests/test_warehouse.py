@@ -87,7 +87,7 @@ def test_hot_order_and_hot_customer_overview(spark):
     rows += [(i, i % 7, "AB"[i % 2], "N", 2.0) for i in range(1, 500)]
     frame = spark.createDataFrame(rows, "order_id long, customer_id long, category string, region string, net double")
     lines = frame.withColumn("order_date", F.lit(dt.date(2001, 1, 1))).withColumns(
-        {c: F.col("net") for c in ("net_profit", "cogs", "return_amount")}
+        {c: F.col("net") for c in ("shipping_fee", "cogs", "return_amount")}
     )
     got = {r["category"]: (r["orders"], r["customers"], r["revenue"]) for r in
            marts.mart_sales_overview(lines.repartition(7)).collect()}
