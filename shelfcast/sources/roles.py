@@ -6,10 +6,10 @@ own files only has to supply frames with these columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions.calendar import month_start
-from shelfcast.functions.exact import line_amount, money, ratio, share
+from shelfcast.functions.exact import from_hundredths, from_ten_thousandths, hundredths, money, ratio
 
 # The role contract of promotions (days and percent).
 PROMO_FIRST_OFFSET = 14
@@ -51,51 +51,55 @@ def stg_products(part: DataFrame) -> DataFrame:
 
 
 def stg_lines(lineitem: DataFrame) -> DataFrame:
-    """Order lines as recorded, before any product is looked up."""
+    """Order lines as recorded, before any product is looked up; ``*_h`` are hundredths."""
     return lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("product_id"),
-        money("l_quantity").alias("units"),
-        money("l_extendedprice").alias("gross"),
-        share("l_discount").alias("discount_share"),
-        share("l_tax").alias("tax_share"),
+        hundredths("l_quantity").alias("units_h"),
+        hundredths("l_extendedprice").alias("gross_h"),
+        hundredths("l_discount").alias("discount_h"),
+        hundredths("l_tax").alias("tax_h"),
         (F.col("l_returnflag") == RETURNED_FLAG).alias("is_returned"),
         F.col("l_linestatus").alias("line_status"),
         F.to_date("l_shipdate").alias("ship_date"),
     )
 
 
+def _net() -> Column:
+    return F.col("gross_h") * (100 - F.col("discount_h"))
+
+
+def _fee() -> Column:
+    return F.col("gross_h") * F.col("tax_h")
+
+
 def stg_items(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines with money columns. A line of an unknown product is kept at no cost; the
     link check lists it."""
-    priced = lines.join(products.select("product_id", "category", "price"), "product_id", "left")
-    nothing = F.lit(0).cast("decimal(12,2)")
-    return (
-        priced.withColumns(
-            {
-                "discount": line_amount(F.col("gross") * F.col("discount_share")),
-                "net": line_amount(F.col("gross") * (1 - F.col("discount_share"))),
-                "cogs": line_amount(F.coalesce(F.col("units") * F.col("price"), nothing)),
-                "shipping_fee": line_amount(F.col("gross") * F.col("tax_share")),
-            }
-        )
-        .withColumns(
-            {
-                "return_amount": F.when(F.col("is_returned"), F.col("net")).otherwise(line_amount(nothing)),
-                "returned_units": F.when(F.col("is_returned"), F.col("units")).otherwise(nothing),
-                "return_reason": F.when(F.col("is_returned"), F.col("line_status")),
-                "gross_profit": line_amount(F.col("net") - F.col("cogs")),
-            }
-        )
-        .withColumn(
-            "net_profit", line_amount(F.col("gross_profit") - F.col("shipping_fee") - F.col("return_amount"))
-        )
-        .select(
-            "order_id", "line_no", "product_id", "category", "units", "gross", "discount", "net", "cogs",
-            "shipping_fee", "is_returned", "returned_units", "return_reason", "return_amount", "gross_profit",
-            "net_profit", "ship_date",
-        )
+    prices = products.select("product_id", "category", (F.col("price") * 100).cast("bigint").alias("price_h"))
+    zero = F.lit(0).cast("bigint")
+    returned = F.col("is_returned")
+    cogs = F.coalesce(F.col("units_h") * F.col("price_h"), zero)
+    return_amount = F.when(returned, _net()).otherwise(zero)
+    return lines.join(prices, "product_id", "left").select(
+        "order_id",
+        "line_no",
+        "product_id",
+        "category",
+        from_hundredths("units_h").alias("units"),
+        from_hundredths("gross_h").alias("gross"),
+        from_ten_thousandths(F.col("gross_h") * F.col("discount_h")).alias("discount"),
+        from_ten_thousandths(_net()).alias("net"),
+        from_ten_thousandths(cogs).alias("cogs"),
+        from_ten_thousandths(_fee()).alias("shipping_fee"),
+        "is_returned",
+        from_hundredths(F.when(returned, F.col("units_h")).otherwise(zero)).alias("returned_units"),
+        F.when(returned, F.col("line_status")).alias("return_reason"),
+        from_ten_thousandths(return_amount).alias("return_amount"),
+        from_ten_thousandths(_net() - cogs).alias("gross_profit"),
+        from_ten_thousandths(_net() - cogs - _fee() - return_amount).alias("net_profit"),
+        "ship_date",
     )
 
 
@@ -144,7 +148,7 @@ def stg_promotions(orders: DataFrame, part: DataFrame) -> DataFrame:
 def stg_shipments(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return (
         lines.select(
-            "order_id", "line_no", "ship_date", line_amount(F.col("gross") * F.col("tax_share")).alias("shipping_fee")
+            "order_id", "line_no", "ship_date", from_ten_thousandths(_fee()).alias("shipping_fee")
         )
         .join(orders.select("order_id", "order_date"), "order_id")
         .withColumn("lead_days", F.datediff("ship_date", "order_date"))
@@ -156,8 +160,8 @@ def stg_returns(lines: DataFrame) -> DataFrame:
     return lines.where("is_returned").select(
         "order_id",
         "product_id",
-        "units",
-        line_amount(F.col("gross") * (1 - F.col("discount_share"))).alias("return_amount"),
+        from_hundredths("units_h").alias("units"),
+        from_ten_thousandths(_net()).alias("return_amount"),
         F.col("line_status").alias("reason"),
     )
 
@@ -175,7 +179,9 @@ def stg_reviews(documents: DataFrame, labels: DataFrame, part: DataFrame) -> Dat
 def stg_inventory(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Product-month stock. Lines are summed before the product join, so a hot product
     reaches the join with one row per month."""
-    demand = lines.groupBy("product_id", month_start("ship_date").alias("month")).agg(F.sum("units").alias("demand"))
+    demand = lines.groupBy("product_id", month_start("ship_date").alias("month")).agg(
+        from_hundredths(F.sum("units_h")).alias("demand")
+    )
     return (
         demand.join(products.select("product_id", "size"), "product_id", "left")
         .withColumn("received", (2 * F.col("size")).cast("bigint"))
