@@ -17,7 +17,9 @@ def test_standardise(spark):
 
 
 def test_dedup_is_deterministic_and_null_first(spark):
-    rows = [(1, 1, 5.0, "b"), (1, 1, 5.0, "a"), (1, 1, 5.0, "a"), (1, 2, None, "z"), (1, 2, 0.0, "a"), (2, 1, 3.0, None)]
+    rows = [
+        (1, 1, 5.0, "b"), (1, 1, 5.0, "a"), (1, 1, 5.0, "a"), (1, 2, None, "z"), (1, 2, 0.0, "a"), (2, 1, 3.0, None),
+    ]
     df = spark.createDataFrame(rows, "k int, n int, v double, s string")
     wanted = {(1, 1, 5.0, "a"), (1, 2, None, "z"), (2, 1, 3.0, None)}
     for order in (F.col("s"), F.desc("s")):

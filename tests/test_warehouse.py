@@ -134,7 +134,8 @@ def test_published_layers(spark, w):
 
 def test_forecast_file(spark, tmp_path):
     forecast = spark.createDataFrame(
-        [(dt.date(2023, 1, 2), 3.5, 1.25), (dt.date(2023, 1, 1), 2.0, 1.0)], "date date, revenue_pred double, cogs_pred double"
+        [(dt.date(2023, 1, 2), 3.5, 1.25), (dt.date(2023, 1, 1), 2.0, 1.0)],
+        "date date, revenue_pred double, cogs_pred double",
     )
     path = tmp_path / "out"
     forecast_publish(forecast, str(path))
