@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows of one Arrow batch between the JVM and Python: bounds memory when texts are long.
 ARROW_ROWS = 1000
@@ -66,3 +67,50 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{store_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of the frame has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def annotate(
+    df: DataFrame, text_column: str, make: Callable[[], Callable[[pa.Array], list]], fields: str, keep: list[str],
+    name: str,
+) -> DataFrame:
+    """The columns ``keep``, and a struct column ``name`` of ``fields`` computed from the text of each row.
+
+    ``make`` runs once in each task; what it returns maps the text column of a byte-bounded slice to an array for
+    each field. Rows are neither shuffled nor joined, and columns that are not kept never reach Python's output.
+    """
+    text = text_column if text_column in keep else fresh(df, "text")
+    columns = [F.col(f"`{c}`") for c in keep]
+    if text_column not in keep:
+        columns.append(F.col(f"`{text_column}`").cast("string").alias(text))
+    source = df.select(*columns)
+    result = T.StructType.fromDDL(fields)
+    kept = [source.schema[c] for c in keep]
+    schema = T.StructType([*kept, T.StructField(name, result)])
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kinds = [to_arrow_type(f.dataType) for f in result]
+    names = result.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for part in slices(batches, text):
+            arrays = [
+                a if isinstance(a, pa.Array) else pa.array(a, k) for a, k in zip(compute(part.column(text)), kinds)
+            ]
+            packed = pa.StructArray.from_arrays(arrays, names)
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], packed], [*keep, name])
+
+    return source.mapInArrow(run, schema)
+
+
+def raw_texts(texts: pa.Array) -> list[bytes]:
+    """Texts as UTF-8 bytes, null as empty."""
+    return [t or b"" for t in texts.cast(pa.binary()).to_pylist()]

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from shelfcast.llm.chat import OP7_SQL, op7_chat
+from shelfcast.llm.decontaminate import OP10_SQL, op10_decontamination
 from shelfcast.llm.tokens import op1_token_counts
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op7_chat": op7_chat,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL = {
     "op7_chat": OP7_SQL,
+    "op10_decontamination": OP10_SQL,
 }
