@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from shelfcast.llm.chat import OP7_SQL, op7_chat
 from shelfcast.llm.decontaminate import OP10_SQL, op10_decontamination
+from shelfcast.llm.language import op3_language
+from shelfcast.llm.quality import op4_quality
 from shelfcast.llm.tokens import op1_token_counts
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_language": op3_language,
+    "op4_quality": op4_quality,
     "op7_chat": op7_chat,
     "op10_decontamination": op10_decontamination,
 }
