@@ -32,7 +32,7 @@ STEM_CHARS = range(4, 9)
 #: Each toxic training document is to be covered by so many stems; a stem must add this share of documents.
 COVER, LEAST_SHARE, LEAST_DOCS = 6, 0.008, 4
 #: Share of clean among the documents with a stem, at most.
-IMPURE = 0.03
+IMPURE = 0.01
 #: Log odds of a text without stems, before training.
 START = -3.0
 MEMORY_TOKENS = 100_000
@@ -59,7 +59,7 @@ LEET = {
 }
 SEPARATORS = " ._-*"
 LOG = np.log
-KEEP, SWAP, SAME, DROP, SPLIT, JOIN = LOG(0.9), LOG(0.5), LOG(0.005), LOG(0.6), LOG(0.1), LOG(0.9)
+KEEP, SWAP, SAME, DROP, SPLIT, JOIN = LOG(0.9), LOG(0.5), LOG(0.0003), LOG(0.6), LOG(0.1), LOG(0.9)
 IS_LEET = np.zeros(256, bool)
 IS_LEET[[ord(c) for c in LEET]] = True
 IS_LETTER = np.zeros(256, bool)
@@ -222,10 +222,11 @@ def choose_stems(toxic: list[str], clean: list[str]) -> list[str]:
             holds.setdefault(s, []).append(i)
     where = {s: np.array(v) for s, v in holds.items()}
     need, chosen = np.full(len(toxic), COVER), []
-    gains = {s: len(v) for s, v in where.items()}
+    cost = {s: 10 * b[s] * scale for s in pure}
+    gains = {s: len(v) - cost[s] for s, v in where.items()}
     while gains:
         best = max(gains, key=lambda s: (gains[s], len(s), s))
-        real = int((need[where[best]] > 0).sum())
+        real = int((need[where[best]] > 0).sum()) - cost[best]
         if real < gains[best]:  # gains only fall; count again before taking
             gains[best] = real
             if real < least:
