@@ -6,6 +6,7 @@ from shelfcast.llm.chat import OP7_SQL, op7_chat
 from shelfcast.llm.decontaminate import OP10_SQL, op10_decontamination
 from shelfcast.llm.language import op3_language
 from shelfcast.llm.quality import op4_quality
+from shelfcast.llm.simhash import op6_simhash
 from shelfcast.llm.tokens import op1_token_counts
 from shelfcast.llm.toxicity import op9_toxicity
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_language": op3_language,
     "op4_quality": op4_quality,
+    "op6_simhash": op6_simhash,
     "op7_chat": op7_chat,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
