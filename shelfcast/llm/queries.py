@@ -8,10 +8,12 @@ from shelfcast.llm.language import op3_language
 from shelfcast.llm.quality import op4_quality
 from shelfcast.llm.simhash import op6_simhash
 from shelfcast.llm.tokens import op1_token_counts
+from shelfcast.llm.topk import OP2_SQL, op2_topk
 from shelfcast.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_topk": op2_topk,
     "op3_language": op3_language,
     "op4_quality": op4_quality,
     "op6_simhash": op6_simhash,
@@ -20,6 +22,7 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL = {
+    "op2_topk": OP2_SQL,
     "op7_chat": OP7_SQL,
     "op10_decontamination": OP10_SQL,
 }
