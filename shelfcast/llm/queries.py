@@ -5,6 +5,7 @@ from __future__ import annotations
 from shelfcast.llm.chat import OP7_SQL, op7_chat
 from shelfcast.llm.decontaminate import OP10_SQL, op10_decontamination
 from shelfcast.llm.language import op3_language
+from shelfcast.llm.pieces import op5_pieces
 from shelfcast.llm.quality import op4_quality
 from shelfcast.llm.simhash import op6_simhash
 from shelfcast.llm.tokens import op1_token_counts
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_topk": op2_topk,
     "op3_language": op3_language,
     "op4_quality": op4_quality,
+    "op5_pieces": op5_pieces,
     "op6_simhash": op6_simhash,
     "op7_chat": op7_chat,
     "op9_toxicity": op9_toxicity,
