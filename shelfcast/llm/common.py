@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 #: Rows of one Arrow batch between the JVM and Python: bounds memory when texts are long.
 ARROW_ROWS = 1000
 #: UTF-8 bytes of text that a Python function holds unpacked at once (or one text, if longer).
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def bounded_batches(spark: SparkSession) -> None:

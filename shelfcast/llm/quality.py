@@ -24,6 +24,8 @@ from shelfcast.llm.samples import labelled_texts
 SAMPLE_DOCS = 5000
 #: Lines of a training document that the field is fitted on; all of its lines enter the logistic fit.
 TRAIN_LINES = 40
+#: Training texts whose bytes are unpacked at once on the driver.
+TRAIN_TEXTS = 100
 BINS = 8
 ROUNDS = 160
 RATE = 0.08
@@ -172,12 +174,21 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
+def _sample_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """line_features of many texts, TRAIN_TEXTS at a time."""
+    parts = [(at, line_features(texts[at : at + TRAIN_TEXTS])) for at in range(0, len(texts), TRAIN_TEXTS)]
+    return (
+        np.concatenate([f for _, (f, _, _) in parts]), np.concatenate([n for _, (_, n, _) in parts]),
+        np.concatenate([o + at for at, (_, _, o) in parts]),
+    )
+
+
 def train(texts: list[bytes], labels: list[int]) -> dict:
     """Cuts, weights, transitions and the logistic fit."""
     y = np.array(labels, float)
     if len(y) == 0 or y.min() == y.max():
         return {"constant": float(y.mean()) if len(y) else 0.5}
-    features, lengths, owner = line_features(texts)
+    features, lengths, owner = _sample_features(texts)
     nth = np.arange(len(owner)) - np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])[
         np.cumsum(np.concatenate([[0], np.diff(owner) > 0]))
     ]
