@@ -4,7 +4,7 @@
 settings. From it the backend is rebuilt: the normaliser (prefix space, space to the metaspace marker, extra white
 space if the model removes it), the scores as a unigram model or as BPE merges in the order of the scores, and byte
 fallback. Because no piece holds a marker after another character, text can be cut before each run of markers without
-changing its pieces; so distinct stretches are encoded once, in batches, by the library's threads. ``verify_parity``
+changing its pieces; so distinct stretches are encoded once, many to a string, in batches, by the library's threads. ``verify_parity``
 compares with the sentencepiece library.
 
 A model with a compiled character map other than identity is refused, since the backend could not be exact.
@@ -37,6 +37,8 @@ UNIGRAM, BPE = 1, 2
 #: Stretches that a task remembers, and the longest one it remembers.
 MEMORY_STRETCHES = 200_000
 MEMORY_CHARS = 64
+#: Bytes of words that are encoded as one string of the batch.
+RUN_BYTES = 16_384
 #: Threads of the library within one task.
 THREADS = 2
 STRETCH = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
@@ -124,11 +126,17 @@ def normalise(text: str, model: dict) -> str:
     return text.replace(" ", MARK) if model["escape"] else text
 
 
-def backend(model: dict):
-    """The tokenizers model for already normalised stretches."""
+def cuttable(model: dict) -> bool:
+    """Whether no piece can cross into a run of markers."""
+    pieces = [p for p, _, kind in model["pieces"] if kind in (NORMAL, USER)]
+    return model["escape"] and not model["suffix"] and not any(MARK in p.lstrip(MARK) for p in pieces)
+
+
+def backend(model: dict, words: bool = False):
+    """The tokenizers model for already normalised stretches; ``words``: for strings of words, cut at each marker."""
     os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
-    from tokenizers import Tokenizer, models
+    from tokenizers import Tokenizer, models, pre_tokenizers
 
     if model["charsmap"]:
         raise ValueError("the model's compiled character map is not supported")
@@ -145,7 +153,10 @@ def backend(model: dict):
         )
     else:
         raise ValueError(f"model type {model['type']} is not supported")
-    return Tokenizer(core)
+    tokenizer = Tokenizer(core)
+    if words:
+        tokenizer.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
+    return tokenizer
 
 
 class Codec:
@@ -153,10 +164,10 @@ class Codec:
 
     def __init__(self, data: bytes):
         self.model = parse_model(data)
-        self.tokenizer = backend(self.model)
-        pieces = [p for p, _, kind in self.model["pieces"] if kind in (NORMAL, USER)]
-        self.cuttable = not any(MARK in p.lstrip(MARK) for p in pieces) and not self.model["suffix"]
-        self.known: dict[str, np.ndarray] = {}
+        self.tokenizer, self.word_tokenizer = backend(self.model), backend(self.model, words=True)
+        self.cuttable = cuttable(self.model)
+        self.opens = np.array([p.startswith(MARK) for p, _, _ in self.model["pieces"]])
+        self.known: dict[str, bytes] = {}  # ids as int32
         self.bytes_of = []
         for p, _, kind in self.model["pieces"]:
             if kind == BYTE:
@@ -180,10 +191,20 @@ class Codec:
         if len(self.known) + len(new) > MEMORY_STRETCHES:
             self.known, new = {}, set().union(*cut)
         known = self.known
-        for batch in byte_balanced(list(new)):
+        words = [s for s in new if len(s) > 1 and s[0] == MARK and s[1] != MARK] if self.cuttable else []
+        for batch in byte_balanced(words, RUN_BYTES * 64):
+            runs = list(byte_balanced(batch, RUN_BYTES))
+            encoded = self.word_tokenizer.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False)
+            for run, e in zip(runs, encoded):
+                ids = np.array(e.ids, np.int32)
+                # A word's first piece, and no other, holds the marker.
+                at = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), 4 * len(ids)]
+                raw = ids.tobytes()
+                known.update(zip(run, [raw[a:b] for a, b in zip(at, at[1:])]))
+        for batch in byte_balanced([s for s in new if s not in known]):
             for stretch, e in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)):
-                known[stretch] = np.array(e.ids, np.int32)
-        out = [np.concatenate([known[s] for s in c]) if c else np.zeros(0, np.int32) for c in cut]
+                known[stretch] = np.array(e.ids, np.int32).tobytes()
+        out = [np.frombuffer(b"".join(map(known.__getitem__, c)), np.int32) for c in cut]
         for stretch in [s for s in new if len(s) > MEMORY_CHARS]:
             del known[stretch]
         return out
