@@ -6,6 +6,7 @@ from shelfcast.llm.chat import OP7_SQL, op7_chat
 from shelfcast.llm.decontaminate import OP10_SQL, op10_decontamination
 from shelfcast.llm.language import op3_language
 from shelfcast.llm.pieces import op5_pieces
+from shelfcast.llm.privacy import op8_pii
 from shelfcast.llm.quality import op4_quality
 from shelfcast.llm.simhash import op6_simhash
 from shelfcast.llm.tokens import op1_token_counts
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_pieces": op5_pieces,
     "op6_simhash": op6_simhash,
     "op7_chat": op7_chat,
+    "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
