@@ -214,7 +214,7 @@ def find_benchmark(
     item_column: str = "item_id", item_text: str = "text", name: str = "found", window: int = WINDOW,
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
-    """The columns ``keep`` and a struct ``name``: n_words, n_hit, items, ranges of hit word numbers."""
+    """The columns ``keep`` and a struct ``name`` (none of them): n_words, n_hit, items, ranges of word numbers."""
     items = benchmark.select(
         F.coalesce(F.col(item_column).cast("string"), F.lit("")).alias("item"),
         F.col(item_text).cast("string").alias("text"),
@@ -229,7 +229,7 @@ def find_benchmark(
         held = [(r["item"], r["text"].encode()) for r in rows.collect()]
         last = shard == shards - 1
         carried = [*keep, *([] if last or text_column in keep else [text_column]), *passes]
-        passes.append(fresh(out, name if shards == 1 else f"{name}_{shard}"))
+        passes.append(name if shards == 1 else fresh(out, f"{name}_{shard}"))
         out = annotate(out, text_column, _maker(held, window), FIELDS, carried, passes[-1])
     if shards > 1:
         out = _merge(out, passes, keep, name)

@@ -1,0 +1,73 @@
+import itertools
+
+import numpy as np
+
+from shelfcast.llm import quality
+from shelfcast.llm.quality import fit_quality, line_features, marginals, op4_quality, score_quality, score_texts
+
+
+def brute_marginals(score, link):
+    n = len(score)
+    total, good, pairs = 0.0, np.zeros(n), np.zeros((2, 2))
+    for states in itertools.product((0, 1), repeat=n):
+        value = sum(score[i] * s for i, s in enumerate(states)) + sum(link[a, b] for a, b in zip(states, states[1:]))
+        p = np.exp(value)
+        total += p
+        good += p * np.array(states)
+        for a, b in zip(states, states[1:]):
+            pairs[a, b] += p
+    return good / total, pairs / total
+
+
+def test_forward_backward_against_all_labellings():
+    rng = np.random.default_rng(3)
+    link = rng.normal(0, 1, (2, 2))
+    sizes = [1, 4, 2, 6]
+    owner = np.repeat(range(4), sizes)
+    score = rng.normal(0, 2, len(owner))
+    good, pairs = marginals(score, owner, link)
+    expected = [brute_marginals(score[owner == d], link) for d in range(4)]
+    assert np.allclose(good, np.concatenate([g for g, _ in expected]))
+    assert np.allclose(pairs, sum(p for _, p in expected))
+
+
+def test_line_features():
+    features, lengths, owner = line_features([b"Same same same.\n\nABC!", b"", b"one two one two\nend"])
+    assert owner.tolist() == [0, 0, 0, 1, 2, 2]
+    assert lengths.tolist() == [15, 0, 4, 0, 15, 3]
+    words, repeats, echoes = len(quality.NAMES) + 1, len(quality.NAMES) + 3, len(quality.NAMES) + 4
+    assert features[:, words].tolist() == [3, 0, 1, 0, 4, 1]
+    assert np.allclose(features[:, repeats], [0, 0, 0, 0, 0, 0])  # "Same" and "same." differ from "same"
+    assert np.isclose(features[4, echoes], 1 / 4)
+
+
+def test_repeated_words():
+    features, _, _ = line_features([b"a a a b"])
+    assert np.isclose(features[0, len(quality.NAMES) + 3], 2 / 4)
+
+
+def test_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.01"
+    truth = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = op4_quality(spark, folder).join(truth, "doc_id").where("held_out").collect()
+    assert len(rows) > 50
+    assert np.mean([r["quality"] == r["predicted"] for r in rows]) > 0.95
+
+
+def test_messy_rows_and_empty_tables(spark, messy, empty):
+    labels = spark.createDataFrame(
+        [(1, 1), (2, None), (5, 0), (6, 1), (7, 0), (7, 1), (None, 1), (99, 1)], "doc_id bigint, quality int"
+    )
+    for model in (fit_quality(messy, labels), fit_quality(empty, labels.limit(0)), fit_quality(messy, labels.limit(0))):
+        rows = score_quality(messy, model).collect()
+        assert len(rows) == messy.count()
+        assert all(0 <= r["quality"]["score"] <= 1 for r in rows)
+    assert score_quality(empty, {"constant": 0.5}).count() == 0
+
+
+def test_score_does_not_depend_on_neighbours():
+    texts = [b"A fine line.\nAnother one.", b"JUNK!! | JUNK!!", b"", b"Good.\nBAD!! BAD!!"] * 10
+    model = quality.train(texts, [1, 0, 1, 0] * 10)
+    together = score_texts(texts[:4], model)
+    assert np.allclose(together, [score_texts([t], model)[0] for t in texts[:4]])
+    assert together[0] > 0.5 > together[1]

@@ -1,0 +1,45 @@
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from shelfcast.llm.tokens import PieceLengths, byte_balanced, count_tokens, load_tokenizer, pieces, public_tokenizer
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return load_tokenizer(public_tokenizer("byte_bpe_50k.json"))
+
+
+@given(st.text(alphabet=st.sampled_from("ab1 .'\n\t  é日!<|>"), max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_pieces_add_up(tokenizer, text):
+    assert "".join(pieces(text)) == text or text == ""
+    assert PieceLengths(tokenizer).count([text])[0] == len(tokenizer.encode(text, add_special_tokens=False))
+
+
+def test_batches_are_balanced_and_whole():
+    texts = ["a" * n for n in (5, 300, 20, 1, 90)]
+    batches = list(byte_balanced(texts, 100))
+    assert sorted(t for b in batches for t in b) == sorted(texts)
+    assert all(sum(map(len, b)) <= 100 or len(b) == 1 for b in batches)
+
+
+def test_special_strings_count_as_the_library_does(tokenizer):
+    text = "one <|endoftext|> two<|endoftext|>three"
+    assert PieceLengths(tokenizer).count([text]) == [len(tokenizer.encode(text, add_special_tokens=False))]
+
+
+def test_messy_rows(spark, messy, tokenizer):
+    got = count_tokens(messy).collect()
+    assert len(got) == messy.count()
+    texts = {r["doc_id"]: r["text"] for r in messy.collect()}
+    for r in got:
+        text = texts[r["doc_id"]] or ""
+        assert r["n_bytes"] == len(text.encode())
+        assert r["n_tokens"] == len(tokenizer.encode(text, add_special_tokens=False))
+        assert r["over_limit"] == (r["n_tokens"] > 1024)
+
+
+def test_empty_table(empty):
+    assert count_tokens(empty).count() == 0
+    assert count_tokens(empty).columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
