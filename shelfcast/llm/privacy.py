@@ -207,24 +207,26 @@ def find_personal(
     documents: DataFrame, text_column: str = "text", id_column: str = "doc_id", keep: list[str] | None = None,
     base: str = "base", added: str = "added",
 ) -> DataFrame:
-    """The columns ``keep`` with ``base`` (kind, start, end, value) and ``added`` (kind, start, end) spans."""
-    id_key, text_key = "privacy_id", "privacy_text"
-    keyed = documents.select(
-        *[F.col(f"`{c}`") for c in documents.columns], F.col(f"`{id_column}`").alias(fresh(documents, id_key))
-    )
-    id_key = keyed.columns[-1]
-    text_key = fresh(keyed, text_key)
-    keyed = keyed.withColumn(text_key, F.xxhash64(F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))))
-    _, held = disclosed_terms(keyed, f"`{text_column}`", [id_key, text_key])
-    held = held.select(F.col(id_key).alias("h_id"), F.col(text_key).alias("h_text"), F.col("terms").alias("h_terms"))
-    spans = base_spans(keyed, f"`{text_column}`", fresh(keyed, base))
-    joined = spans.join(held, F.col(id_key).eqNullSafe(F.col("h_id")) & (F.col(text_key) == F.col("h_text")), "left")
-    text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
+    """The columns ``keep`` (none: all) and two of other names: ``base`` (kind, start, end, value) and ``added`` (kind,
+    start, end) spans."""
+    columns = keep if keep is not None else documents.columns
+    # One struct holds what is kept, so the columns added here cannot clash with any of it.
+    own = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), F.col(f"`{id_column}`").alias("key_id"),
+        F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).alias("text"),
+    ).withColumn("key_text", F.xxhash64("text"))
+    _, held = disclosed_terms(own, "text", ["key_id", "key_text"])
+    held = held.select(F.col("key_id").alias("h_id"), F.col("key_text").alias("h_text"), F.col("terms").alias("h_terms"))
+    spans = base_spans(own, "text", "base")
+    text = F.col("text")
+    if text_column in columns:  # it need not travel twice
+        spans, text = spans.drop("text"), F.coalesce(F.col("doc").getField(text_column).cast("string"), F.lit(""))
+    joined = spans.join(held, F.col("key_id").eqNullSafe(F.col("h_id")) & (F.col("key_text") == F.col("h_text")), "left")
     more = F.when(F.col("h_terms").isNotNull(), _term_spans(text, F.col("h_terms")))
     empty = F.array().cast(f"array<{SPAN}>")
     return joined.select(
-        *[F.col(f"`{c}`") for c in (keep if keep is not None else documents.columns)],
-        F.col(fresh(keyed, base)).alias(base), F.coalesce(more, empty).alias(added),
+        *[F.col("doc").getField(c).alias(c) for c in columns],
+        F.col("base").alias(base), F.coalesce(more, empty).alias(added),
     )
 
 

@@ -1,0 +1,79 @@
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from shelfcast.llm.pieces import (
+    BPE, BYTE, MODEL, NORMAL, UNKNOWN, backend, decode_ids, encode_documents, load_codec, merges_of, normalise,
+    op5_pieces, verify_parity,
+)
+from shelfcast.llm.tokens import public_tokenizer
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return load_codec(public_tokenizer(MODEL))
+
+
+@pytest.fixture(scope="module")
+def library():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizer(MODEL))
+
+
+def test_model_is_read_like_the_library_reads_it(codec, library):
+    assert len(codec.model["pieces"]) == library.get_piece_size()
+    for i in range(0, 32000, 371):
+        assert codec.model["pieces"][i][0] == library.id_to_piece(i)
+        assert codec.model["pieces"][i][1] == pytest.approx(library.get_score(i))
+    assert codec.model["type"] == BPE and codec.model["byte_fallback"] and not codec.model["squeeze"]
+
+
+@given(st.text(alphabet=st.sampled_from("ab 1é▁日\n\t.<s>"), max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_parity_and_round_trip(codec, library, text):
+    ids = codec.encode([text])[0]
+    assert ids.tolist() == library.encode(text)
+    assert codec.decode(ids) == library.decode(ids.tolist())
+
+
+def test_parity_on_documents(spark, small):
+    texts = [r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    assert verify_parity(public_tokenizer(MODEL), texts) == []
+
+
+def test_merges_follow_the_scores():
+    pieces = [("<unk>", 0.0, UNKNOWN), ("a", -1.0, NORMAL), ("b", -2.0, NORMAL), ("ab", -0.5, NORMAL),
+              ("abb", -0.7, NORMAL), ("<0x41>", 0.0, BYTE)]
+    assert merges_of(pieces) == [("a", "b"), ("ab", "b")]
+
+
+def test_unigram_models_and_extra_white_space():
+    model = {
+        "pieces": [("<unk>", 0.0, UNKNOWN), ("▁", -3.0, NORMAL), ("▁ab", -1.0, NORMAL), ("a", -2.0, NORMAL),
+                   ("b", -2.0, NORMAL)],
+        "type": 1, "byte_fallback": False, "prefix": True, "squeeze": True, "escape": True, "charsmap": b"",
+        "unknown": 0, "suffix": False,
+    }
+    assert normalise("  ab   b ", model) == "▁ab▁b"
+    assert backend(model).encode("▁ab▁b").tokens == ["▁ab", "▁", "b"]
+    with pytest.raises(ValueError):
+        backend(model | {"charsmap": b"x"})
+
+
+def test_messy_rows(spark, messy, empty, library):
+    encoded = encode_documents(messy)
+    rows = encoded.collect()
+    assert len(rows) == messy.count()
+    texts = {r["doc_id"]: r["text"] for r in messy.collect()}
+    for r in rows:
+        expected = library.encode(texts[r["doc_id"]] or "")
+        assert r["pieces"]["ids"] == expected and r["pieces"]["n_pieces"] == len(expected) and r["pieces"]["restored"]
+    back = {r["doc_id"]: r["text"] for r in decode_ids(encoded.select("doc_id", "pieces.ids"), "ids").collect()}
+    assert back == {k: v or "" for k, v in texts.items()}
+    assert encode_documents(empty).count() == 0
+
+
+def test_query(spark, small):
+    rows = op5_pieces(spark, small).collect()
+    assert len(rows) == 200 and all(r["restored"] and len(r["ids_sha256"]) == 64 for r in rows)
