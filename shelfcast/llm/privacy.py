@@ -162,7 +162,13 @@ def disclosed_terms(documents: DataFrame, text_column: str, key: list[str]) -> t
     together = (
         pairs.select("row", "value", "term").distinct().groupBy("value", "term").agg(F.count(F.lit(1)).alias("together"))
     )
-    candidates = stored(contexts.join(together, ["value", "term"]).join(value_rows, "value"), "privacy-candidates")
+    # A term's rows in the corpus are no fewer than its rows beside any value: what cannot reach the share goes now.
+    least_rows = pairs.select("row", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("least_rows"))
+    candidates = stored(
+        contexts.join(together, ["value", "term"]).join(value_rows, "value").join(least_rows, "term")
+        .where(F.col("together") >= MIN_SHARE * F.col("least_rows")).drop("least_rows"),
+        "privacy-candidates",
+    )
     bucket = F.pmod(F.xxhash64("term"), F.lit(BUCKETS))
     buckets = candidates.select(bucket.alias("bucket")).distinct()  # at most BUCKETS rows
     words = stored(
