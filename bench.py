@@ -15,11 +15,10 @@ from shelfcast.session import build_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-SLOW = {"forecast_publish", "layer_publish", "trend_huber", "residual_gbt"}
 
 
 def main() -> None:
-    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or [n for n in PLANS if n not in SLOW]
+    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(PLANS)
     spark = build_session(
         "bench",
         f"local[{CPUS}]",

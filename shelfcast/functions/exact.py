@@ -12,8 +12,14 @@ def _col(value: Column | str) -> Column:
 
 
 def money(value: Column | str) -> Column:
-    """Two-decimal amount. Decimals add up exactly, doubles do not."""
-    return _col(value).cast("decimal(12,2)")
+    """Two-decimal amount. Decimals add up exactly, doubles do not; NaN or an amount that
+    does not fit is NULL, which ``clean_standardise`` can flag."""
+    return _col(value).try_cast("decimal(12,2)")
+
+
+def code(value: Column | str) -> Column:
+    """Code in upper case without surrounding space; blank is NULL."""
+    return F.nullif(F.upper(F.trim(_col(value))), F.lit(""))
 
 
 def hundredths(value: Column | str) -> Column:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from shelfcast.functions.keys import null_safe_join
+
 
 def attach_params(df: DataFrame, params: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Adds the parameter columns: by key, or as a scalar subquery when there is one row.
@@ -13,6 +15,6 @@ def attach_params(df: DataFrame, params: DataFrame, keys: Sequence[str] = ()) ->
     The keyed join carries no broadcast hint; parameters grow with the keys.
     """
     if keys:
-        return df.join(params, list(keys), "left")
+        return null_safe_join(df, params, list(keys))
     one_row = params.select(F.struct("*")).scalar()
     return df.withColumns({name: one_row[name] for name in params.columns})

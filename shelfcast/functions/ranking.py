@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from shelfcast.functions.keys import null_safe_join
+
 BAND_BITS = 20
 
 
@@ -15,7 +17,8 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], value: str, name: str, sca
     Values are fixed-point, so they become integers that split into bands of 2**20
     neighbouring values. Rows are first counted per distinct value, hence one sorting
     task holds at most 2**20 values however many rows tie or share a group. A rank is
-    one plus the rows in higher bands plus the rows above inside the band.
+    one plus the rows in higher bands plus the rows above inside the band. A NULL key is a
+    group of its own. The window over the bands of a group sees its value range / 2**20.
     """
     keys = list(keys)
     amount = (F.col(value) * F.lit(10**scale)).cast("bigint")
@@ -34,9 +37,8 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], value: str, name: str, sca
         .agg(F.sum("_rows").alias("_rows"))
         .select(*keys, "_band", F.coalesce(F.sum("_rows").over(higher_bands), F.lit(0)).alias("_above"))
     )
-    ranks = (
-        counted.withColumn("_ahead", F.coalesce(F.sum("_rows").over(higher_values), F.lit(0)))
-        .join(bands, [*keys, "_band"])
-        .select(*keys, "_value", (F.col("_above") + F.col("_ahead") + 1).alias(name))
+    numbered = counted.withColumn("_ahead", F.coalesce(F.sum("_rows").over(higher_values), F.lit(0)))
+    ranks = null_safe_join(numbered, bands, [*keys, "_band"], "inner").select(
+        *keys, "_value", (F.col("_above") + F.col("_ahead") + 1).alias(name)
     )
-    return df.withColumn("_value", amount).join(ranks, [*keys, "_value"], "left").drop("_value")
+    return null_safe_join(df.withColumn("_value", amount), ranks, [*keys, "_value"]).drop("_value")

@@ -8,16 +8,28 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfcast.functions.exact import money
+from shelfcast.functions.exact import code, money
 
 
 def clean_standardise(
-    df: DataFrame, dates: Sequence[str] = (), codes: Sequence[str] = (), amounts: Sequence[str] = ()
+    df: DataFrame, dates: Sequence[str] = (), codes: Sequence[str] = (), amounts: Sequence[str] = (),
+    flags: bool = True,
 ) -> DataFrame:
-    """DATE dates, trimmed upper-case codes (blank becomes NULL) and two-decimal amounts."""
-    changed: dict[str, Column] = {name: F.to_date(name) for name in dates}
-    changed |= {name: F.nullif(F.upper(F.trim(name)), F.lit("")) for name in codes}
+    """DATE dates, trimmed upper-case codes (blank becomes NULL) and two-decimal amounts.
+
+    A date or amount that cannot be read becomes NULL and, with ``flags``, is marked in
+    ``<column>_invalid``; NaN is a missing amount, not an invalid one.
+    """
+    changed: dict[str, Column] = {name: F.col(name).try_cast("date") for name in dates}
+    changed |= {name: code(name) for name in codes}
     changed |= {name: money(name) for name in amounts}
+    kinds = dict(df.dtypes)
+    if flags:
+        for name in (*dates, *amounts):
+            present = F.col(name).isNotNull()
+            if kinds[name] in ("double", "float"):
+                present = present & ~F.isnan(name)
+            changed[f"{name}_invalid"] = present & changed[name].isNull()
     return df.withColumns(changed)
 
 
@@ -78,6 +90,6 @@ def _orphans(link: Link) -> DataFrame:
         F.when(F.col("parent_rows").isNull(), "child_without_parent")
         .otherwise("parent_without_child")
         .alias("direction"),
-        F.col("orphan_key").cast("bigint").alias("orphan_key"),
+        F.col("orphan_key").cast("string").alias("orphan_key"),
         F.coalesce("child_rows", "parent_rows").alias("row_count"),
     )

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.calendar import calendar_between, is_weekend, iso_weekday, season
+from shelfcast.functions.keys import stable_id
 
 
 def dim_date(orders: DataFrame, web: DataFrame) -> DataFrame:
@@ -47,9 +48,9 @@ def dim_promotion(promotions: DataFrame) -> DataFrame:
 
 
 def _numbered(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Distinct codes with an id in name order; a code list is small, so one task may number it."""
-    codes = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias(name)).agg(F.count("*").alias("_n"))
-    return codes.select(F.row_number().over(Window.orderBy(name)).alias(f"{name}_id"), name)
+    """Distinct codes with an id that depends on the code alone."""
+    codes = df.where(F.col(value).isNotNull()).select(F.col(value).alias(name)).distinct()
+    return codes.select(stable_id(name).alias(f"{name}_id"), name)
 
 
 def dim_return_reason(returns: DataFrame) -> DataFrame:

@@ -23,11 +23,20 @@ def profit_of_sums() -> Column:
 
 
 def sales_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Order lines with their order's date and customer; lines without an order are left
-    to the link check."""
+    """Order lines with their order's date and customer; lines without an order are
+    in ``rejected_lines``."""
     return items.join(orders, "order_id")
 
 
+def rejected_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order lines without an order. Facts leave them out; with these rows, the sums of the
+    lines are whole again."""
+    return items.join(orders.select("order_id"), "order_id", "left_anti").select(
+        "order_id", "line_no", "product_id", "is_returned", "ship_date", "units", "gross", "discount", "net", "cogs",
+        "shipping_fee", "return_amount", "net_profit",
+    )
+
+
 def order_payments(payments: DataFrame) -> DataFrame:
     """One row per order, so that a split payment cannot repeat order lines."""
     return payments.groupBy("order_id").agg(

@@ -13,7 +13,8 @@ from shelfcast.operators.promotions import daily_promo_signals
 # The customer groups that play the age groups.
 AGE_GROUPS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
-AGE_FEATURES = tuple(f"orders_{group.lower()}" for group in AGE_GROUPS)
+OTHER_AGES = "orders_other"
+AGE_FEATURES = (*(f"orders_{group.lower()}" for group in AGE_GROUPS), OTHER_AGES)
 ORDER_FEATURES = ("cancel_rate", "aov", "item_sold", "unique_order")
 TRAFFIC_FEATURES = ("session_count", "mean_session_seconds", "unique_visitors", "bounce_rate")
 INVENTORY_FEATURES = ("fill_rate", "stockout_rate", "overstock_rate", "sell_through")
@@ -54,6 +55,7 @@ def feat_promotion(days: DataFrame, promotions: DataFrame) -> DataFrame:
         {
             "active_promo_count": F.coalesce("active_promo_count", F.lit(0)).cast("bigint"),
             "max_discount_depth": F.coalesce("max_discount_depth", F.lit(0)).cast("int"),
+            "stacked_discount": F.coalesce("stacked_discount", F.lit(0)).cast("int"),
             "is_stackable_day": F.coalesce("is_stackable_day", F.lit(False)),
         }
     )
@@ -69,12 +71,19 @@ def daily_traffic(sessions: DataFrame) -> DataFrame:
     )
 
 
-def daily_operations(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """All features that come from orders, in one pass over them."""
+def daily_operations(
+    orders: DataFrame, customers: DataFrame, age_groups: Sequence[str] = AGE_GROUPS
+) -> DataFrame:
+    """All features that come from orders, in one pass over them.
+
+    Each listed age group has a column; ``orders_other`` counts the orders of all other
+    groups and of unknown customers, so the columns add up to ``unique_order``.
+    """
     groups = {
-        name: count_if(F.coalesce(F.col("age_group") == group, F.lit(False)))
-        for group, name in zip(AGE_GROUPS, AGE_FEATURES)
+        f"orders_{group.lower()}": count_if(F.coalesce(F.col("age_group") == group, F.lit(False)))
+        for group in age_groups
     }
+    groups[OTHER_AGES] = count_if(~F.coalesce(F.col("age_group").isin(*age_groups), F.lit(False)))
     return (
         orders.join(customers.select("customer_id", "age_group"), "customer_id", "left")
         .groupBy(F.col("order_date").alias("date"))
@@ -202,11 +211,16 @@ def mart_sales_forecast_ready(
     inventory: DataFrame,
     traffic: DataFrame,
     is_train: Column,
+    horizon: DataFrame | None = None,
 ) -> DataFrame:
-    """Targets and leak-free features per day of the series. Operational features enter
+    """Targets and leak-free features per day of the series and of the horizon (its days
+    without sales have NULL targets). Operational features enter
     as expected values on every day, so training rows look like horizon rows. Each step
     adds columns to the same frame; the series is read once."""
-    days = series.select("date", is_train.alias("is_train"), "revenue", "cogs")
+    known = series.select("date", "revenue", "cogs")
+    if horizon is not None:
+        known = known.join(horizon.select("date"), "date", "full_outer")
+    days = known.select("date", is_train.alias("is_train"), "revenue", "cogs")
     known_ahead = feat_promotion(feat_sincos365(feat_season(feat_calendar(days))), promotions)
     with_orders = expected_orders(known_ahead, operations, is_train)
     return expected_traffic(expected_inventory(with_orders, inventory, is_train), traffic)

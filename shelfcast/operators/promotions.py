@@ -17,24 +17,26 @@ def promo_days(promotions: DataFrame) -> DataFrame:
 def daily_promo_signals(promotions: DataFrame) -> DataFrame:
     """Active promotions, deepest discount and stackability per day with any promotion.
 
-    On a stackable day discounts add up, to 100 at most; otherwise the largest counts.
+    The discounts of stackable promotions add up (``stacked_discount``, as they are); the
+    day's depth is that sum or the deepest of the others. A price cannot fall by more than
+    100 percent, so the depth stops there.
     """
     return (
         promo_days(promotions)
         .groupBy("date")
         .agg(
             F.count("*").alias("active_promo_count"),
-            F.max("discount_pct").alias("deepest"),
-            F.sum("discount_pct").alias("stacked"),
+            F.max(F.when(~F.col("stackable"), F.col("discount_pct"))).alias("deepest"),
+            F.sum(F.when(F.col("stackable"), F.col("discount_pct"))).alias("stacked"),
             F.max("stackable").alias("is_stackable_day"),
         )
         .select(
             "date",
             "active_promo_count",
-            F.when(F.col("is_stackable_day"), F.least("stacked", F.lit(100)))
-            .otherwise(F.col("deepest"))
+            F.least(F.greatest(F.coalesce("stacked", F.lit(0)), F.coalesce("deepest", F.lit(0))), F.lit(100))
             .cast("int")
             .alias("max_discount_depth"),
+            F.coalesce("stacked", F.lit(0)).cast("int").alias("stacked_discount"),
             "is_stackable_day",
         )
     )

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.functions.calendar import calendar_parts
 from shelfcast.functions.exact import ratio
+from shelfcast.functions.keys import null_safe_join
 from shelfcast.functions.params import attach_params
 
 TARGETS = ("revenue", "cogs")
@@ -22,13 +23,14 @@ DAYS_PER_YEAR = 365
 
 @dataclass(frozen=True)
 class ForecastWindow:
-    """``train_end`` is exclusive; growth years are inclusive."""
+    """``train_end`` is exclusive; growth years are inclusive; the horizon starts at ``train_end``."""
 
     train_end: str = "2001-01-01"
     first_growth_year: int = 1996
     last_growth_year: int = 2000
     base_year: int = 2000
     check_years: tuple[int, ...] = (1999, 2000)
+    horizon_days: int = 548
 
     def is_train(self, date: str = "date") -> Column:
         return F.col(date) < F.lit(self.train_end).cast("date")
@@ -101,9 +103,11 @@ def seasonal_join(days: DataFrame, profile: DataFrame, keys: Sequence[str] = ())
     The profile of one series has at most 366 rows and is broadcast. With keys it grows
     with them, so the choice is left to the size check of adaptive execution.
     """
-    if not keys:
-        profile = F.broadcast(profile)
-    joined = calendar_parts(days).join(profile, [*keys, "month", "day"], "left")
+    parts = calendar_parts(days)
+    if keys:
+        joined = null_safe_join(parts, profile, [*keys, "month", "day"])
+    else:
+        joined = parts.join(F.broadcast(profile), ["month", "day"], "left")
     return joined.withColumns({f"{t}_season": F.coalesce(f"{t}_season", F.lit(1.0)) for t in TARGETS})
 
 
@@ -141,10 +145,20 @@ def fit_seasonal(series: DataFrame, window: ForecastWindow, keys: Sequence[str]
     )
 
 
-def seasonal_forecast(series: DataFrame, window: ForecastWindow, keys: Sequence[str] = ()) -> DataFrame:
-    """Forecast of the days from ``train_end`` on, rounded to cents."""
-    horizon = series.where(~window.is_train()).select(*keys, "date")
-    return fit_seasonal(series, window, keys).predict(horizon)
+def forecast_horizon(series: DataFrame, window: ForecastWindow, keys: Sequence[str] = ()) -> DataFrame:
+    """Every calendar day of the horizon, for every key of the series, whether it sold or not."""
+    first = F.lit(window.train_end).cast("date")
+    days = F.sequence(first, F.date_add(first, window.horizon_days - 1))
+    owners = series.select(*keys).distinct() if keys else series.sparkSession.range(1, numPartitions=1).select()
+    return owners.select(*keys, F.explode(days).alias("date"))
+
+
+def seasonal_forecast(
+    series: DataFrame, window: ForecastWindow, keys: Sequence[str] = (), horizon: DataFrame | None = None
+) -> DataFrame:
+    """Forecast rounded to cents for ``horizon`` (keys and date; the window's calendar if left out)."""
+    days = forecast_horizon(series, window, keys) if horizon is None else horizon.select(*keys, "date")
+    return fit_seasonal(series, window, keys).predict(days)
 
 
 def validation_filter(series: DataFrame, years: Sequence[int]) -> DataFrame:

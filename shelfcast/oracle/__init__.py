@@ -39,6 +39,7 @@ _processed = [
 ]
 _others = [
     _counts("validation", "sales_reconciliation", f"({ORACLE_SQL['sales_reconciliation']})", 6),
+    _counts("validation", "rejected_lines", f"({ORACLE_SQL['rejected_lines']})", 13),
     _counts("metadata", "quality_report", f"({ORACLE_SQL['quality_report']})", 6),
     _counts("metadata", "processed_table_summary", f"({ORACLE_SQL['processed_table_summary']})", 5),
     _counts("metadata", "table_inventory", f"({ORACLE_SQL['table_inventory']})", 4),

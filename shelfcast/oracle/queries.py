@@ -90,17 +90,21 @@ BODIES: dict[str, str] = {
                    as revenue_pred,
                round(b.cogs_base * pow(g.cogs_growth, year(s.date) - 2000) * coalesce(p.cogs_season, 1.0), 2)
                    as cogs_pred
-        from k_series s
-             left join k_profile p on s.category = p.category and s.region = p.region
+        from (select k.category, k.region, h.date
+              from (select distinct category, region from k_series) k cross join horizon h) s
+             left join k_profile p on s.category is not distinct from p.category
+                                      and s.region is not distinct from p.region
                                       and month(s.date) = p.month and day(s.date) = p.day
-             left join k_growth g on s.category = g.category and s.region = g.region
-             left join k_base b on s.category = b.category and s.region = b.region
-        where s.date >= date '2001-01-01'""",
+             left join k_growth g on s.category is not distinct from g.category and s.region is not distinct from g.region
+             left join k_base b on s.category is not distinct from b.category and s.region is not distinct from b.region""",
     # --- cleaning and quality
     "clean_standardise": """
         select o_orderkey, o_custkey, nullif(upper(trim(o_orderstatus)), '') as o_orderstatus,
-               cast(cast(o_totalprice as decimal(12,2)) as double) as o_totalprice,
-               cast(o_orderdate as date) as o_orderdate, nullif(upper(trim(o_orderpriority)), '') as o_orderpriority
+               cast(try_cast(o_totalprice as decimal(12,2)) as double) as o_totalprice,
+               try_cast(o_orderdate as date) as o_orderdate, nullif(upper(trim(o_orderpriority)), '') as o_orderpriority,
+               o_orderdate is not null and try_cast(o_orderdate as date) is null as o_orderdate_invalid,
+               o_totalprice is not null and not isnan(o_totalprice)
+                   and try_cast(o_totalprice as decimal(12,2)) is null as o_totalprice_invalid
         from orders""",
     "clean_dedup": f"""
         select l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -123,20 +127,30 @@ BODIES: dict[str, str] = {
         from stg_reviews""",
     "clean_link_check": "\nunion all\n".join(
         f"""
-        select '{name}' as relationship, 'child_without_parent' as direction, cast({ck} as bigint) as orphan_key,
+        select '{name}' as relationship, 'child_without_parent' as direction, cast({ck} as varchar) as orphan_key,
                count(*) as row_count
         from {child} where {ck} is null or {ck} not in (select {pk} from {parent} where {pk} is not null)
         group by {ck}
         union all
-        select '{name}', 'parent_without_child', cast({pk} as bigint), count(*)
+        select '{name}', 'parent_without_child', cast({pk} as varchar), count(*)
         from {parent} where {pk} is null or {pk} not in (select {ck} from {child} where {ck} is not null)
         group by {pk}"""
         for name, child, ck, parent, pk in (
             ("order_items.order_id", "stg_items", "order_id", "stg_orders", "order_id"),
             ("order_items.product_id", "stg_items", "product_id", "stg_products", "product_id"),
             ("orders.customer_id", "stg_orders", "customer_id", "stg_customers", "customer_id"),
+            ("customers.nation_id", "stg_customers", "nation_id", "stg_geography", "nation_id"),
+            ("reviews.product_id", "stg_reviews", "product_id", "stg_products", "product_id"),
+            ("returns.product_id", "stg_returns", "product_id", "stg_products", "product_id"),
+            ("payments.order_id", "stg_payments", "order_id", "stg_orders", "order_id"),
+            ("inventory.product_id", "stg_inventory", "product_id", "stg_products", "product_id"),
+            ("web_traffic.visitor", "stg_web", "visitor", "stg_customers", "customer_id"),
         )
     ),
+    "rejected_lines": f"""
+        select order_id, line_no, product_id, is_returned, ship_date,
+               {dbl("units", "gross", "discount", "net", "cogs", "shipping_fee", "return_amount", "net_profit")}
+        from stg_items where order_id is null or order_id not in (select order_id from stg_orders)""",
     "sales_reconciliation": f"""
         select coalesce(s.date, t.date) as date, cast(s.revenue as double) as series_revenue,
                cast(t.revenue as double) as transaction_revenue,
@@ -221,12 +235,15 @@ BODIES: dict[str, str] = {
             select order_date as date, category, sum(net) as net, sum(discount) as discount from f_item group by 1, 2),
         with_sides as (
             select p.promo_id, p.category, p.discount_pct,
-                   count(*) filter (d.date between p.start_date and p.end_date) as active_days,
-                   count(d.date) as all_days,
+                   greatest(any_value(least(p.end_date, s.last_day) - greatest(p.start_date, s.first_day)) + 1, 0)
+                       as active_days,
+                   any_value(s.last_day - s.first_day) + 1 as all_days,
                    coalesce(sum(d.net) filter (d.date between p.start_date and p.end_date), 0) as inside,
                    coalesce(sum(d.discount) filter (d.date between p.start_date and p.end_date), 0) as discount_amount,
                    sum(d.net) filter (d.date not between p.start_date and p.end_date) as outside
-            from stg_promotions p left join with_daily d on p.category = d.category group by 1, 2, 3)
+            from stg_promotions p
+                 cross join (select min(date) as first_day, max(date) as last_day from with_daily) s
+                 left join with_daily d on p.category = d.category group by 1, 2, 3)
         select promo_id, category, discount_pct, active_days, cast(inside as double) as revenue_inside,
                cast(discount_amount as double) as discount_amount,
                {ratio("inside", "active_days")} as revenue_per_active_day,
@@ -241,7 +258,8 @@ BODIES: dict[str, str] = {
               from f_item where is_returned group by 1, 2, 3, 4) r
              join (select category, region, {month("order_date")} as month, sum(units) as units
                    from f_item group by 1, 2, 3) s
-             on r.category = s.category and r.region = s.region and r.month = s.month""",
+             on r.category is not distinct from s.category and r.region is not distinct from s.region
+                and r.month is not distinct from s.month""",
     "mart_shipping_service": f"""
         select region, {month("order_date")} as month, count(*) as lines,
                {ratio("count(*) filter (ship_date >= order_date)", "count(*)")} as valid_share,
@@ -254,7 +272,7 @@ BODIES: dict[str, str] = {
                cast(sum(shipping_fee) as double) as shipping_fee, {ratio("sum(shipping_fee)", "sum(net)")} as fee_share
         from f_item group by 1, 2""",
     "mart_inventory_risk": """
-        select product_id, month, fill_rate, stockout, overstock, least(sell_through, 1.0) as sell_through,
+        select product_id, month, fill_rate, stockout, overstock, sell_through,
                case when stockout then 'stockout' when overstock then 'overstock' else 'healthy' end as risk
         from stg_inventory""",
     "mart_operations": f"""
@@ -279,10 +297,13 @@ BODIES: dict[str, str] = {
                round(cos(2.0 * pi() * dayofyear(s.date) / 365.0), 6) as cos365,
                coalesce(p.active_promo_count, 0) as active_promo_count,
                coalesce(p.max_discount_depth, 0) as max_discount_depth,
+               coalesce(p.stacked_discount, 0) as stacked_discount,
                coalesce(p.is_stackable_day, false) as is_stackable_day,
                {EXPECTED_MEAN_COLUMNS}, not e_traffic.has_history as traffic_is_imputed,
                {names("median", MEDIAN_COLUMNS)}
-        from stg_sales s left join promo_signals p on s.date = p.date
+        from (select coalesce(x.date, h.date) as date, x.revenue, x.cogs
+              from stg_sales x full join horizon h on x.date = h.date) s
+             left join promo_signals p on s.date = p.date
              {on_calendar_day("s", "e_orders", "e_inventory", "e_traffic")}""",
     # --- reports
     "report_business_overview": """
@@ -335,12 +356,15 @@ BODIES: dict[str, str] = {
                        as growth
             from with_months),
         with_history as (
-            select *, count(growth) over b as history,
-                   (growth - avg(growth) over b) / nullif(stddev_samp(growth) over b, 0) as z_score
-            from with_growth window b as (order by month rows between 12 preceding and 1 preceding))
+            select *, count(growth) over b as history, max(growth) over b as top,
+                   max(growth) over b = min(growth) over b as flat,
+                   case when max(growth) over b <> min(growth) over b
+                        then (growth - avg(growth) over b) / nullif(stddev_samp(growth) over b, 0) end as z_score
+            from with_growth where growth is not null
+            window b as (order by month rows between 12 preceding and 1 preceding))
         select month, revenue, growth, round(z_score, 6) as z_score,
-               case when z_score > 0 then 'growth' else 'decline' end as direction
-        from with_history where history = 12 and abs(z_score) > 2"""
+               case when coalesce(z_score > 0, growth > top) then 'growth' else 'decline' end as direction
+        from with_history where history = 12 and (abs(z_score) > 2 or (flat and growth <> top))"""
     % month("order_date"),
     # --- features
     "feat_calendar": f"""
@@ -356,6 +380,7 @@ BODIES: dict[str, str] = {
     "feat_promotion": """
         select d.date, coalesce(p.active_promo_count, 0) as active_promo_count,
                coalesce(p.max_discount_depth, 0) as max_discount_depth,
+               coalesce(p.stacked_discount, 0) as stacked_discount,
                coalesce(p.is_stackable_day, false) as is_stackable_day
         from dim_days d left join promo_signals p on d.date = p.date""",
     "feat_traffic": """
@@ -466,7 +491,7 @@ CHECKS = (
      (("order_id", "stg_orders"),)),
     ("shipments", "stg_shipments", "order_id, line_no",
      "order_id line_no ship_date shipping_fee order_date lead_days is_valid", "not is_valid",
-     (("order_id", "stg_orders"),)),
+     (("order_id", "stg_orders", "stg_lines"),)),
     ("returns", "stg_returns", "order_id, product_id", "order_id product_id units return_amount reason", "false",
      (("order_id", "stg_orders"), ("product_id", "stg_products"))),
     ("reviews", "stg_reviews", "review_id", "review_id product_id rating n_chars", "false",
@@ -482,8 +507,9 @@ CHECKS = (
 def _quality(table: str, source: str, key: str, columns: str, bad: str, parents: tuple) -> str:
     nulls = " + ".join(f"count(*) - count({c})" for c in columns.split())
     orphans = " + ".join(
-        f"(select count(*) from {source} where {k} is null or {k} not in (select {k} from {p} where {k} is not null))"
-        for k, p in parents
+        f"(select count(*) from {child[0] if child else source} where {k} is null"
+        f" or {k} not in (select {k} from {p} where {k} is not null))"
+        for k, p, *child in parents
     )
     return f"""
         select '{table}' as table_name, count(*) as row_count, cast({nulls} as bigint) as null_cells,
@@ -528,6 +554,6 @@ TABLE_COLUMNS = {
     "mart": {
         "mart_sales_overview": 9, "mart_product_performance": 10, "mart_customer_insight": 10,
         "mart_promotion_effectiveness": 9, "mart_return_diagnostics": 7, "mart_shipping_service": 9,
-        "mart_inventory_risk": 7, "mart_operations": 7, "mart_sales_forecast_ready": 39,
+        "mart_inventory_risk": 7, "mart_operations": 7, "mart_sales_forecast_ready": 41,
     },
 }

@@ -82,26 +82,32 @@ def mart_promotion_effectiveness(daily: DataFrame, promotions: DataFrame) -> Dat
     """Each promotion against the other days of its category.
 
     ``daily`` is a stored ``category_day``: sales shrink to it before they meet promotion
-    days. What lies outside a promotion is the category total minus what lies inside.
+    days. Active days are the calendar days of its window within the span of all sales,
+    sold or not; what lies outside a promotion is the category total minus what lies inside.
     """
-    totals = daily.groupBy("category").agg(F.count("*").alias("all_days"), F.sum("net").alias("all_revenue"))
+    totals = daily.groupBy("category").agg(F.sum("net").alias("all_revenue"))
+    span = daily.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day")).select(F.struct("*")).scalar()
+    last = F.least("end_date", span["last_day"])
+    first = F.greatest("start_date", span["first_day"])
     inside = (
         promo_days(promotions)
         .join(daily, ["date", "category"])
         .groupBy("promo_id")
         .agg(
-            F.count("*").alias("active_days"),
             F.sum("net").alias("revenue_inside"),
             F.sum("discount").alias("discount_amount"),
         )
     )
     joined = (
-        promotions.select("promo_id", "category", "discount_pct")
+        promotions.select(
+            "promo_id", "category", "discount_pct",
+            F.greatest(F.datediff(last, first) + 1, F.lit(0)).cast("bigint").alias("active_days"),
+            (F.datediff(span["last_day"], span["first_day"]) + 1).alias("all_days"),
+        )
         .join(inside, "promo_id", "left")
         .join(totals, "category", "left")
         .withColumns(
             {
-                "active_days": F.coalesce("active_days", F.lit(0)),
                 "revenue_inside": F.coalesce("revenue_inside", F.lit(0)).cast("decimal(38,4)"),
                 "discount_amount": F.coalesce("discount_amount", F.lit(0)).cast("decimal(38,4)"),
             }
@@ -161,8 +167,7 @@ def mart_shipping_service(sales_item: DataFrame) -> DataFrame:
 
 def mart_inventory_risk(snapshot: DataFrame) -> DataFrame:
     return snapshot.select(
-        "product_id", "month", "fill_rate", "stockout", "overstock",
-        F.least("sell_through", F.lit(1.0)).alias("sell_through"),
+        "product_id", "month", "fill_rate", "stockout", "overstock", "sell_through",
         F.when(F.col("stockout"), "stockout")
         .when(F.col("overstock"), "overstock")
         .otherwise("healthy")

@@ -14,7 +14,7 @@ from shelfcast.operators.quality import table_inventory
 from shelfcast.operators.seasonal import TARGETS
 from shelfcast.plans import reports
 from shelfcast.plans.warehouse import FORECAST_WINDOW, LAYERS, Warehouse
-from shelfcast.session import publish_folder
+from shelfcast.session import apply_skew_settings, publish_folder
 from shelfcast.sources.publish import forecast_publish, submission_form
 from shelfcast.sources.scan import TABLE_SCHEMAS, scan_typed
 
@@ -58,7 +58,7 @@ def _annual(w: Warehouse) -> DataFrame:
 
 def _growth_years(w: Warehouse) -> DataFrame:
     return seasonal.full_year_slice(
-        _annual(w), FORECAST_WINDOW.first_growth_year, FORECAST_WINDOW.last_growth_year
+        _annual(w), w.window.first_growth_year, w.window.last_growth_year
     )
 
 
@@ -81,13 +81,12 @@ def _profile(w: Warehouse) -> DataFrame:
 
 
 def _seasonal_join(w: Warehouse) -> DataFrame:
-    horizon = w.table("sales").where(~w.is_train()).select("date")
-    joined = seasonal.seasonal_join(horizon, _profile(w))
+    joined = seasonal.seasonal_join(w.horizon(), _profile(w))
     return rounded(joined.select("date", "month", "day", *_columns("{}_season")), _targets("{}_season", 9))
 
 
 def _forecast(w: Warehouse) -> DataFrame:
-    return seasonal.seasonal_forecast(w.stored("sales"), FORECAST_WINDOW)
+    return seasonal.seasonal_forecast(w.stored("sales"), w.window)
 
 
 def flagship(w: Warehouse) -> DataFrame:
@@ -95,7 +94,7 @@ def flagship(w: Warehouse) -> DataFrame:
 
 
 def _backcast(w: Warehouse) -> DataFrame:
-    return seasonal.seasonal_backcast(w.stored("sales"), FORECAST_WINDOW)
+    return seasonal.seasonal_backcast(w.stored("sales"), w.window)
 
 
 def _mape(w: Warehouse) -> DataFrame:
@@ -110,7 +109,7 @@ SERIES_KEYS = ("category", "region")
 
 
 def _forecast_by_key(w: Warehouse) -> DataFrame:
-    return seasonal.seasonal_forecast(w.stored("keyed_series"), FORECAST_WINDOW, SERIES_KEYS).select(
+    return seasonal.seasonal_forecast(w.stored("keyed_series"), w.window, SERIES_KEYS).select(
         *SERIES_KEYS, "date", "years_ahead", *_columns("{}_pred")
     )
 
@@ -133,6 +132,7 @@ def _deduplicated_lines(w: Warehouse) -> DataFrame:
         dates=["l_shipdate"],
         codes=["l_returnflag", "l_linestatus"],
         amounts=["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+        flags=False,
     )
     return cleaning.clean_dedup(lines, ["l_orderkey", "l_linenumber"])
 
@@ -148,21 +148,15 @@ def _all_days(w: Warehouse) -> DataFrame:
     return w.table("dim_date").select("date")
 
 
-def _horizon_days(w: Warehouse) -> DataFrame:
-    return w.table("orders").where(~FORECAST_WINDOW.is_train("order_date")).select(
-        F.col("order_date").alias("date")
-    ).distinct()
-
-
 def _expected_mean(w: Warehouse) -> DataFrame:
     return features.feat_expected_mean(
-        _horizon_days(w), w.table("daily_operations"), w.table("daily_inventory"), w.table("daily_traffic"),
+        w.horizon(), w.table("daily_operations"), w.table("daily_inventory"), w.table("daily_traffic"),
         w.is_train(),
     )
 
 
 def _expected_median(w: Warehouse) -> DataFrame:
-    return features.feat_expected_median(_horizon_days(w), w.table("daily_operations"), w.is_train())
+    return features.feat_expected_median(w.horizon(), w.table("daily_operations"), w.is_train())
 
 
 # --- model ------------------------------------------------------------------------------
@@ -200,7 +194,7 @@ def _residual_gbt(w: Warehouse) -> DataFrame:
 
 
 def _hybrid_forecast(w: Warehouse) -> DataFrame:
-    horizon = _hybrid(w).where(~w.is_train())
+    horizon = _hybrid(w).join(w.horizon(), "date", "left_semi")
     return submission_form(rounded(horizon, _targets("{}_pred", 2)))
 
 
@@ -229,14 +223,14 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "frame_profile": lambda w: seasonal.frame_profile(
         {
             "train": w.stored("sales").where(w.is_train()),
-            "horizon": w.stored("sales").where(~w.is_train()).select("date"),
+            "horizon": w.horizon(),
             "forecast": _forecast(w).select("date", *_columns("{}_pred")),
         }
     ),
     "series_preview": lambda w: seasonal.series_preview(w.stored("sales"), PREVIEW_ROWS),
     "calendar_parts": lambda w: calendar_parts(w.table("sales")),
     "full_year_slice": _growth_years,
-    "validation_filter": lambda w: seasonal.validation_filter(w.table("sales"), FORECAST_WINDOW.check_years),
+    "validation_filter": lambda w: seasonal.validation_filter(w.table("sales"), w.window.check_years),
     "annual_totals": _annual,
     "yoy_change": lambda w: rounded(seasonal.yoy_change(_growth_years(w)), _targets("{}_change", 9)),
     "geo_mean_growth": _geo_mean_growth,
@@ -245,7 +239,7 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "seasonal_profile": lambda w: rounded(_profile(w), _targets("{}_season", 9)),
     "base_level": lambda w: rounded(
-        seasonal.base_level(_annual(w), FORECAST_WINDOW.base_year), _targets("{}_base", 6)
+        seasonal.base_level(_annual(w), w.window.base_year), _targets("{}_base", 6)
     ),
     "seasonal_join": _seasonal_join,
     "seasonal_forecast": flagship,
@@ -262,6 +256,7 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "processed_table_summary": _plain("processed_table_summary"),
     "table_inventory": _plain("table_inventory"),
     "sales_reconciliation": _plain("sales_reconciliation"),
+    "rejected_lines": _plain("rejected_lines"),
     **{name: _plain(name) for layer in ("dim", "fact", "mart") for name in LAYERS[layer]},
     "report_business_overview": lambda w: reports.report_business_overview(w.table("fact_orders")),
     "report_profit_diagnostic": lambda w: reports.report_profit_diagnostic(
@@ -297,5 +292,6 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
 
 
 def run(name: str, spark: SparkSession, source: str) -> DataFrame:
-    """One registered query, with decimals as DOUBLE."""
+    """One registered query, with decimals as DOUBLE. Turns skew handling on in the session."""
+    apply_skew_settings(spark)
     return doubles(PLANS[name](Warehouse(spark, os.fspath(source))))

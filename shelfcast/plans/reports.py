@@ -144,22 +144,36 @@ def report_segment_flags(segments: DataFrame) -> DataFrame:
 
 
 def report_abnormal_growth(orders: DataFrame) -> DataFrame:
-    """Months whose revenue growth lies more than two deviations off the 12 months before."""
+    """Months whose revenue growth lies more than two deviations off the last 12 known growths.
+
+    A month after one without revenue has no growth and is not part of the history. Where
+    the history is flat, every other growth is abnormal; it has no z-score.
+    """
     monthly = orders.groupBy(month_start("order_date").alias("month")).agg(F.sum("net").alias("revenue"))
     by_month = Window.orderBy("month")
     before = by_month.rowsBetween(-GROWTH_HISTORY_MONTHS, -1)
     growth = monthly.select(
         "month", "revenue", (ratio("revenue", F.lag("revenue").over(by_month)) - 1).alias("growth")
     )
-    z = F.try_divide(F.col("growth") - F.avg("growth").over(before), F.stddev("growth").over(before))
+    flat = F.max("growth").over(before) == F.min("growth").over(before)
+    mean = F.avg("growth").over(before)
+    z = F.when(~flat, F.try_divide(F.col("growth") - mean, F.stddev("growth").over(before)))
     return (
-        growth.withColumns({"z_score": z, "history": F.count("growth").over(before)})
-        .where((F.col("history") == GROWTH_HISTORY_MONTHS) & (F.abs("z_score") > ABNORMAL_Z))
+        growth.where(F.col("growth").isNotNull())
+        .withColumns(
+            {
+                "z_score": z,
+                "above": F.col("growth") > F.max("growth").over(before),
+                "off_flat": flat & (F.col("growth") != F.max("growth").over(before)),
+                "history": F.count("growth").over(before),
+            }
+        )
+        .where((F.col("history") == GROWTH_HISTORY_MONTHS) & ((F.abs("z_score") > ABNORMAL_Z) | F.col("off_flat")))
         .select(
             "month",
             "revenue",
             "growth",
             F.round("z_score", 6).alias("z_score"),
-            F.when(F.col("z_score") > 0, "growth").otherwise("decline").alias("direction"),
+            F.when(F.coalesce(F.col("z_score") > 0, F.col("above")), "growth").otherwise("decline").alias("direction"),
         )
     )

@@ -6,14 +6,14 @@ import os
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfcast.functions.calendar import month_start
 from shelfcast.operators import cleaning, dims, facts, features, quality
-from shelfcast.operators.seasonal import ForecastWindow
+from shelfcast.operators.seasonal import ForecastWindow, forecast_horizon
 from shelfcast.operators.sessions import web_sessions
 from shelfcast.plans import marts
-from shelfcast.session import apply_skew_settings, durable
+from shelfcast.session import durable
 from shelfcast.sources import roles
 from shelfcast.sources.publish import publish_table
 from shelfcast.sources.scan import test_table
@@ -38,7 +38,7 @@ LAYERS: dict[str, tuple[str, ...]] = {
         "mart_return_diagnostics", "mart_shipping_service", "mart_inventory_risk", "mart_operations",
         "mart_sales_forecast_ready",
     ),
-    "validation": ("sales_reconciliation",),
+    "validation": ("sales_reconciliation", "rejected_lines"),
     "metadata": ("quality_report", "processed_table_summary", "table_inventory"),
 }
 
@@ -70,12 +70,13 @@ WRITERS = 8
 
 class Warehouse:
     """Tables by name. A table is a lazy plan over its inputs unless it was published;
-    then its files are read, and everything above it builds on them."""
+    then its files are read, and everything above it builds on them. The session should
+    have the skew settings of ``shelfcast.session`` (``build_session`` sets them)."""
 
-    def __init__(self, spark: SparkSession, source: str):
-        apply_skew_settings(spark)
+    def __init__(self, spark: SparkSession, source: str, window: ForecastWindow = FORECAST_WINDOW):
         self.spark = spark
         self.source = source
+        self.window = window
         self._tables: dict[str, DataFrame] = {}
         self._published: set[str] = set()
 
@@ -119,8 +120,11 @@ class Warehouse:
         """Every layer in build order. A layer builds on the files of the layers before it."""
         return [table for layer, names in LAYERS.items() for table in self.publish_layer(layer, names, root)]
 
-    def is_train(self):
-        return FORECAST_WINDOW.is_train()
+    def is_train(self, date: str = "date") -> Column:
+        return self.window.is_train(date)
+
+    def horizon(self) -> DataFrame:
+        return forecast_horizon(self.table("sales"), self.window)
 
 
 def _web_role(w: Warehouse) -> DataFrame:
@@ -128,11 +132,17 @@ def _web_role(w: Warehouse) -> DataFrame:
 
 
 def _links(w: Warehouse) -> list[cleaning.Link]:
-    orders, lines = w.table("orders"), w.table("lines")
+    orders, lines, products, customers = (w.table(n) for n in ("orders", "lines", "products", "customers"))
     return [
         cleaning.Link("order_items.order_id", lines, "order_id", orders, "order_id"),
-        cleaning.Link("order_items.product_id", lines, "product_id", w.table("products"), "product_id"),
-        cleaning.Link("orders.customer_id", orders, "customer_id", w.table("customers"), "customer_id"),
+        cleaning.Link("order_items.product_id", lines, "product_id", products, "product_id"),
+        cleaning.Link("orders.customer_id", orders, "customer_id", customers, "customer_id"),
+        cleaning.Link("customers.nation_id", customers, "nation_id", w.table("geography"), "nation_id"),
+        cleaning.Link("reviews.product_id", w.table("reviews"), "product_id", products, "product_id"),
+        cleaning.Link("returns.product_id", w.table("returns"), "product_id", products, "product_id"),
+        cleaning.Link("payments.order_id", w.table("payments"), "order_id", orders, "order_id"),
+        cleaning.Link("inventory.product_id", w.table("inventory"), "product_id", products, "product_id"),
+        cleaning.Link("web_traffic.visitor", w.table("web_traffic"), "visitor", customers, "customer_id"),
     ]
 
 
@@ -160,7 +170,7 @@ def _quality_report(w: Warehouse) -> DataFrame:
                   (order_of(t("lines")), product_of(t("lines")))),
             check("payments", t("payments"), ["order_id"], parents=(order_of(t("payments")),)),
             check("shipments", t("shipments"), ["order_id", "line_no"], ~F.col("is_valid"),
-                  (order_of(t("shipments")),)),
+                  (order_of(t("lines")),)),  # the table itself holds only lines with an order
             check("returns", t("returns"), ["order_id", "product_id"],
                   parents=(order_of(returned), product_of(returned))),
             check("reviews", t("reviews"), ["review_id"], parents=(product_of(t("reviews")),)),
@@ -175,7 +185,7 @@ def _quality_report(w: Warehouse) -> DataFrame:
 def _forecast_ready(w: Warehouse) -> DataFrame:
     return features.mart_sales_forecast_ready(
         w.table("fact_sales_series"), w.table("promotions"), w.table("daily_operations"),
-        w.table("daily_inventory"), w.table("daily_traffic"), w.is_train(),
+        w.table("daily_inventory"), w.table("daily_traffic"), w.is_train(), w.horizon(),
     )
 
 
@@ -242,6 +252,7 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "daily_traffic": lambda w: features.daily_traffic(w.table("sessions")),
     "sales_reconciliation": lambda w: quality.sales_reconciliation(w.table("sales"), w.sales_lines()),
+    "rejected_lines": lambda w: facts.rejected_lines(w.table("order_items"), w.table("orders")),
     "quality_report": _quality_report,
     "link_check": lambda w: cleaning.clean_link_check(_links(w)),
     "processed_table_summary": lambda w: quality.processed_table_summary(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,26 +38,17 @@ def apply_skew_settings(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder in local mode only."""
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; where it is unset, a folder in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    if not spark.conf.get("shelfcast.local.folder", None):
-        spark.conf.set("shelfcast.local.folder", tempfile.mkdtemp(prefix="shelfcast-"))
-    return spark.conf.get("shelfcast.local.folder")
+    return folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "intermediate")
 
 
 def publish_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared one, so that reruns never overwrite a reader's input."""
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return os.path.join(folder, f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:
@@ -66,12 +56,9 @@ def durable(df: DataFrame, name: str) -> DataFrame:
 
     Spark reuses a shuffle only between identical subplans, and different columns or
     filters make them differ. So frames that a line-level pass produces are stored before
-    ranks, forecast steps and iterative fits scan them again. Without a shared folder the
-    frame stays lazy: slower, still right when executors are lost.
+    ranks, forecast steps and iterative fits scan them again.
     """
     spark = df.sparkSession
-    if shared_folder(spark) is None:
-        return df
     path = publish_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,10 +6,10 @@ own files only has to supply frames with these columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.functions.calendar import month_start
-from shelfcast.functions.exact import from_hundredths, from_ten_thousandths, hundredths, money, ratio
+from shelfcast.functions.exact import code, from_hundredths, from_ten_thousandths, hundredths, money, ratio
 
 # The role contract of promotions (days and percent).
 PROMO_FIRST_OFFSET = 14
@@ -26,15 +26,15 @@ def stg_orders(orders: DataFrame) -> DataFrame:
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("order_date"),
-        F.col("o_orderstatus").alias("status"),
-        (F.col("o_orderstatus") == CANCELLED_STATUS).alias("is_cancelled"),
+        code("o_orderstatus").alias("status"),
+        (code("o_orderstatus") == CANCELLED_STATUS).alias("is_cancelled"),
     )
 
 
 def stg_payments(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderpriority").alias("payment_method"),
+        code("o_orderpriority").alias("payment_method"),
         money("o_totalprice").alias("payment_value"),
     )
 
@@ -60,8 +60,8 @@ def stg_lines(lineitem: DataFrame) -> DataFrame:
         hundredths("l_extendedprice").alias("gross_h"),
         hundredths("l_discount").alias("discount_h"),
         hundredths("l_tax").alias("tax_h"),
-        (F.col("l_returnflag") == RETURNED_FLAG).alias("is_returned"),
-        F.col("l_linestatus").alias("line_status"),
+        (code("l_returnflag") == RETURNED_FLAG).alias("is_returned"),
+        code("l_linestatus").alias("line_status"),
         F.to_date("l_shipdate").alias("ship_date"),
     )
 
@@ -122,15 +122,20 @@ def stg_geography(nation: DataFrame, region: DataFrame) -> DataFrame:
 def stg_promotions(orders: DataFrame, part: DataFrame) -> DataFrame:
     """One promotion every 50 days over the order calendar, each for one product category.
 
-    The category list is the short set of distinct names, in name order.
+    The categories take turns in name order; numbering them sorts the distinct names only.
     """
-    categories = part.agg(F.sort_array(F.collect_set("p_type"))).scalar()
+    names = part.where(F.col("p_type").isNotNull()).select(F.col("p_type").alias("category")).distinct()
+    categories = names.select(
+        "category",
+        (F.row_number().over(Window.orderBy("category")) - 1).cast("bigint").alias("_no"),
+    )
+    many = names.agg(F.count("*")).scalar()
     span = orders.agg(
         F.to_date(F.min("o_orderdate")).alias("first_day"), F.to_date(F.max("o_orderdate")).alias("last_day")
     )
     last_no = F.floor((F.datediff("last_day", "first_day") - PROMO_FIRST_OFFSET) / F.lit(PROMO_EVERY)).cast("int")
     promo = F.col("promo_id")
-    return (
+    windows = (
         span.where(F.datediff("last_day", "first_day") >= PROMO_FIRST_OFFSET)
         .select("first_day", F.explode(F.sequence(F.lit(0), last_no)).alias("promo_id"))
         .select("promo_id", F.date_add("first_day", PROMO_FIRST_OFFSET + promo * PROMO_EVERY).alias("start_date"))
@@ -140,9 +145,10 @@ def stg_promotions(orders: DataFrame, part: DataFrame) -> DataFrame:
             F.date_add("start_date", PROMO_DAYS + PROMO_DAYS_STEP * (promo % PROMO_DAYS_CYCLE)).alias("end_date"),
             (PROMO_PCT + PROMO_PCT_STEP * (promo % PROMO_PCT_CYCLE)).alias("discount_pct"),
             (promo % PROMO_STACKABLE_EVERY == 0).alias("stackable"),
-            F.get(categories, promo % F.size(categories)).alias("category"),
+            F.try_mod(promo.cast("bigint"), many).alias("_no"),
         )
     )
+    return windows.join(categories, "_no", "left").drop("_no")
 
 
 def stg_shipments(lines: DataFrame, orders: DataFrame) -> DataFrame:

@@ -33,13 +33,19 @@ def scan_typed(
     schema: str,
     date_cols: Sequence[str] = (),
     file_format: str = "parquet",
+    corrupt: str | None = None,
 ) -> DataFrame:
     """Scan with a declared schema (no inference job); ``date_cols`` become DATE.
 
+    A CSV line that does not fit the schema keeps what could be read; ``corrupt`` names a
+    column for the whole line, NULL where it did fit, so bad lines can be kept and counted.
+
     NaN in a numeric CSV column is read as NULL, since Spark's aggregates would spread it.
     """
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(schema if corrupt is None else f"{schema}, `{corrupt}` string")
     if file_format == "csv":
+        if corrupt is not None:
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
         df = reader.option("header", True).option("nullValue", "").csv(path)
         df = df.withColumns(
             {name: F.when(~F.isnan(name), F.col(name)) for name, kind in df.dtypes if kind in ("double", "float")}

@@ -13,7 +13,28 @@ def test_standardise(spark):
     ).withColumn("at", F.col("at").cast("timestamp_ntz"))
     rows = clean_standardise(df, ["at"], ["code"], ["amount"]).collect()
     assert (rows[0]["code"], rows[0]["at"], float(rows[0]["amount"])) == ("AB", dt.date(2001, 2, 3), 1.01)
-    assert tuple(rows[1]) == (None, None, None)
+    assert tuple(rows[1]) == (None, None, None, False, False)
+
+
+def test_bad_values_are_flagged_and_do_not_end_the_job(spark):
+    df = spark.createDataFrame(
+        [("2020-13-45", "1,5", float("nan")), ("2020-01-02", "1.5", 1e30), (None, None, 2.5)],
+        "at string, amount string, price double",
+    )
+    rows = clean_standardise(df, dates=["at"], amounts=["amount", "price"]).collect()
+    assert [r["at_invalid"] for r in rows] == [True, False, False]
+    assert [r["amount_invalid"] for r in rows] == [True, False, False]
+    assert [r["price_invalid"] for r in rows] == [False, True, False]
+    assert (rows[0]["at"], rows[0]["amount"], rows[0]["price"], rows[1]["price"]) == (None, None, None, None)
+    assert (rows[1]["at"], float(rows[1]["amount"])) == (dt.date(2020, 1, 2), 1.5)
+
+
+def test_corrupt_csv_lines_are_kept(spark, tmp_path):
+    (tmp_path / "sales.csv").write_text("Date,Revenue\n2020-01-01,1.5\n2020-01-02,1.2.3\n")
+    rows = scan_typed(spark, str(tmp_path), "Date string, Revenue double", file_format="csv", corrupt="bad").collect()
+    assert [(r["Date"], r["Revenue"], r["bad"]) for r in rows] == [
+        ("2020-01-01", 1.5, None), ("2020-01-02", None, "2020-01-02,1.2.3"),
+    ]
 
 
 def test_dedup_is_deterministic_and_null_first(spark):
@@ -39,10 +60,17 @@ def test_links_report_both_directions(spark):
     orders = spark.createDataFrame([(1,), (2,)], "order_id long")
     got = clean_link_check([Link("lines", lines, "order_id", orders, "order_id")]).collect()
     assert {(r["direction"], r["orphan_key"], r["row_count"]) for r in got} == {
-        ("child_without_parent", 3, 2), ("child_without_parent", None, 1), ("parent_without_child", 2, 1),
+        ("child_without_parent", "3", 2), ("child_without_parent", None, 1), ("parent_without_child", "2", 1),
     }
 
 
+def test_links_of_text_keys(spark):
+    lines = spark.createDataFrame([("A-1",), ("B-2",)], "code string")
+    parts = spark.createDataFrame([("B-2",)], "code string")
+    got = clean_link_check([Link("lines", lines, "code", parts, "code")]).collect()
+    assert [(r["direction"], r["orphan_key"]) for r in got] == [("child_without_parent", "A-1")]
+
+
 def test_quality_report_counts(spark):
     lines = spark.createDataFrame(
         [(1, 1, "2001-01-01"), (1, 1, "2001-01-01"), (7, 1, None), (7, 2, "2001-01-02")],

@@ -19,7 +19,7 @@ def test_daily_signals_include_both_ends(spark):
         for r in feat_promotion(dates, spark.createDataFrame(PROMOS, SCHEMA)).collect()
     }
     assert got == {
-        1: (0, 0, False), 2: (1, 10, False), 3: (1, 10, False), 4: (3, 100, True), 5: (2, 40, True),
+        1: (0, 0, False), 2: (1, 10, False), 3: (1, 10, False), 4: (3, 80, True), 5: (2, 30, True),
         6: (1, 30, True), 7: (1, 30, True), 8: (0, 0, False), 9: (1, 95, False), 10: (0, 0, False),
     }
 
@@ -39,8 +39,26 @@ def test_effectiveness_compares_inside_with_outside(spark):
     )
     got = {r["promo_id"]: r for r in
            mart_promotion_effectiveness(category_day(lines), spark.createDataFrame(PROMOS, SCHEMA)).collect()}
-    assert (got[0]["active_days"], got[0]["revenue_inside"], got[0]["discount_amount"]) == (1, 60, 5)
-    assert (got[0]["revenue_per_active_day"], got[0]["revenue_per_other_day"], got[0]["lift"]) == (60.0, 20.0, 2.0)
-    assert (got[1]["active_days"], got[1]["revenue_per_active_day"], got[1]["lift"]) == (0, None, None)
-    assert (got[2]["active_days"], got[2]["revenue_per_other_day"]) == (0, None)
+    # Four active days of which one sold, six other days.
+    assert (got[0]["active_days"], got[0]["revenue_inside"], got[0]["discount_amount"]) == (4, 60, 5)
+    assert (got[0]["revenue_per_active_day"], got[0]["revenue_per_other_day"]) == (15.0, 40 / 6)
+    assert got[0]["lift"] == 15.0 / (40 / 6) - 1
+    assert (got[1]["active_days"], got[1]["revenue_per_active_day"]) == (4, 0.0)
+    assert (got[2]["active_days"], got[2]["revenue_per_other_day"]) == (1, None)
     assert len(got) == 4
+
+
+def test_effectiveness_counts_days_within_the_span_of_sales(spark):
+    lines = spark.createDataFrame(
+        [(D[2], "A", 10.0, 0.0), (D[5], "A", 10.0, 0.0)], "order_date date, category string, net double, discount double"
+    )
+    promotions = spark.createDataFrame([(0, D[0], D[3], 10, False, "A"), (1, D[7], D[9], 10, False, "A")], SCHEMA)
+    got = {r["promo_id"]: r for r in mart_promotion_effectiveness(category_day(lines), promotions).collect()}
+    assert (got[0]["active_days"], got[0]["revenue_per_active_day"], got[0]["revenue_per_other_day"]) == (2, 5.0, 5.0)
+    assert (got[1]["active_days"], got[1]["revenue_per_active_day"]) == (0, None)
+
+
+def test_stacked_discount_is_not_cut(spark):
+    promotions = spark.createDataFrame([(i, D[0], D[0], 70, True, "A") for i in range(2)], SCHEMA)
+    row = feat_promotion(spark.createDataFrame([(D[0],)], "date date"), promotions).first()
+    assert (row["stacked_discount"], row["max_discount_depth"]) == (140, 100)

@@ -21,3 +21,9 @@ def test_same_as_a_window_rank_with_ties_bands_and_nulls(spark, seed):
     for r in df.withColumn("r", F.rank().over(window)).collect():
         assert got[r["id"]] == (None if r["v"] is None else r["r"])
     assert len(got) == len(rows)
+
+
+def test_null_groups_are_ranked(spark):
+    df = spark.createDataFrame([(None, Decimal(1)), (None, Decimal(2)), ("a", Decimal(3))], "g string, v decimal(18,4)")
+    got = {(r["g"], int(r["v"])): r["r"] for r in rank_in_group(df, ["g"], "v", "r").collect()}
+    assert got == {(None, 2): 1, (None, 1): 2, ("a", 3): 1}

@@ -60,7 +60,9 @@ def expected_forecast(rows, column, first_year, last_year, base_year, cut):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_forecast_matches_direct_calculation(spark, seed):
     rows = random_series(seed)
-    got = seasonal.seasonal_forecast(series_frame(spark, rows), WINDOW).collect()
+    series = series_frame(spark, rows)
+    sold = series.where(~WINDOW.is_train())
+    got = seasonal.seasonal_forecast(series, WINDOW, horizon=sold).collect()
     for column, name in enumerate(seasonal.TARGETS):
         wanted = expected_forecast(rows, column, 2000, 2003, 2003, day("2004-01-01"))
         assert {r["date"] for r in got} == set(wanted)
@@ -68,6 +70,23 @@ def test_forecast_matches_direct_calculation(spark, seed):
             assert r[f"{name}_pred"] == pytest.approx(wanted[r["date"]], abs=0.0051)
 
 
+def test_horizon_is_the_calendar(spark):
+    series = series_frame(spark, [r for r in random_series(3) if r[0] < day("2004-01-01")])
+    rows = seasonal.seasonal_forecast(series, WINDOW).orderBy("date").collect()
+    assert len(rows) == WINDOW.horizon_days == 548
+    assert (rows[0]["date"], rows[-1]["date"]) == (day("2004-01-01"), day("2005-07-01"))
+    assert all(r["revenue_pred"] is not None for r in rows)
+
+
+def test_null_key_forecasts_like_any_other(spark):
+    rows = [(k, *r) for r in random_series(4) for k in ("k", None)]
+    keyed = spark.createDataFrame(rows, "k string, date date, revenue double, cogs double")
+    got = seasonal.seasonal_forecast(keyed, WINDOW, ["k"]).collect()
+    by = {(r["k"], r["date"]): r["revenue_pred"] for r in got}
+    assert len(by) == 2 * WINDOW.horizon_days
+    assert all(by[None, d] == by["k", d] is not None for k, d in by)
+
+
 def test_growth_uses_adjacent_present_years(spark):
     rows = [(day("2000-05-01"), 100.0, 10.0), (day("2002-05-01"), 300.0, 20.0), (day("2003-05-01"), 150.0, 40.0)]
     changes = seasonal.yoy_change(seasonal.annual_totals(series_frame(spark, rows)))

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.operators import facts, features
+from shelfcast.operators import dims, facts, features
 from shelfcast.plans import marts, reports
 from shelfcast.plans.queries import run
 from shelfcast.plans.warehouse import LAYERS, YEAR_OF, Warehouse
@@ -106,7 +106,8 @@ def test_day_with_one_cancelled_order_without_items(spark):
     customers = spark.createDataFrame([(6, "MACHINERY")], "customer_id long, age_group string")
     row = features.daily_operations(orders, customers).first()
     assert (row["unique_order"], row["item_sold"], row["aov"], row["cancel_rate"]) == (1, 0.0, 80.0, 1.0)
-    assert sum(row[name] for name in features.AGE_FEATURES) == 0
+    assert row[features.OTHER_AGES] == 1
+    assert sum(row[name] for name in features.AGE_FEATURES) == row["unique_order"]
 
 
 def test_abnormal_month_is_found(spark):
@@ -118,6 +119,49 @@ def test_abnormal_month_is_found(spark):
     assert months[21] not in [m for m, d in got if d == "growth"]
 
 
+def monthly_orders(spark, revenues):
+    months = [dt.date(2000 + i // 12, i % 12 + 1, 1) for i in range(len(revenues))]
+    return months, spark.createDataFrame(list(zip(months, map(Decimal, revenues))), "order_date date, net decimal(28,4)")
+
+
+def test_a_month_without_revenue_does_not_blind_the_report(spark):
+    revenues = [100 + i % 2 for i in range(30)]
+    revenues[16], revenues[22] = 0, 900
+    months, orders = monthly_orders(spark, revenues)
+    got = {r["month"]: r["direction"] for r in reports.report_abnormal_growth(orders).collect()}
+    assert got[months[22]] == "growth"
+
+
+def test_a_spike_after_a_flat_history_is_found(spark):
+    revenues = [100] * 30
+    revenues[20] = 900
+    months, orders = monthly_orders(spark, revenues)
+    got = {r["month"]: (r["direction"], r["z_score"]) for r in reports.report_abnormal_growth(orders).collect()}
+    assert got[months[20]] == ("growth", None)
+    assert months[19] not in got
+
+
+def test_code_ids_stay_when_a_code_appears(spark):
+    def ids(codes):
+        frame = spark.createDataFrame([(c,) for c in codes], "reason string")
+        return {r["return_reason"]: r["return_reason_id"] for r in dims.dim_return_reason(frame).collect()}
+
+    few, more = ids(["F", "O", None, "O"]), ids(["A", "F", "G", "O"])
+    assert len(few) == 2 and len(set(more.values())) == 4
+    assert all(more[code] == number for code, number in few.items())
+
+
+def test_facts_and_rejected_lines_add_up(spark, w):
+    orders = w.table("orders").where("order_id % 5 <> 0")
+    items = w.table("order_items")
+    rejected = facts.rejected_lines(items, orders)
+    names = ("units", "gross", "net", "cogs", "shipping_fee", "return_amount", "net_profit")
+    sums = [F.sum(c).alias(c) for c in names]
+    whole = items.agg(*sums).first()
+    parts = facts.sales_lines(items, orders).select(*names).unionByName(rejected.select(*names)).agg(*sums).first()
+    assert rejected.count() > 0 and whole == parts
+
+
 def test_published_layers(spark, w):
     root = publish_folder(spark, "test")
     assert root.startswith(shared_folder(spark))
