@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -13,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows of one Arrow batch between the JVM and Python: bounds memory when texts are long.
-ARROW_ROWS = 1000
+ARROW_ROWS = 256
 #: UTF-8 bytes of text that a Python function holds unpacked at once (or one text, if longer).
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -77,6 +80,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: Python workers wait for other tasks, beside an executor that needs it."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def annotate(
     df: DataFrame, text_column: str, make: Callable[[], Callable[[pa.Array], list]], fields: str, keep: list[str],
     name: str,
@@ -100,6 +110,7 @@ def annotate(
     names = result.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
         compute = make()
         for part in slices(batches, text):
             arrays = [
@@ -107,6 +118,8 @@ def annotate(
             ]
             packed = pa.StructArray.from_arrays(arrays, names)
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], packed], [*keep, name])
+        del compute
+        give_back()
 
     return source.mapInArrow(run, schema)
 
