@@ -1,40 +1,5 @@
-import random
-import zlib
-
 import pytest
-
-WORDS = "the a quick brown fox jumps over lazy dog and then some other animals ran away from big noisy crowd".split()
-SCHEMA = (
-    "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, score double, quality int, "
-    "found string, fp bigint, component bigint, label int, cell int, base string, added string, pieces string, "
-    "n_tokens int, toxicity double, u int, h_id int, privacy_id int, n_words int"
-)
-EXTRA = ("x", 1.0, 1, "y", 2, 3, 4, 5, "b", "a", "p", 6, 0.5, 7, 8, 9, 10)
-
-
-def sentence(seed, n):
-    rng = random.Random(seed)
-    return " ".join(rng.choice(WORDS) + str(rng.randrange(50)) for _ in range(n))
-
-
-def rows_of(texts):
-    """Document rows with clashing extra columns; texts: (doc_id, text, lang)."""
-    return [(i, t, lang, "s", None if t is None else len(t), *EXTRA) for i, t, lang in texts]
-
-
-MESSY = [
-    (1, "The quick brown fox.\nIt jumps.", "en"),
-    (2, None, "en"),
-    (3, "", None),
-    (4, " \n\t ", "fr"),
-    (5, "word " * 30_000 + "end", "en"),
-    (5, "word " * 30_000 + "end", "en"),
-    (6, "The quick brown fox.\nIt jumps.", "de"),
-    (None, "A text without an id: mail me at a.b@example.org", None),
-    (7, "x" * 50_000, "en"),
-    (8, "🎉 naïve ça … 日本語", "fr"),
-    (9, "1234 5678", None),
-]
+from tests_support import MESSY, SCHEMA, rows_of
 
 
 @pytest.fixture(scope="session")
@@ -45,7 +10,3 @@ def messy(spark):
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
-
-
-def in_fold(doc_id):
-    return doc_id is None or zlib.crc32(str(doc_id).encode()) % 5 == 0

@@ -1,5 +1,5 @@
 import pytest
-from conftest import SCHEMA, rows_of, sentence
+from tests_support import SCHEMA, rows_of, sentence
 
 import corpus_pipeline
 from shelfcast.llm.decontaminate import op10_decontamination

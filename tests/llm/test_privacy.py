@@ -3,7 +3,7 @@ import random
 import re
 
 import pytest
-from conftest import SCHEMA, rows_of, sentence
+from tests_support import SCHEMA, rows_of, sentence
 from pyspark.sql import functions as F
 
 from shelfcast.llm.privacy import KINDS, base_spans, disclosed_terms, find_personal, op8_pii, redacted

@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import sentence
+from tests_support import sentence
 from pyspark.sql import functions as F
 from xxhash import xxh64
 
