@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import annotate, bounded_batches, held_out, raw_texts, table
-from shelfcast.llm.samples import stretch
+from shelfcast.llm.samples import hash_sample, stretch
 
 #: Bound on the labelled documents that training reads.
 SAMPLE_DOCS = 4000
@@ -158,11 +158,12 @@ def fit_language(
     known = documents.where(
         ~held_out(id_column) & F.col(lang_column).isNotNull() & F.col(text_column).rlike(r"\p{L}")
     )
-    taken = known.select(
-        F.xxhash64(id_column).alias("h"), F.col(id_column).alias("id"),
-        stretch(text_column, id_column, WINDOW * 2).alias("piece"), F.col(lang_column).alias("said"),
-    ).orderBy("h", "id", "said", "piece").limit(rows).collect()
-    return train([r["piece"].encode() for r in taken], [r["said"] for r in taken])
+    taken = hash_sample(known.select(
+        F.col(id_column).alias("id"), stretch(text_column, id_column, WINDOW * 2).alias("piece"),
+        F.col(lang_column).alias("said"),
+    ), "id", rows).collect()
+    pairs = sorted((r["piece"], r["said"]) for r in taken)
+    return train([piece.encode() for piece, _ in pairs], [said for _, said in pairs])
 
 
 def predict_language(

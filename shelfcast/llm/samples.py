@@ -17,6 +17,18 @@ def stretch(text: str, place: str, size: int) -> F.Column:
     return F.substring(text, (F.pmod(F.xxhash64(place), room.cast("bigint")) + 1).cast("int"), F.lit(size))
 
 
+def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those whose key hashes lowest; a row's place depends on its key alone.
+
+    Rows are first thinned by hash to a little more than ``rows`` in all, so however many tasks there are, together
+    they pass on about as much as is asked for.
+    """
+    share = (1.2 * rows + 100) / max(df.count(), 1)
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    thin = df if share >= 1 else df.where(place < share)
+    return thin.orderBy(place, key).limit(rows)
+
+
 def labelled_texts(
     documents: DataFrame, labels: DataFrame, label: str, rows: dict[int, int] | int, id_column: str = "doc_id",
     text_column: str = "text",
@@ -31,9 +43,9 @@ def labelled_texts(
         .groupBy(F.col(id_column).alias("id")).agg(F.min(label).cast("int").alias("label"))
     )
     picks = (
-        [known.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(n) for k, n in rows.items()]
+        [hash_sample(known.where(F.col("label") == k), "id", n) for k, n in rows.items()]
         if isinstance(rows, dict)
-        else [known.orderBy(F.xxhash64("id"), "id").limit(rows)]
+        else [hash_sample(known, "id", rows)]
     )
     chosen = picks[0]
     for more in picks[1:]:
