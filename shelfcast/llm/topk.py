@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import bounded_batches, stored, table
+from shelfcast.llm.samples import hash_sample
 
 K = 20
 #: Bounds on the sample that places pivots and first thresholds, and on the pivots.
@@ -205,7 +206,7 @@ def top_k(
     """query_id, rank, vec_id, score: the k best of all other rows for each id divisible by ``every``."""
     vectors = stored(integer_vectors(df, id_column, vector_column, scale), "topk-vectors")
     width = vectors.agg(F.max(F.size("v"))).first()[0] or 1
-    sample = vectors.orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE_ROWS).collect()
+    sample = hash_sample(vectors, "id", SAMPLE_ROWS).collect()
     sample_ids = np.array([r["id"] for r in sample], np.int64)
     sample_rows = _matrix([r["v"] for r in sample], width)
     pivots = farthest_first(sample_rows.astype(np.float64), CELLS) if len(sample) else np.zeros((1, width))
