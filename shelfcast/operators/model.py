@@ -205,8 +205,10 @@ def forecast_metrics(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def hybrid_metrics(mart_of: Callable[[Column], DataFrame], first_years: Sequence[int]) -> DataFrame:
-    """RMSE, MAE and R2 of the hybrid per expanding fold.
+def hybrid_metrics(
+    mart_of: Callable[[Column], DataFrame], first_years: Sequence[int], trend: str = "ridge"
+) -> DataFrame:
+    """RMSE, MAE and R2 of the hybrid with that trend per expanding fold.
 
     ``mart_of`` builds the forecast mart for a training condition, so that the expected
     values of each fold see only that fold's training days.
@@ -215,7 +217,7 @@ def hybrid_metrics(mart_of: Callable[[Column], DataFrame], first_years: Sequence
     for number, year in enumerate(first_years, start=1):
         cut = f"{year}-01-01"
         is_train = F.col("date") < F.lit(cut).cast("date")
-        predicted = hybrid_predict(mart_of(is_train), is_train, cut)
+        predicted = hybrid_predict(mart_of(is_train), is_train, cut, trend)
         scored.append(predicted.where(F.year("date") == year).withColumn("fold", F.lit(number)))
     columns = ["fold", *TARGETS, *[f"{name}_pred" for name in TARGETS]]
     return forecast_metrics(reduce(DataFrame.unionByName, [df.select(*columns) for df in scored]), ["fold"])

@@ -53,6 +53,9 @@ YEAR_OF = {
     "fact_web_traffic": "date",
 }
 
+# Tables of YEAR_OF with a year column of their own.
+HAS_YEAR = ("fact_sales_series",)
+
 TABLE_DATES = {
     "promotions": "start_date",
     "orders": "order_date",
@@ -80,6 +83,20 @@ class Warehouse:
         self._tables: dict[str, DataFrame] = {}
         self._published: set[str] = set()
 
+    @classmethod
+    def open(cls, spark: SparkSession, source: str, root: str, window: ForecastWindow = FORECAST_WINDOW) -> Warehouse:
+        """A warehouse that reads the processed, dim, fact and mart tables published under
+        ``root``. Reports, the inventory and checks then scan those files; only what was not
+        published is built from ``source``."""
+        warehouse = cls(spark, source, window)
+        for layer in ("processed", "dim", "fact", "mart"):
+            for name in LAYERS[layer]:
+                df = spark.read.parquet(os.path.join(root, layer, name))
+                added = name in YEAR_OF and name not in HAS_YEAR
+                warehouse._tables[name] = df.drop("year") if added else df
+                warehouse._published.add(name)
+        return warehouse
+
     def raw(self, name: str) -> DataFrame:
         return test_table(self.spark, self.source, name)
 

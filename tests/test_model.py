@@ -7,7 +7,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from shelfcast.operators import features, model
-from shelfcast.plans.queries import CV_FIRST_YEARS, ORIGIN
+from shelfcast.plans.queries import CV_FIRST_YEARS, DAILY_FRAMES, ORIGIN
 from shelfcast.plans.warehouse import Warehouse
 from shelfcast.session import durable
 
@@ -104,6 +104,17 @@ def test_hybrid_is_scored_on_unseen_years(spark, small):
         assert r["row_count"] == 83 and 0 < r["mae"] <= r["rmse"]
 
 
+def test_the_hybrid_is_scored_with_both_trends(spark, small):
+    w = Warehouse(spark, small)
+    frames = [w.stored(name) for name in DAILY_FRAMES]
+    for trend in ("ridge", "huber"):
+        metrics = model.hybrid_metrics(
+            lambda is_train: durable(features.mart_sales_forecast_ready(*frames, is_train), "fold"), [2000], trend
+        ).collect()
+        assert {r["target"] for r in metrics} == {"revenue", "cogs"}
+        assert all(r["row_count"] > 50 and 0 < r["mae"] <= r["rmse"] for r in metrics)
+
+
 def test_folds_expand_and_never_look_ahead(spark, small):
     days = Warehouse(spark, small).table("sales")
     folds = model.ts_cross_validation(days, CV_FIRST_YEARS)

@@ -162,6 +162,23 @@ def test_facts_and_rejected_lines_add_up(spark, w):
     assert rejected.count() > 0 and whole == parts
 
 
+def test_an_opened_warehouse_reads_what_was_published(spark, w):
+    root = publish_folder(spark, "reopened")
+    built = Warehouse(spark, w.source)
+    for layer in ("processed", "dim", "fact", "mart"):
+        built.publish_layer(layer, LAYERS[layer], root)
+    opened = Warehouse.open(spark, w.source, root)
+    for layer in ("dim", "fact", "mart"):
+        for name in LAYERS[layer]:
+            assert sorted(opened.table(name).columns) == sorted(built.table(name).columns)
+    counts = {r["table_name"]: r["row_count"] for r in opened.table("table_inventory").collect()}
+    assert counts["fact_sales_item"] == built.table("fact_sales_item").count()
+    for name in ("table_inventory", "mart_operations"):
+        assert not any("lineitem" in f for f in opened.table(name).inputFiles())
+    report = reports.report_business_overview(opened.table("fact_orders"))
+    assert report.count() == reports.report_business_overview(w.table("fact_orders")).count()
+
+
 def test_published_layers(spark, w):
     root = publish_folder(spark, "test")
     assert root.startswith(shared_folder(spark))
