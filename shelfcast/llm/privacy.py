@@ -146,11 +146,12 @@ def disclosed_terms(documents: DataFrame, text_column: str, key: list[str]) -> t
     """(term, share, bits) of the disclosed terms, and the terms (key, terms array) of each row that holds some."""
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     rows = documents.select(*key, text.alias("t"))
+    # Rows are numbered before they are exploded: in the same select each context would have a number.
+    numbered = base_spans(rows, "t", "s").where(F.size("s") > 0).select(
+        F.monotonically_increasing_id().alias("row"), F.array_distinct(_contexts(F.col("t"), F.col("s"))).alias("all")
+    )
     seen = stored(
-        base_spans(rows, "t", "s").where(F.size("s") > 0)
-        .select(F.explode(F.array_distinct(_contexts(F.col("t"), F.col("s")))).alias("c"),
-                F.monotonically_increasing_id().alias("row")).select("row", "c.value", "c.terms"),
-        "privacy-contexts",
+        numbered.select("row", F.explode("all").alias("c")).select("row", "c.value", "c.terms"), "privacy-contexts"
     )
     total = documents.agg(F.count(F.lit(1)).alias("total"))
     value_rows = seen.select("row", "value").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("value_rows"))

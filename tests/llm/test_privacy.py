@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -81,6 +82,53 @@ def test_copies_of_a_passage_tell_nothing(spark):
     assert terms.count() == 0
 
 
+def brute_terms(texts):
+    """{term: (share, bits)} with each document counted once; addresses only, all within reach of all words."""
+    address = re.compile(RULES["email"])
+    words = lambda t: {w for w in re.split(r"[^a-z0-9]+", t.lower()) if len(w) >= 3}
+    contexts, together, value_rows, term_rows = {}, {}, {}, {}
+    for n, t in enumerate(texts):
+        for w in words(t):
+            term_rows.setdefault(w, set()).add(n)
+        for m in address.finditer(t):
+            value_rows.setdefault(m[0], set()).add(n)
+            before, after = t[max(0, m.start() - 60) : m.start()], t[m.end() : m.end() + 60]
+            before = re.sub(r"^[a-z0-9]+", "", before) if m.start() > 60 else before
+            after = re.sub(r"[a-z0-9]+$", "", after) if len(after) == 60 else after
+            around = frozenset(words(before + " " + after))
+            for w in around:
+                contexts.setdefault((m[0], w), set()).add(around)
+                together.setdefault((m[0], w), set()).add(n)
+    out = {}
+    for (value, w), rows in together.items():
+        share = len(rows) / len(term_rows[w])
+        bits = math.log2(share * len(texts) / len(value_rows[value]))
+        if len(contexts[value, w]) >= 3 and share >= 0.5 and bits >= 3:
+            a, b = out.get(w, (0, 0))
+            out[w] = max(a, share), max(b, bits)
+    return out
+
+
+def test_documents_of_many_spans_count_once(spark):
+    texts = [f"filler{i} more{i}" for i in range(80)]
+    # A term beside one address in three documents, and beside ten others in a fourth.
+    texts += [f"left{i} keyterm boss@corp.example right{i}" for i in range(3)]
+    texts += [" ".join(f"keyterm p{i}@other.example gap{i}" for i in range(10))]
+    # A term that stands beside an address in one document only, in many contexts, and without it in two others.
+    texts += [" ".join(f"pad{i} {'x' * 40} onceterm me@home.example tail{i}" for i in range(8)), "onceterm", "onceterm a"]
+    rng = random.Random(8)
+    for _ in range(60):
+        parts = [rng.choice(["aaa", "bbb", "ccc", "ddd", "u@v.ww", "s@t.xx", "q@r.yy"]) for _ in range(rng.randrange(25))]
+        texts.append(" ".join(parts))
+    expected = brute_terms(texts)
+    assert expected["keyterm"][0] == 3 / 4 and "onceterm" not in expected
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["term"]: (r["share"], r["bits"]) for r in disclosed_terms(frame, "text", ["doc_id"])[0].collect()}
+    assert set(found) == set(expected)
+    for term, both in expected.items():
+        assert found[term] == pytest.approx(both) and found[term][0] <= 1
+
+
 def test_added_spans_and_text(spark, telling):
     found = find_personal(telling, base="spans", added="more")
     assert found.columns == [*telling.columns, "spans", "more"]
