@@ -109,7 +109,8 @@ class Best:
             return
         k = self.k
         counts = np.unique(ids, return_counts=True)[1]
-        wide = k if counts.max() == 1 else k * (int(counts.max()) + 1)  # an id may have several vectors
+        # An id may have several vectors: it is held once at most, and stands in ``ids`` so many times.
+        wide = k * (int(counts.max()) + 1)
         both = np.concatenate([self.score[lo:hi], scores], axis=1)
         ids = np.concatenate([self.id[lo:hi], np.broadcast_to(ids, scores.shape)], axis=1)
         last = min(wide, both.shape[1]) - 1

@@ -51,6 +51,31 @@ def test_dual_search(seed):
         assert list(zip((-best.score[n]).astype(int).tolist(), best.id[n].tolist())) == expected
 
 
+def test_a_held_id_that_comes_again_takes_one_place():
+    queries = CoverTree(np.array([0]), np.array([[1]]))
+    best = Best(queries, 2)
+    best.take(0, 1, np.array([1, 2]), np.array([[5.0, 4.0]]))
+    best.take(0, 1, np.array([1, 3]), np.array([[6.0, 1.0]]))
+    assert best.id.tolist() == [[1, 2]] and best.score.tolist() == [[6.0, 4.0]]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ids_with_many_vectors_over_many_leaves(seed):
+    rng = np.random.default_rng(seed)
+    data = np.unique(np.floor(rng.normal(0, 60, (900, 3))).astype(np.int64), axis=0)
+    ids = rng.integers(0, 60, len(data))
+    ids[rng.random(len(data)) < 0.3] = 7  # a hot id
+    tree = CoverTree(ids, data)
+    queries = CoverTree(np.arange(1000, 1020), np.floor(rng.normal(0, 60, (20, 3))).astype(np.int64))
+    best = dual_search(queries, tree, Best(queries, 9))
+    for n in range(20):
+        scores = {}
+        for i, v in zip(ids.tolist(), data):
+            scores[i] = max(scores.get(i, -10**18), int(queries.rows[n] @ v))
+        expected = sorted((-s, i) for i, s in scores.items())[:9]
+        assert list(zip((-best.score[n]).astype(int).tolist(), best.id[n].tolist())) == expected
+
+
 def test_pruning_happens():
     rng = np.random.default_rng(0)
     far = np.concatenate([rng.normal(0, 1, (300, 3)) + c for c in ([900, 0, 0], [-900, 0, 0])]).astype(np.int64)
