@@ -57,6 +57,18 @@ def test_each_stage_on_planted_cases(spark, folder):
     assert len(encoded) == docs.count() and all(r["restored"] for r in encoded)
 
 
+def test_texts_that_share_an_id_stay_apart(spark, folder):
+    """A copy of a smaller id takes no other text of its own id along; a hot id keeps all its texts."""
+    text = [sentence(900 + i, 80) for i in range(40)]
+    rows = [(1, text[0], "en"), (7, text[0], "en"), (7, text[1], "en"), (8, text[2], "en"), (8, text[3], "en"),
+            (9, text[1].upper(), "en"), (10, text[4], "en"), (10, text[4], "en"), (10, text[4], "fr"), (10, None, "en")]
+    rows += [(50, t, "en") for t in text[5:]]
+    docs = spark.createDataFrame(rows_of(rows), SCHEMA)
+    kept = [(r["doc_id"], r["text"]) for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, folder).collect()]
+    expected = [(1, text[0]), (7, text[1]), (8, text[2]), (8, text[3]), (10, text[4]), (10, None)]
+    assert sorted(kept, key=str) == sorted(expected + [(50, t) for t in text[5:]], key=str)
+
+
 def test_run_is_its_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
