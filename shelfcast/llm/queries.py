@@ -12,6 +12,7 @@ from shelfcast.llm.simhash import op6_simhash
 from shelfcast.llm.tokens import op1_token_counts
 from shelfcast.llm.topk import OP2_SQL, op2_topk
 from shelfcast.llm.toxicity import op9_toxicity
+from shelfcast.llm.wordbpe import op13_word_bpe
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op13_word_bpe": op13_word_bpe,
 }
 ORACLE_SQL = {
     "op2_topk": OP2_SQL,
