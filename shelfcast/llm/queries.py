@@ -12,6 +12,8 @@ from shelfcast.llm.simhash import op6_simhash
 from shelfcast.llm.tokens import op1_token_counts
 from shelfcast.llm.topk import OP2_SQL, op2_topk
 from shelfcast.llm.toxicity import op9_toxicity
+from shelfcast.llm.vectorcodes import OP12_SQL, op12_vector_codes
+from shelfcast.llm.whitening import op11_whitening
 from shelfcast.llm.wordbpe import op13_word_bpe
 
 QUERIES = {
@@ -25,10 +27,13 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
+    "op12_vector_codes": op12_vector_codes,
     "op13_word_bpe": op13_word_bpe,
 }
 ORACLE_SQL = {
     "op2_topk": OP2_SQL,
     "op7_chat": OP7_SQL,
     "op10_decontamination": OP10_SQL,
+    "op12_vector_codes": OP12_SQL,
 }

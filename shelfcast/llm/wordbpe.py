@@ -1,11 +1,11 @@
 """BPE encoding and decoding with a lexicon: frequent words come from a minimal acyclic transducer, others are merged.
 
-A text is cut at ASCII white space, which neither normalisation nor a word of the tokenizer crosses. The stretches
-between are normalised and cut into words: printable ASCII by one pattern, everything else by the tokenizer's own
-normaliser and pre-tokenizer; the strings of special tokens are cut out first, as the library does. All words of the
-table are counted on Spark; the frequent ones are compiled, with their ids as outputs, into a shared-suffix automaton
-in one file of the shared folder, which each executor fetches once and its tasks map into memory. A word that the
-lexicon lacks is merged exactly: the pair of lowest rank first, the leftmost of equal ones.
+Texts of printable ASCII and Latin-1 letters are lowered and cut into words by one pattern. Other texts are cut at ASCII
+white space, which neither normalisation nor a word of the tokenizer crosses, and stretches with other characters go
+through the tokenizer's own normaliser and pre-tokenizer; the strings of special tokens are cut out first, as the
+library does. All words of the table are counted on Spark; the frequent ones are compiled, with their ids as outputs,
+into a shared-suffix automaton in one file of the shared folder, which each executor fetches once and its tasks map
+into memory. A word that the lexicon lacks is merged exactly: the pair of lowest rank first, the leftmost of equal ones.
 
 The lexicon decides how an id is found, never which: with any lexicon, an empty one too, results are the same.
 
@@ -27,19 +27,23 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import annotate, bounded_batches, store_folder, table
+from shelfcast.llm.common import annotate, bounded_batches, store_folder, stored, table
 from shelfcast.llm.tokens import load_tokenizer, public_tokenizer
 from shelfcast.llm.transducer import Transducer, compile_words
 
 MODEL = "word_bpe_49k.json"
-#: Words of the lexicon: those counted most often, at least twice; a longer word is merged anew wherever it stands.
-LEXICON_WORDS = 1 << 16
+#: A word is frequent if it makes up one in so many of all words that repeat; so there are at most as many.
+LEXICON_SHARE = 1 << 18
 WORD_CHARS = 48
-#: Merged words, and words of stretches beyond ASCII, that a task remembers.
-MEMORY_ENTRIES = 100_000
+#: Merged words, and words of odd stretches, that a task remembers; longer ones than WORD_CHARS never.
+MEMORY_ENTRIES = 200_000
+#: Bytes of a word from which on merging takes a heap.
+HEAP_BYTES = 64
 
 STRETCH = re.compile(r"[^\t-\r ]+")
-WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Characters that no neighbour of theirs changes in normalisation; the letters are letters in every Unicode version.
+PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
 class Merger:
@@ -62,9 +66,8 @@ class Merger:
         strings = sorted(self.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, strings)) + ")") if strings else None
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.merges = {
-            (vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b]) for rank, (a, b) in enumerate(pairs)
-        }
+        self.rank = {(vocabulary[a], vocabulary[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [vocabulary[a + b] for a, b in pairs]
         # The pre-tokenizer writes each byte as one printable character.
         letters = {}
         spare = 256
@@ -79,48 +82,68 @@ class Merger:
         for token, number in (*vocabulary.items(), *self.added.items()):
             self.written[number] = token
 
-    def words(self, stretch: str) -> list[bytes | int]:
-        """The words of a stretch as UTF-8 bytes, and special tokens as ids."""
+    def is_plain(self, text: str) -> bool:
+        return PLAIN.fullmatch(text) is not None and not any(t in text for t in self.added)
+
+    def words(self, stretch: str) -> list[str | bytes | int]:
+        """The words of a stretch, as text if it is plain and else as UTF-8 bytes, and special tokens as ids."""
+        if self.is_plain(stretch):
+            return WORD.findall(stretch.lower())
         if self.special and self.special.search(stretch):
             out = []
             for part in self.special.split(stretch):
                 out += [self.added[part]] if part in self.added else self.words(part) if part else []
             return out
-        if stretch.isascii() and stretch.isprintable():
-            return [w.encode() for w in WORD.findall(stretch.lower())]
         normal = self.tokenizer.normalizer.normalize_str(stretch)
         byte_of = self.byte_of
         return [bytes([byte_of[c] for c in w]) for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
 
     def merge(self, word: bytes) -> list[int]:
-        """The ids of a word: a heap of mergeable pairs over a linked list of its parts."""
-        n = len(word)
-        if not n:
+        """The ids of a word."""
+        if not word:
             return []
         part = [*map(self.inner.__getitem__, word[:-1]), self.last[word[-1]]]
+        return self._merge_long(part) if len(part) > HEAP_BYTES else self._merge_short(part)
+
+    def _merge_short(self, part: list[int]) -> list[int]:
+        none = len(self.made)
+        rank_of, made = self.rank.get, self.made
+        ranks = [rank_of(pair, none) for pair in zip(part, part[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == none:
+                break
+            i = ranks.index(least)
+            part[i] = made[least]
+            del part[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank_of((part[i - 1], part[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank_of((part[i], part[i + 1]), none)
+        return part
+
+    def _merge_long(self, part: list[int]) -> list[int]:
+        """A heap of mergeable pairs over a linked list of the parts."""
+        n = len(part)
         after = [*range(1, n), -1]
         before = [*range(-1, n - 1)]
-        merges = self.merges
-        heap = []
-        for i in range(n - 1):
-            found = merges.get((part[i], part[i + 1]))
-            if found:
-                heap.append((found[0], i, found[1]))
+        rank_of = self.rank.get
+        heap = [(r, i) for i, r in enumerate(map(rank_of, zip(part, part[1:]))) if r is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, new = heapq.heappop(heap)
+            rank, i = heapq.heappop(heap)
             j = after[i]
-            if part[i] < 0 or j < 0 or merges.get((part[i], part[j]), (0, -1))[1] != new:
-                continue
-            part[i], part[j] = new, -1
+            if part[i] < 0 or j < 0 or rank_of((part[i], part[j])) != rank:
+                continue  # one of the two has been merged since
+            part[i], part[j] = self.made[rank], -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for left, right in ((before[i], i), (i, after[i])):
                 if left >= 0 and right >= 0:
-                    found = merges.get((part[left], part[right]))
-                    if found:
-                        heapq.heappush(heap, (found[0], left, found[1]))
+                    found = rank_of((part[left], part[right]))
+                    if found is not None:
+                        heapq.heappush(heap, (found, left))
         return [p for p in part if p >= 0]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -137,9 +160,7 @@ class Encoder:
         self.merged: dict[bytes, bytes] = {}
         self.cut: dict[str, list] = {}
 
-    def _words(self, stretch: str) -> list[bytes | int]:
-        if stretch.isascii():
-            return self.merger.words(stretch)
+    def _odd(self, stretch: str) -> list[str | bytes | int]:
         if stretch not in self.cut:
             words = self.merger.words(stretch)
             if len(stretch) > WORD_CHARS:
@@ -149,6 +170,14 @@ class Encoder:
             self.cut[stretch] = words
         return self.cut[stretch]
 
+    def _words(self, text: str) -> list[str | bytes | int]:
+        if self.merger.is_plain(text):
+            return WORD.findall(text.lower())
+        out = []
+        for stretch in STRETCH.findall(text):
+            out += WORD.findall(stretch.lower()) if self.merger.is_plain(stretch) else self._odd(stretch)
+        return out
+
     def _merge(self, word: bytes) -> bytes:
         if word not in self.merged:
             ids = np.array(self.merger.merge(word), np.int32).tobytes()
@@ -160,24 +189,24 @@ class Encoder:
         return self.merged[word]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [STRETCH.findall(t) for t in texts]
-        stretches = {s: self._words(s) for s in set().union(*cut)} if cut else {}
-        words = list({w for ws in stretches.values() for w in ws if isinstance(w, bytes)})
-        known, ids, places = self.lexicon.lookup(words)
-        raw = np.ascontiguousarray(ids, np.int32).tobytes()
-        found: dict[bytes | int, bytes] = {
-            number: np.array([number], np.int32).tobytes() for number in self.merger.added.values()
+        cut = [self._words(t) for t in texts]
+        units = list(set().union(*cut)) if cut else []
+        words = [u for u in units if not isinstance(u, int)]
+        raw = [w if isinstance(w, bytes) else w.encode() for w in words]
+        known, ids, places = self.lexicon.lookup(raw)
+        packed = np.ascontiguousarray(ids, np.int32).tobytes()
+        found: dict[str | bytes | int, bytes] = {
+            u: np.array([u], np.int32).tobytes() for u in units if isinstance(u, int)
         }
         at = (4 * places).tolist()
-        seen = iter(range(len(at) - 1))
-        for word, is_known in zip(words, known.tolist()):
+        place = iter(zip(at, at[1:]))
+        for word, word_bytes, is_known in zip(words, raw, known.tolist()):
             if is_known:
-                k = next(seen)
-                found[word] = raw[at[k] : at[k + 1]]
+                a, b = next(place)
+                found[word] = packed[a:b]
             else:
-                found[word] = self._merge(word)
-        whole = {s: b"".join(map(found.__getitem__, ws)) for s, ws in stretches.items()}
-        return [np.frombuffer(b"".join(map(whole.__getitem__, c)), np.int32) for c in cut]
+                found[word] = self._merge(word_bytes)
+        return [np.frombuffer(b"".join(map(found.__getitem__, c)), np.int32) for c in cut]
 
 
 def word_counts(documents: DataFrame, text_column: str = "text") -> DataFrame:
@@ -208,13 +237,15 @@ def put_file(spark: SparkSession, content: bytes, name: str) -> str:
 
 
 def build_lexicon(
-    documents: DataFrame, text_column: str = "text", model: str = MODEL, words: int = LEXICON_WORDS
+    documents: DataFrame, text_column: str = "text", model: str = MODEL, share: int = LEXICON_SHARE
 ) -> str:
-    """Compile the most frequent words of all texts, at most ``words`` of them; returns the file's name."""
+    """Compile the frequent words of all texts, at most ``share`` of them; returns the file's name."""
     merger = Merger(public_tokenizer(model))
-    counted = word_counts(documents, text_column).where("n > 1").orderBy(F.desc("n"), "word").limit(words)
-    frequent = {w for r in counted.collect() for w in merger.words(r["word"]) if isinstance(w, bytes)}
-    content = compile_words((w, tuple(merger.merge(w))) for w in sorted(frequent))
+    counted = stored(word_counts(documents, text_column).where("n > 1"), "lexicon-words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    frequent = counted.where(F.col("n") * share >= total).collect()  # at most ``share`` rows
+    words = {w if isinstance(w, bytes) else w.encode() for r in frequent for w in merger.words(r["word"])}
+    content = compile_words((w, tuple(merger.merge(w))) for w in sorted(words))
     return put_file(documents.sparkSession, content, "lexicon")
 
 

@@ -18,7 +18,7 @@ def merger():
 
 
 def lexicon(merger, words):
-    pairs = sorted({w for x in words for w in merger.words(x)})
+    pairs = sorted({w if isinstance(w, bytes) else w.encode() for x in words for w in merger.words(x)})
     return Transducer(np.frombuffer(compile_words((w, tuple(merger.merge(w))) for w in pairs), np.uint8))
 
 
@@ -92,6 +92,28 @@ def test_parity_over_all_characters(merger, encoder, text):
     assert encoder.encode([text])[0].tolist() == library(merger, text)[0]
 
 
+@given(st.text("abcdeilnorst'é", min_size=1, max_size=40).map(str.encode))
+@settings(max_examples=300, deadline=None)
+def test_both_ways_of_merging(merger, word):
+    part = [*map(merger.inner.__getitem__, word[:-1]), merger.last[word[-1]]]
+    assert merger._merge_short(list(part)) == merger._merge_long(list(part))
+
+
+def test_plain_characters_are_what_they_are_taken_for(merger):
+    import unicodedata
+
+    from shelfcast.llm.wordbpe import PLAIN, WORD
+
+    for c in map(chr, range(0x3000)):
+        if PLAIN.fullmatch(c):
+            assert unicodedata.normalize("NFC", "a" + c + "a") == "a" + c + "a"
+            for text in (c, f"a{c}a", f"1{c}2", f"'{c}"):
+                assert [w.encode() for w in WORD.findall(text.lower())] == [
+                    bytes(merger.byte_of[x] for x in w)
+                    for w, _ in merger.tokenizer.pre_tokenizer.pre_tokenize_str(merger.tokenizer.normalizer.normalize_str(text))
+                ]
+
+
 def test_long_words_and_any_lexicon(merger, encoder):
     rng = random.Random(1)
     texts = ["x" * 50_000, "".join(rng.choice("etaoinshr") for _ in range(20_000)), "the walking " * 5_000, "", "é" * 9_000]
