@@ -134,18 +134,25 @@ def feat_inventory_health(inventory: DataFrame) -> DataFrame:
     return inventory.select("date", *INVENTORY_FEATURES)
 
 
-def calendar_expectation(
-    daily: DataFrame, means: Sequence[str] = (), medians: Sequence[str] = ()
-) -> DataFrame:
-    """``expected_<column>`` (mean) and ``median_<column>`` for each of the 366 calendar days.
+def _median(values: Column) -> Column:
+    """Median of an array without NULLs; NULL for an empty one."""
+    ordered, n = F.sort_array(values), F.size(values)
+    low, high = F.floor((n + 1) / 2).cast("int"), F.floor(n / 2).cast("int") + 1
+    return F.when(n > 0, (F.element_at(ordered, low) + F.element_at(ordered, high)) / 2)
+
+
+def prior_expectation(daily: DataFrame, means: Sequence[str] = (), medians: Sequence[str] = ()) -> DataFrame:
+    """``expected_<column>`` (mean) and ``median_<column>`` of a calendar day over the years of ``daily``
+    up to and including ``after``, for each of its 366 calendar days and each of its years.
 
-    ``daily`` must hold training days only. A calendar day without history takes the mean
-    over the calendar days that have one and is marked ``has_history = false``. The window
-    sees the 366 calendar days.
+    ``daily`` must hold training days only, one row a day. A row is for days of the years behind ``after``, up to
+    and including ``until`` (the next year of ``daily``; NULL: no end), so no day sees its own or a later year.
+    ``history`` counts the years that have the calendar day; without any, the statistics are the means of the other
+    calendar days' up to that year. There is one pass over ``daily``; all else sees 366 rows a year.
     """
-    stats = {f"expected_{c}": F.avg(c) for c in means} | {f"median_{c}": F.median(c) for c in medians}
-    profile = daily.groupBy(F.month("date").alias("month"), F.dayofmonth("date").alias("day")).agg(
-        F.count("*").alias("history"), *[stat.alias(name) for name, stat in stats.items()]
+    columns = list(dict.fromkeys((*means, *medians)))
+    by_day = daily.groupBy(F.month("date").alias("month"), F.dayofmonth("date").alias("day")).agg(
+        F.collect_list(F.struct(F.year("date").alias("year"), *columns)).alias("_rows")
     )
     leap_year = F.sequence(F.lit("2000-01-01").cast("date"), F.lit("2000-12-31").cast("date"))
     pairs = (
@@ -154,51 +161,73 @@ def calendar_expectation(
         .select(F.month("pair").alias("month"), F.dayofmonth("pair").alias("day"))
     )
     everywhere = Window.partitionBy()
-    return pairs.join(profile, ["month", "day"], "left").select(
+    years = F.flatten(F.collect_list(F.col("_rows.year")).over(everywhere))
+    listed = pairs.join(by_day, ["month", "day"], "left").withColumn("_years", F.sort_array(F.array_distinct(years)))
+    grid = listed.select("month", "day", "_rows", "_years", F.posexplode("_years").alias("_at", "after")).select(
         "month",
         "day",
-        F.col("history").isNotNull().alias("has_history"),
-        *[F.round(F.coalesce(name, F.avg(name).over(everywhere)), 6).alias(name) for name in stats],
+        "after",
+        F.try_element_at("_years", F.col("_at") + 2).alias("until"),
+        F.try_element_at(F.filter("_rows", lambda row: row["year"] == F.col("after")), F.lit(1)).alias("_row"),
+    )
+    so_far = Window.partitionBy("month", "day").orderBy("after").rowsBetween(Window.unboundedPreceding, 0)
+    stats = {f"expected_{c}": F.avg(F.col(f"_row.{c}")).over(so_far) for c in means}
+    stats |= {f"median_{c}": _median(F.collect_list(F.col(f"_row.{c}").cast("double")).over(so_far)) for c in medians}
+    known = grid.select(
+        "month", "day", "after", "until", F.count("_row").over(so_far).alias("history"),
+        *[stat.alias(name) for name, stat in stats.items()],
+    )
+    same_year = Window.partitionBy("after")
+    return known.select(
+        "month", "day", "after", "until", "history",
+        *[F.round(F.coalesce(name, F.avg(name).over(same_year)), 6).alias(name) for name in stats],
     )
 
 
 def on_calendar_day(days: DataFrame, expectation: DataFrame) -> DataFrame:
-    """Expected values for dates; 366 rows are broadcast."""
-    keyed = days.withColumns({"_month": F.month("date"), "_day": F.dayofmonth("date")})
-    small = expectation.withColumnsRenamed({"month": "_month", "day": "_day"})
-    return keyed.join(F.broadcast(small), ["_month", "_day"], "left").drop("_month", "_day")
+    """Expected values for dates, from earlier years alone. 366 rows a year are broadcast; a day matches at most one,
+    and a day with no training year before its own has NULLs and no ``history``."""
+    small = expectation.withColumnsRenamed({"month": "_month", "day": "_day", "after": "_after", "until": "_until"})
+    same_day = (F.month("date") == F.col("_month")) & (F.dayofmonth("date") == F.col("_day"))
+    year = F.year("date")
+    in_reach = (year > F.col("_after")) & (F.col("_until").isNull() | (year <= F.col("_until")))
+    joined = days.join(F.broadcast(small), same_day & in_reach, "left").drop("_month", "_day", "_after", "_until")
+    return joined.withColumn("history", F.coalesce("history", F.lit(0)))
 
 
 def expected_orders(days: DataFrame, operations: DataFrame, is_train: Column) -> DataFrame:
-    """Expected order features, means and medians in one pass over the training days."""
-    expectation = calendar_expectation(
+    """Expected order features, means and medians in one pass over the training days; ``history_years`` is the number
+    of earlier training years that have the calendar day."""
+    expectation = prior_expectation(
         operations.where(is_train), (*AGE_FEATURES, *ORDER_FEATURES, *DIAGNOSTIC_FEATURES), MEDIAN_FEATURES
     )
-    return on_calendar_day(days, expectation.drop("has_history"))
+    return on_calendar_day(days, expectation).withColumnRenamed("history", "history_years")
 
 
 def expected_inventory(days: DataFrame, inventory: DataFrame, is_train: Column) -> DataFrame:
-    expectation = calendar_expectation(inventory.where(is_train), INVENTORY_FEATURES)
-    return on_calendar_day(days, expectation.drop("has_history"))
+    expectation = prior_expectation(inventory.where(is_train), INVENTORY_FEATURES)
+    return on_calendar_day(days, expectation).drop("history")
 
 
-def expected_traffic(days: DataFrame, traffic: DataFrame) -> DataFrame:
-    """Traffic has no training years in the test tables: all its days count, and days of
-    the year without traffic are marked in ``traffic_is_imputed``."""
-    joined = on_calendar_day(days, calendar_expectation(traffic, TRAFFIC_FEATURES))
-    return joined.withColumn("traffic_is_imputed", ~F.col("has_history")).drop("has_history")
+def expected_traffic(days: DataFrame, traffic: DataFrame, is_train: Column) -> DataFrame:
+    """Days whose calendar day had no traffic in an earlier training year are marked in ``traffic_is_imputed``; where
+    no earlier training year had any, as in the test tables, their expected values are NULL."""
+    joined = on_calendar_day(days, prior_expectation(traffic.where(is_train), TRAFFIC_FEATURES))
+    return joined.withColumn("traffic_is_imputed", F.col("history") == 0).drop("history")
 
 
 def feat_expected_mean(
     days: DataFrame, operations: DataFrame, inventory: DataFrame, traffic: DataFrame, is_train: Column
 ) -> DataFrame:
-    """Mean of each operational feature on the same calendar day of all training years."""
-    orders = expected_orders(days, operations, is_train).drop(*[f"median_{c}" for c in MEDIAN_FEATURES])
-    return expected_traffic(expected_inventory(orders, inventory, is_train), traffic)
+    """Mean of each operational feature on the same calendar day of all earlier training years."""
+    orders = expected_orders(days, operations, is_train).drop(
+        "history_years", *[f"median_{c}" for c in MEDIAN_FEATURES]
+    )
+    return expected_traffic(expected_inventory(orders, inventory, is_train), traffic, is_train)
 
 
 def feat_expected_median(days: DataFrame, operations: DataFrame, is_train: Column) -> DataFrame:
-    """Median orders and items on the same calendar day of all training years."""
+    """Median orders and items on the same calendar day of all earlier training years."""
     return expected_orders(days, operations, is_train).select(
         *days.columns, *[f"median_{c}" for c in MEDIAN_FEATURES]
     )
@@ -214,13 +243,14 @@ def mart_sales_forecast_ready(
     horizon: DataFrame | None = None,
 ) -> DataFrame:
     """Targets and leak-free features per day of the series and of the horizon (its days
-    without sales have NULL targets). Operational features enter
-    as expected values on every day, so training rows look like horizon rows. Each step
-    adds columns to the same frame; the series is read once."""
+    without sales have NULL targets). Operational features enter as expected values on
+    every day, from training years before the day's own, so a training row knows no more
+    than a horizon row does; the first training year has no earlier one and knows NULLs.
+    Each step adds columns to the same frame; the series is read once."""
     known = series.select("date", "revenue", "cogs")
     if horizon is not None:
         known = known.join(horizon.select("date"), "date", "full_outer")
     days = known.select("date", is_train.alias("is_train"), "revenue", "cogs")
     known_ahead = feat_promotion(feat_sincos365(feat_season(feat_calendar(days))), promotions)
     with_orders = expected_orders(known_ahead, operations, is_train)
-    return expected_traffic(expected_inventory(with_orders, inventory, is_train), traffic)
+    return expected_traffic(expected_inventory(with_orders, inventory, is_train), traffic, is_train)

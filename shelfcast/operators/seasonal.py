@@ -35,6 +35,12 @@ class ForecastWindow:
     def is_train(self, date: str = "date") -> Column:
         return F.col(date) < F.lit(self.train_end).cast("date")
 
+    @property
+    def fold_years(self) -> tuple[int, ...]:
+        """Years that cross-validation tests: the one that starts the horizon and the three before it."""
+        last = int(self.train_end[:4])
+        return tuple(range(last - 3, last + 1))
+
 
 def annual_totals(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Yearly sum of each target; a year with only missing values counts as zero."""

@@ -299,8 +299,8 @@ BODIES: dict[str, str] = {
                coalesce(p.max_discount_depth, 0) as max_discount_depth,
                coalesce(p.stacked_discount, 0) as stacked_discount,
                coalesce(p.is_stackable_day, false) as is_stackable_day,
-               {EXPECTED_MEAN_COLUMNS}, not e_traffic.has_history as traffic_is_imputed,
-               {names("median", MEDIAN_COLUMNS)}
+               {EXPECTED_MEAN_COLUMNS}, coalesce(e_traffic.history, 0) = 0 as traffic_is_imputed,
+               {names("median", MEDIAN_COLUMNS)}, coalesce(e_orders.history, 0) as history_years
         from (select coalesce(x.date, h.date) as date, x.revenue, x.cogs
               from stg_sales x full join horizon h on x.date = h.date) s
              left join promo_signals p on s.date = p.date
@@ -394,7 +394,7 @@ BODIES: dict[str, str] = {
     "feat_business_diagnostic": """
         select date, return_amount, shipping_fee, cogs, profit from daily_operations""",
     "feat_expected_mean": f"""
-        select h.date, {EXPECTED_MEAN_COLUMNS}, not e_traffic.has_history as traffic_is_imputed
+        select h.date, {EXPECTED_MEAN_COLUMNS}, coalesce(e_traffic.history, 0) = 0 as traffic_is_imputed
         from horizon h {on_calendar_day("h", "e_orders", "e_inventory", "e_traffic")}""",
     "feat_expected_median": f"""
         select h.date, {names("median", MEDIAN_COLUMNS)} from horizon h {on_calendar_day("h", "e_orders")}""",
@@ -448,6 +448,40 @@ BODIES: dict[str, str] = {
         from with_scores group by 1, 2""",
 }
 
+def _huber(rounds: int = 10) -> str:
+    """The rounds of reweighted least squares, one block each; targets are rows."""
+    blocks = ["""
+        with_time as materialized (
+            select date, t, target, actual from (
+                select date, (date - date '2001-01-01') / 365.0 as t, cast(revenue as double) as revenue,
+                       cast(cogs as double) as cogs from stg_sales) unpivot (actual for target in (revenue, cogs))),
+        with_train as materialized (select * from with_time where date < date '2001-01-01'),
+        with_fit_0 as materialized (
+            select target, regr_slope(actual, t) as slope, avg(t) as mt, avg(actual) as m,
+                   cast('infinity' as double) as scale
+            from with_train group by 1)"""]
+    for k in range(rounds + 1):
+        blocks.append(f"""
+        with_weight_{k} as (
+            select *, case when abs(r) <= 1.35 * scale then 1.0 else 1.35 * scale / abs(r) end as w
+            from (select target, scale, t - mt as dt, actual - (m + slope * (t - mt)) as r
+                  from with_train join with_fit_{k} using (target))),
+        with_sums_{k} as (
+            select target, sum(w) as n, sum(w * dt) as st, sum(w * r) as sr, sum(w * dt * dt) as stt,
+                   sum(w * dt * r) as srt, median(abs(r)) / 0.6745 as new_scale
+            from with_weight_{k} group by 1),
+        with_fit_{k + 1} as materialized (
+            select target, slope + coalesce((srt - st * sr / n) / nullif(stt - st * st / n, 0), 0) as slope,
+                   mt + st / n as mt, m + (slope * st + sr) / n as m, new_scale as scale
+            from with_fit_{k} join with_sums_{k} using (target))""")
+    trend = f"(select m + slope * (w.t - mt) from with_fit_{rounds + 1} where target = '{{}}')"
+    return ",".join(blocks) + f"""
+        select date, round({trend.format("revenue")}, 2) as revenue_trend, round({trend.format("cogs")}, 2) as cogs_trend
+        from with_time w where target = 'revenue'"""
+
+
+BODIES["trend_huber"] = _huber()
+
 EXTRA_CTES = {
     "cv_rows": """
         select f.fold, s.date, (s.date - date '2001-01-01') / 365.0 as t, cast(s.revenue as double) as revenue,
@@ -554,6 +588,6 @@ TABLE_COLUMNS = {
     "mart": {
         "mart_sales_overview": 9, "mart_product_performance": 10, "mart_customer_insight": 10,
         "mart_promotion_effectiveness": 9, "mart_return_diagnostics": 7, "mart_shipping_service": 9,
-        "mart_inventory_risk": 7, "mart_operations": 7, "mart_sales_forecast_ready": 41,
+        "mart_inventory_risk": 7, "mart_operations": 7, "mart_sales_forecast_ready": 42,
     },
 }

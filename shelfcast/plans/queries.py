@@ -5,20 +5,18 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.calendar import calendar_parts
 from shelfcast.functions.exact import doubles
 from shelfcast.operators import cleaning, features, model, seasonal
-from shelfcast.operators.quality import table_inventory
 from shelfcast.operators.seasonal import TARGETS
 from shelfcast.plans import reports
-from shelfcast.plans.warehouse import FORECAST_WINDOW, LAYERS, Warehouse
+from shelfcast.plans.warehouse import LAYERS, Warehouse
 from shelfcast.session import apply_skew_settings, durable, publish_folder
 from shelfcast.sources.publish import forecast_publish, submission_form
 from shelfcast.sources.scan import TABLE_SCHEMAS, scan_typed
 
-CV_FIRST_YEARS = (1998, 1999, 2000, 2001)
 PREVIEW_ROWS = 10
 NEUTRAL_RATING = 3
 
@@ -49,7 +47,7 @@ def _forecast_publish(w: Warehouse) -> DataFrame:
 
 
 def _layer_publish(w: Warehouse) -> DataFrame:
-    return table_inventory(w.publish_all(publish_folder(w.spark, "warehouse")))
+    return w.publish_all(publish_folder(w.spark, "warehouse"))
 
 
 def _annual(w: Warehouse) -> DataFrame:
@@ -161,21 +159,18 @@ def _expected_median(w: Warehouse) -> DataFrame:
 
 # --- model ------------------------------------------------------------------------------
 
-ORIGIN = FORECAST_WINDOW.train_end
-
-
 def _trend_ridge(w: Warehouse) -> DataFrame:
-    trended = model.trend_ridge(w.stored("sales"), w.is_train(), ORIGIN)
+    trended = model.trend_ridge(w.stored("sales"), w.is_train(), w.window.train_end)
     return rounded(trended.select("date", *_columns("{}_trend")), _targets("{}_trend", 2))
 
 
 def _trend_huber(w: Warehouse) -> DataFrame:
-    trended = model.trend_huber(w.stored("sales"), w.is_train(), ORIGIN)
+    trended = model.trend_huber(w.stored("sales"), w.is_train(), w.window.train_end)
     return rounded(trended.select("date", *_columns("{}_trend")), _targets("{}_trend", 2))
 
 
 def _trend_residual(w: Warehouse) -> DataFrame:
-    residuals = model.trend_residual(w.stored("sales"), w.is_train(), ORIGIN)
+    residuals = model.trend_residual(w.stored("sales"), w.is_train(), w.window.train_end)
     return rounded(
         residuals.select("date", *_columns("{}_trend", "{}_residual")),
         {**_targets("{}_trend", 2), **_targets("{}_residual", 2)},
@@ -183,7 +178,7 @@ def _trend_residual(w: Warehouse) -> DataFrame:
 
 
 def _hybrid(w: Warehouse) -> DataFrame:
-    return model.hybrid_predict(w.stored("mart_sales_forecast_ready"), w.is_train(), ORIGIN)
+    return w.hybrid_model().transform(model.model_frame(w.stored("mart_sales_forecast_ready")))
 
 
 def _residual_gbt(w: Warehouse) -> DataFrame:
@@ -199,13 +194,13 @@ def _hybrid_forecast(w: Warehouse) -> DataFrame:
 
 
 def _folds(w: Warehouse, daily: DataFrame) -> DataFrame:
-    return model.ts_cross_validation(daily, CV_FIRST_YEARS)
+    return model.ts_cross_validation(daily, w.window.fold_years)
 
 
 def _metrics(w: Warehouse) -> DataFrame:
     """Least-squares trend refitted in each fold and scored on the year after its cut."""
     folds = _folds(w, w.stored("sales"))
-    trended = model.trend_ridge(folds, F.col("split") == "train", ORIGIN, ["fold"])
+    trended = model.trend_ridge(folds, F.col("split") == "train", w.window.train_end, ["fold"])
     scored = trended.where(F.col("split") == "test").withColumns(
         {f"{t}_pred": F.col(f"{t}_trend") for t in TARGETS}
     )
@@ -217,16 +212,11 @@ DAILY_FRAMES = ("fact_sales_series", "promotions", "daily_operations", "daily_in
 
 def _hybrid_metrics(w: Warehouse) -> DataFrame:
     """The hybrid refitted in each fold, with either trend, scored on the year after its cut."""
-    frames = [w.stored(name) for name in DAILY_FRAMES]
-
-    def mart_of(is_train: Column) -> DataFrame:
-        return durable(features.mart_sales_forecast_ready(*frames, is_train), "fold")
-
-    parts = [
-        model.hybrid_metrics(mart_of, CV_FIRST_YEARS, trend).withColumn("trend", F.lit(trend))
-        for trend in ("ridge", "huber")
-    ]
-    return rounded(parts[0].unionByName(parts[1]), {"rmse": 4, "mae": 4, "r2": 6})
+    stop = f"{w.window.fold_years[-1] + 1}-01-01"
+    frames = w.stored_together(DAILY_FRAMES)
+    mart = features.mart_sales_forecast_ready(*frames, F.col("date") < F.lit(stop).cast("date"))
+    metrics = model.hybrid_metrics(durable(mart, "folds-mart"), w.window.fold_years, ("ridge", "huber"))
+    return rounded(metrics, {"rmse": 4, "mae": 4, "r2": 6})
 
 
 def _plain(name: str) -> Callable[[Warehouse], DataFrame]:

@@ -6,10 +6,12 @@ import os
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from shelfcast.functions.calendar import month_start
-from shelfcast.operators import cleaning, dims, facts, features, quality
+from shelfcast.functions.exact import from_hundredths
+from shelfcast.operators import cleaning, dims, facts, features, model, quality
 from shelfcast.operators.seasonal import ForecastWindow, forecast_horizon
 from shelfcast.operators.sessions import web_sessions
 from shelfcast.plans import marts
@@ -67,6 +69,14 @@ TABLE_DATES = {
 }
 
 
+# Where a warehouse keeps its fitted hybrid, and the trend of it.
+MODEL_PATH = ("model", "hybrid")
+MODEL_TREND = "ridge"
+
+# Where a warehouse keeps the counts of its tables, and their columns.
+COUNTS_PATH = ("metadata", "table_counts")
+COUNTS = "row_count bigint, column_count int, first_date date, last_date date, layer string, table_name string"
+
 # Tables of one layer written at the same time.
 WRITERS = 8
 
@@ -82,6 +92,9 @@ class Warehouse:
         self.window = window
         self._tables: dict[str, DataFrame] = {}
         self._published: set[str] = set()
+        self._model_path: str | None = None
+        self._counts: DataFrame | None = None
+        self._counted: set[str] = set()
 
     @classmethod
     def open(cls, spark: SparkSession, source: str, root: str, window: ForecastWindow = FORECAST_WINDOW) -> Warehouse:
@@ -95,6 +108,8 @@ class Warehouse:
                 added = name in YEAR_OF and name not in HAS_YEAR
                 warehouse._tables[name] = df.drop("year") if added else df
                 warehouse._published.add(name)
+        warehouse._model_path = os.path.join(root, *MODEL_PATH)
+        warehouse._read_counts(root)
         return warehouse
 
     def raw(self, name: str) -> DataFrame:
@@ -118,24 +133,73 @@ class Warehouse:
             self._published.add(name)
         return self._tables[name]
 
+    def stored_together(self, names: Sequence[str]) -> list[DataFrame]:
+        """Tables computed once each, side by side."""
+        with ThreadPoolExecutor(WRITERS) as writers:
+            return list(writers.map(self.stored, names))
+
     def publish_layer(self, layer: str, names: Sequence[str], root: str) -> list[tuple[str, str, DataFrame]]:
         """Write the tables of one layer side by side; later layers read the files."""
         frames = {name: self.table(name) for name in names}
         paths = {name: os.path.join(root, layer, name) for name in names}
+
+        def write(name: str) -> dict:
+            return publish_table(frames[name], paths[name], YEAR_OF.get(name), TABLE_DATES.get(name))
+
         with ThreadPoolExecutor(WRITERS) as writers:
-            for _ in writers.map(lambda name: publish_table(frames[name], paths[name], YEAR_OF.get(name)), names):
-                pass
+            seen = dict(zip(names, writers.map(write, names)))
         for name, df in frames.items():
             columns = df.schema
             if name in YEAR_OF and "year" not in df.columns:
                 columns = T.StructType([*columns.fields, T.StructField("year", T.IntegerType())])
             self._tables[name] = self.spark.read.schema(columns).parquet(paths[name]).select(*df.columns)
             self._published.add(name)
+        self._keep_counts(root, layer, {name: (len(frames[name].columns), seen[name]) for name in names})
         return [(layer, name, self._tables[name]) for name in names]
 
-    def publish_all(self, root: str) -> list[tuple[str, str, DataFrame]]:
-        """Every layer in build order. A layer builds on the files of the layers before it."""
-        return [table for layer, names in LAYERS.items() for table in self.publish_layer(layer, names, root)]
+    def _keep_counts(self, root: str, layer: str, seen: dict[str, tuple[int, dict]]) -> None:
+        """Write what the publishing jobs observed; a table that is published again has its counts replaced."""
+        rows = [
+            (n["row_count"], columns, n["first_date"], n["last_date"], layer, name) for name, (columns, n) in seen.items()
+        ]
+        path = os.path.join(root, *COUNTS_PATH)
+        kept = self.spark.createDataFrame(rows, COUNTS).coalesce(1).write.mode("overwrite")
+        kept.option("partitionOverwriteMode", "dynamic").partitionBy("layer", "table_name").parquet(path)
+        self._read_counts(root)
+
+    def _read_counts(self, root: str) -> None:
+        self._counts = self.spark.read.schema(COUNTS).parquet(os.path.join(root, *COUNTS_PATH))
+        self._counted = {r["table_name"] for r in self._counts.select("table_name").collect()}
+
+    def kept_counts(self, *layers: str) -> DataFrame | None:
+        """Rows, columns and date span of all tables of the layers, if they were published."""
+        if self._counts is None or not self._counted.issuperset(n for layer in layers for n in LAYERS[layer]):
+            return None
+        return self._counts.where(F.col("layer").isin(*layers))
+
+    def publish_all(self, root: str) -> DataFrame:
+        """Every layer in build order. A layer builds on the files of the layers before it. Returns the inventory of
+        all layers, from the counts of the jobs that wrote them."""
+        for layer, names in LAYERS.items():
+            self.publish_layer(layer, names, root)
+        return quality.counted_inventory(self._counts)
+
+    def model_condition(self) -> dict[str, str]:
+        """What the kept model was fitted under."""
+        return {"train_end": self.window.train_end, "trend": MODEL_TREND}
+
+    def hybrid_model(self) -> PipelineModel:
+        """The published model; without one, a model fitted on the training days."""
+        if self._model_path is not None:
+            return model.load_model(self.spark, self._model_path, self.model_condition())
+        mart = self.stored("mart_sales_forecast_ready")
+        return model.fit_hybrid(mart, self.is_train(), self.window.train_end, MODEL_TREND)
+
+    def publish_model(self, root: str) -> None:
+        """Fit the hybrid and keep it under ``root``, where ``open`` finds it."""
+        path = os.path.join(root, *MODEL_PATH)
+        model.save_model(self.spark, self.hybrid_model(), path, self.model_condition())
+        self._model_path = path
 
     def is_train(self, date: str = "date") -> Column:
         return self.window.is_train(date)
@@ -164,40 +228,108 @@ def _links(w: Warehouse) -> list[cleaning.Link]:
 
 
 def _quality_report(w: Warehouse) -> DataFrame:
+    """Each table is passed over once: its key counts are stored, and duplicates, missing cells, bad dates and both
+    sides of every reference are read from them. Lines are read twice, once with their product and once with their
+    order."""
     t = w.table
-    check = quality.TableCheck
-    returned = t("lines").where("is_returned")
-
-    def order_of(child: DataFrame):
-        return child, "order_id", t("orders"), "order_id"
-
-    def product_of(child: DataFrame):
-        return child, "product_id", t("products"), "product_id"
-
-    return quality.quality_report(
-        [
-            check("customers", t("customers"), ["customer_id"],
-                  parents=((t("customers"), "nation_id", t("geography"), "nation_id"),)),
-            check("geography", t("geography"), ["nation_id"]),
-            check("products", t("products"), ["product_id"]),
-            check("promotions", t("promotions"), ["promo_id"], F.col("end_date") < F.col("start_date")),
-            check("orders", t("orders"), ["order_id"], F.col("order_date").isNull(),
-                  ((t("orders"), "customer_id", t("customers"), "customer_id"),)),
-            check("order_items", t("order_items"), ["order_id", "line_no"], F.col("ship_date").isNull(),
-                  (order_of(t("lines")), product_of(t("lines")))),
-            check("payments", t("payments"), ["order_id"], parents=(order_of(t("payments")),)),
-            check("shipments", t("shipments"), ["order_id", "line_no"], ~F.col("is_valid"),
-                  (order_of(t("lines")),)),  # the table itself holds only lines with an order
-            check("returns", t("returns"), ["order_id", "product_id"],
-                  parents=(order_of(returned), product_of(returned))),
-            check("reviews", t("reviews"), ["review_id"], parents=(product_of(t("reviews")),)),
-            check("inventory", t("inventory"), ["product_id", "month"], F.col("month").isNull(),
-                  (product_of(t("lines").groupBy("product_id", month_start("ship_date").alias("month")).count()),)),
-            check("web_traffic", t("web_traffic"), ["event_id"], F.col("ts").isNull()),
-            check("sales", t("sales"), ["date"], F.col("date").isNull()),
-        ]
+    keys = quality.KeySet
+
+    def counted(df: DataFrame, *sets: quality.KeySet) -> DataFrame:
+        return durable(quality.key_counts(df, sets), "key-counts")
+
+    def named(counts: DataFrame, name: str) -> DataFrame:
+        return counts.where(F.col("set_name") == name)
+
+    def plain(name: str, key: str, bad: Column | None = None, *more: quality.KeySet) -> DataFrame:
+        return counted(t(name), keys(name, [key], [key], t(name).columns, bad=bad), *more)
+
+    # A product that is there twice repeats its lines in order_items, and nowhere else.
+    first = F.row_number().over(Window.partitionBy("product_id").orderBy("name")) == 1
+    items = roles.stg_items(t("lines"), t("products").withColumn("is_first", first), ["is_first", "units_h"]).withColumns(
+        {"month": month_start("ship_date"), "is_line": F.coalesce("is_first", F.lit(True))}
+    )
+    line, returned = F.col("is_line").cast("int"), (F.col("is_line") & F.col("is_returned")).cast("int")
+    jobs = {
+        "items": lambda: counted(
+            items,
+            keys("order_items", ["order_id", "line_no"], ["order_id"], t("order_items").columns,
+                 bad=F.col("ship_date").isNull(), sums={"lines": line}),
+            keys("returns", ["order_id", "product_id"], ["order_id"],
+                 ["order_id", "product_id", "units", "return_amount", "return_reason"], when=returned == 1),
+            keys("stock", ["product_id", "month"], ["product_id", "month"], when=F.col("is_line"),
+                 sums={"lines": line, "returned": returned, "units_h": F.col("units_h")}),
+        ),
+        "shipments": lambda: counted(
+            t("shipments"), keys("shipments", ["order_id", "line_no"], (), t("shipments").columns, bad=~F.col("is_valid"))
+        ),
+        "orders": lambda: plain("orders", "order_id", F.col("order_date").isNull(),
+                                keys("of_customers", ["customer_id"], ["customer_id"])),
+        "payments": lambda: plain("payments", "order_id"),
+        "customers": lambda: plain("customers", "customer_id", None, keys("of_nations", ["nation_id"], ["nation_id"])),
+        "geography": lambda: plain("geography", "nation_id"),
+        "products": lambda: plain("products", "product_id"),
+        "promotions": lambda: plain("promotions", "promo_id", F.col("end_date") < F.col("start_date")),
+        "reviews": lambda: counted(
+            t("reviews"), keys("reviews", ["review_id"], (), t("reviews").columns),
+            keys("of_products", ["product_id"], ["product_id"]),
+        ),
+        "web_traffic": lambda: counted(
+            t("web_traffic"), keys("web_traffic", ["event_id"], (), t("web_traffic").columns, bad=F.col("ts").isNull())
+        ),
+        # The cost of a day is never missing (it is zero without lines), so no line is read for it.
+        "sales": lambda: counted(
+            t("sales").select("date", "revenue"),
+            keys("sales", ["date"], (), ["date", "revenue"], bad=F.col("date").isNull()),
+        ),
+    }
+    with ThreadPoolExecutor(WRITERS) as writers:
+        found = dict(zip(jobs, writers.map(lambda job: job(), jobs.values())))
+    stock = named(found["items"], "stock")
+    inventory = roles.stock_of(stock.select("product_id", "month", from_hundredths("units_h").alias("demand")), t("products"))
+    stock_counts = quality.key_counts(
+        inventory, [keys("inventory", ["product_id", "month"], (), t("inventory").columns, bad=F.col("month").isNull())]
     )
 
+    def rows(counts: DataFrame, name: str, key: str, amount: str = "row_count") -> DataFrame:
+        return named(counts, name).select(F.col(key).alias("key"), F.col(amount).alias("rows"))
+
+    references = [
+        quality.Reference(["customers"], rows(found["customers"], "of_nations", "nation_id"), "geography"),
+        quality.Reference(["orders"], rows(found["orders"], "of_customers", "customer_id"), "customers"),
+        # The shipments themselves hold only lines with an order.
+        quality.Reference(
+            ["order_items", "shipments"], rows(found["items"], "order_items", "order_id", "lines"), "orders"
+        ),
+        quality.Reference(["order_items"], rows(stock, "stock", "product_id", "lines"), "products"),
+        quality.Reference(["payments"], rows(found["payments"], "payments", "order_id"), "orders"),
+        quality.Reference(["returns"], rows(found["items"], "returns", "order_id"), "orders"),
+        quality.Reference(["returns"], rows(stock, "stock", "product_id", "returned"), "products"),
+        quality.Reference(["reviews"], rows(found["reviews"], "of_products", "product_id"), "products"),
+        quality.Reference(["inventory"], rows(stock, "stock", "product_id"), "products"),
+    ]
+    parents = {
+        name: named(found[name], name).select(F.col(key).alias("key"))
+        for name, key in (("geography", "nation_id"), ("customers", "customer_id"), ("orders", "order_id"),
+                          ("products", "product_id"))
+    }
+    return quality.quality_report(LAYERS["processed"], [*found.values(), stock_counts], references, parents)
+
+
+def _processed_summary(w: Warehouse) -> DataFrame:
+    kept = w.kept_counts("processed")
+    if kept is not None:
+        return quality.counted_summary(kept)
+    return quality.processed_table_summary([(n, w.table(n), TABLE_DATES.get(n)) for n in LAYERS["processed"]])
+
+
+def _inventory(w: Warehouse) -> DataFrame:
+    """From the counts of a published warehouse; else counted."""
+    layers = ("dim", "fact", "mart")
+    kept = w.kept_counts(*layers)
+    if kept is not None:
+        return quality.counted_inventory(kept)
+    return quality.table_inventory([(layer, name, w.table(name)) for layer in layers for name in LAYERS[layer]])
+
 
 def _forecast_ready(w: Warehouse) -> DataFrame:
     return features.mart_sales_forecast_ready(
@@ -272,10 +404,6 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "rejected_lines": lambda w: facts.rejected_lines(w.table("order_items"), w.table("orders")),
     "quality_report": _quality_report,
     "link_check": lambda w: cleaning.clean_link_check(_links(w)),
-    "processed_table_summary": lambda w: quality.processed_table_summary(
-        [(name, w.table(name), TABLE_DATES.get(name)) for name in LAYERS["processed"]]
-    ),
-    "table_inventory": lambda w: quality.table_inventory(
-        [(layer, name, w.table(name)) for layer in ("dim", "fact", "mart") for name in LAYERS[layer]]
-    ),
+    "processed_table_summary": _processed_summary,
+    "table_inventory": _inventory,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 
 def submission_form(forecast: DataFrame) -> DataFrame:
@@ -19,14 +19,30 @@ def forecast_publish(forecast: DataFrame, path: str) -> None:
     submission_form(forecast).orderBy("Date").write.option("header", True).csv(path)
 
 
-def publish_table(df: DataFrame, path: str, year_of: str | None = None) -> None:
-    """Parquet; with ``year_of`` partitioned by the year of that date column.
+# Rows of one file of a table without partitions.
+FILE_ROWS = 5_000_000
 
-    The rebalance hint gathers each year before the write and lets AQE split a year that
-    is too big for one file, so there are neither tiny files nor one giant task.
+
+def publish_table(df: DataFrame, path: str, year_of: str | None = None, date: str | None = None) -> dict:
+    """Parquet; with ``year_of`` partitioned by the year of that date column. Returns the number of rows written and
+    the span of ``date``, observed by the writing job itself.
+
+    For a partitioned table the rebalance hint gathers each year before the write and lets AQE split a year that is too
+    big for one file, so there are neither tiny files nor one giant task. Other tables are written as they come, cut
+    into files of at most FILE_ROWS rows. Metrics are observed behind the last exchange, in the stage that writes, so
+    a task that runs again is not counted twice.
     """
+    none = F.lit(None).cast("date")
+    metrics = (
+        F.count(F.lit(1)).alias("row_count"),
+        (F.min(date) if date else none).alias("first_date"),
+        (F.max(date) if date else none).alias("last_date"),
+    )
+    seen = Observation()
     if year_of is None:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
-        return
-    yearly = df if "year" in df.columns else df.withColumn("year", F.year(year_of))
-    yearly.hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(path)
+        df.observe(seen, *metrics).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    else:
+        yearly = df if "year" in df.columns else df.withColumn("year", F.year(year_of))
+        gathered = yearly.hint("rebalance", "year").observe(seen, *metrics)
+        gathered.write.mode("overwrite").partitionBy("year").parquet(path)
+    return seen.get

@@ -6,6 +6,8 @@ own files only has to supply frames with these columns.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.functions.calendar import month_start
@@ -74,10 +76,13 @@ def _fee() -> Column:
     return F.col("gross_h") * F.col("tax_h")
 
 
-def stg_items(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Order lines with money columns. A line of an unknown product is kept at no cost; the
-    link check lists it."""
-    prices = products.select("product_id", "category", (F.col("price") * 100).cast("bigint").alias("price_h"))
+def stg_items(lines: DataFrame, products: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Order lines with money columns, and the ``carried`` columns of line or product. A line
+    of an unknown product is kept at no cost; the link check lists it."""
+    prices = products.select(
+        "product_id", "category", (F.col("price") * 100).cast("bigint").alias("price_h"),
+        *[c for c in carried if c not in lines.columns],
+    )
     zero = F.lit(0).cast("bigint")
     returned = F.col("is_returned")
     cogs = F.coalesce(F.col("units_h") * F.col("price_h"), zero)
@@ -100,6 +105,7 @@ def stg_items(lines: DataFrame, products: DataFrame) -> DataFrame:
         from_ten_thousandths(_net() - cogs).alias("gross_profit"),
         from_ten_thousandths(_net() - cogs - _fee() - return_amount).alias("net_profit"),
         "ship_date",
+        *carried,
     )
 
 
@@ -188,6 +194,11 @@ def stg_inventory(lines: DataFrame, products: DataFrame) -> DataFrame:
     demand = lines.groupBy("product_id", month_start("ship_date").alias("month")).agg(
         from_hundredths(F.sum("units_h")).alias("demand")
     )
+    return stock_of(demand, products)
+
+
+def stock_of(demand: DataFrame, products: DataFrame) -> DataFrame:
+    """Stock columns of the demand (product_id, month, demand) of product-months."""
     return (
         demand.join(products.select("product_id", "size"), "product_id", "left")
         .withColumn("received", (2 * F.col("size")).cast("bigint"))

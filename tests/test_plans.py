@@ -6,14 +6,12 @@ import re
 
 import pytest
 
+from shelfcast.plans import warehouse
 from shelfcast.plans.queries import PLANS, run
 from shelfcast.plans.warehouse import Warehouse
 
 # These run jobs while they are built.
-EAGER = {
-    "forecast_publish", "layer_publish", "residual_gbt", "hybrid_forecast", "trend_huber", "quality_report",
-    "table_inventory",
-}
+EAGER = {"forecast_publish", "layer_publish", "residual_gbt", "hybrid_forecast", "trend_huber", "hybrid_metrics"}
 
 
 def plan_of(df) -> str:
@@ -54,3 +52,19 @@ def test_revenue_alone_does_not_read_lines(spark, small):
 def test_payment_join_disappears_when_unused(spark, small):
     plan = plan_of(Warehouse(spark, small).table("fact_sales_item").groupBy("region").count())
     assert "o_orderpriority" not in plan
+
+
+def test_quality_report_scans_the_lines_twice(spark, small, monkeypatch):
+    plans = []
+    store = warehouse.durable
+
+    def recorded(df, name):
+        plans.append(plan_of(df))
+        return store(df, name)
+
+    monkeypatch.setattr(warehouse, "durable", recorded)
+    plans.append(plan_of(run("quality_report", spark, small)))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert not any(node in plan for plan in plans), node
+    scans = [line for plan in plans for line in plan.splitlines() if line.startswith("Location:") and "/lineitem." in line]
+    assert len(scans) == 2

@@ -165,6 +165,7 @@ def test_facts_and_rejected_lines_add_up(spark, w):
 def test_an_opened_warehouse_reads_what_was_published(spark, w):
     root = publish_folder(spark, "reopened")
     built = Warehouse(spark, w.source)
+    assert built.kept_counts("dim") is None
     for layer in ("processed", "dim", "fact", "mart"):
         built.publish_layer(layer, LAYERS[layer], root)
     opened = Warehouse.open(spark, w.source, root)
@@ -173,8 +174,14 @@ def test_an_opened_warehouse_reads_what_was_published(spark, w):
             assert sorted(opened.table(name).columns) == sorted(built.table(name).columns)
     counts = {r["table_name"]: r["row_count"] for r in opened.table("table_inventory").collect()}
     assert counts["fact_sales_item"] == built.table("fact_sales_item").count()
-    for name in ("table_inventory", "mart_operations"):
-        assert not any("lineitem" in f for f in opened.table(name).inputFiles())
+    for name in ("table_inventory", "processed_table_summary"):  # counted by the jobs that wrote the tables
+        files = opened.table(name).inputFiles()
+        assert files and all("table_counts" in f for f in files)
+        counted = Warehouse(spark, w.source).table(name)
+        assert sorted(map(tuple, opened.table(name).select(*counted.columns).collect())) == sorted(
+            map(tuple, counted.collect())
+        )
+    assert not any("lineitem" in f for f in opened.table("mart_operations").inputFiles())
     report = reports.report_business_overview(opened.table("fact_orders"))
     assert report.count() == reports.report_business_overview(w.table("fact_orders")).count()
 
@@ -205,10 +212,25 @@ def test_forecast_file(spark, tmp_path):
     assert lines[0] == "Date,Revenue,COGS"
 
 
-def test_plain_publish_keeps_every_row(spark, tmp_path):
-    df = spark.range(1000)
-    publish_table(df, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
+def test_plain_publish_keeps_every_row_and_counts_it(spark, tmp_path):
+    df = spark.range(1000).withColumn("d", F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 800).cast("int")))
+    seen = publish_table(df, str(tmp_path / "t"), date="d")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == seen["row_count"] == 1000
+    assert (seen["first_date"], seen["last_date"]) == (dt.date(2000, 1, 1), dt.date(2002, 3, 10))
+    yearly = publish_table(df.where("id < 0"), str(tmp_path / "y"), "d", "d")
+    assert yearly == {"row_count": 0, "first_date": None, "last_date": None}
+
+
+def test_counts_of_a_table_published_again_are_replaced(spark, w):
+    root = publish_folder(spark, "again")
+    once = Warehouse(spark, w.source)
+    once.publish_layer("dim", LAYERS["dim"], root)
+    before = {r["table_name"]: r["row_count"] for r in once.kept_counts("dim").collect()}
+    few = Warehouse(spark, w.source)
+    few._tables["dim_customer"] = w.table("dim_customer").limit(3)
+    few.publish_layer("dim", ("dim_customer",), root)
+    after = {r["table_name"]: r["row_count"] for r in few.kept_counts("dim").collect()}
+    assert after == {**before, "dim_customer": 3}
 
 
 def test_queries_do_not_depend_on_the_session_time_zone(spark, small):
