@@ -9,9 +9,10 @@ WORDS = "the a quick brown fox jumps over lazy dog and then some other animals r
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, score double, quality int, "
     "found string, fp bigint, component bigint, label int, cell int, base string, added string, pieces string, "
-    "n_tokens int, toxicity double, u int, h_id int, privacy_id int, n_words int"
+    "n_tokens int, toxicity double, u int, h_id int, privacy_id int, n_words int, kept_id int, kept_key int, "
+    "row_key int, doc int, row int"
 )
-EXTRA = ("x", 1.0, 1, "y", 2, 3, 4, 5, "b", "a", "p", 6, 0.5, 7, 8, 9, 10)
+EXTRA = ("x", 1.0, 1, "y", 2, 3, 4, 5, "b", "a", "p", 6, 0.5, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 
 
 def sentence(seed, n):
