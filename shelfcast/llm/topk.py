@@ -11,7 +11,7 @@ holds one data tree and one query group at a time.
 Defined results: vectors that are null or hold null or non-finite components take no part; vectors of other lengths
 count as padded with zeros; rows that repeat (id and vector) count once, an id with several vectors competes with its
 best; rows with a null id take no part; ties go to the smaller id; fewer than k candidates give all; empty tables give
-no rows. Other columns are ignored. Scores are exact while they fit a long.
+no rows. Other columns are ignored. Scores are exact integers; vectors whose scores might not fit a long are an error.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.common import bounded_batches, stored, table
 from shelfcast.llm.samples import hash_sample
+from shelfcast.llm.vectors import largest, scaled_vectors
 
 K = 20
 #: Bounds on the sample that places pivots and first thresholds, and on the pivots.
@@ -35,8 +36,9 @@ CELLS = 64
 BLOCK_ROWS = 1024
 GROUP_ROWS = 256
 LEAF = 32
-#: Integers up to here are exact in double precision.
-EXACT = float(1 << 53)
+#: Integers up to here are exact in double precision; below LONGS scores fit a long. NONE: no score.
+EXACT, LONGS = 1 << 53, 1 << 63
+NONE = np.iinfo(np.int64).min
 SLACK = 1e-6
 
 
@@ -98,14 +100,14 @@ class Best:
     def __init__(self, tree: CoverTree, k: int, floor: np.ndarray | None = None):
         n = len(tree.ids)
         self.k, self.own = k, tree.ids
-        self.score = np.full((n, k), -np.inf)
+        self.score = np.full((n, k), NONE, np.int64)
         self.id = np.full((n, k), -1, np.int64)
-        self.floor = np.full(n, -np.inf) if floor is None else floor.copy()
+        self.floor = np.full(n, NONE, np.int64) if floor is None else floor.copy()
 
     def take(self, lo: int, hi: int, ids: np.ndarray, scores: np.ndarray) -> None:
-        scores[self.own[lo:hi, None] == ids[None]] = -np.inf
-        scores[scores < self.floor[lo:hi, None]] = -np.inf
-        if not np.isfinite(scores).any():
+        scores[self.own[lo:hi, None] == ids[None]] = NONE
+        scores[scores < self.floor[lo:hi, None]] = NONE
+        if not (scores > NONE).any():
             return
         k = self.k
         counts = np.unique(ids, return_counts=True)[1]
@@ -113,9 +115,9 @@ class Best:
         wide = k * (int(counts.max()) + 1)
         both = np.concatenate([self.score[lo:hi], scores], axis=1)
         ids = np.concatenate([self.id[lo:hi], np.broadcast_to(ids, scores.shape)], axis=1)
-        last = min(wide, both.shape[1]) - 1
-        kth = -np.partition(-both, last, axis=1)[:, last]
-        row, col = np.nonzero((both >= kth[:, None]) & np.isfinite(both))
+        last = max(0, both.shape[1] - wide)
+        kth = np.partition(both, last, axis=1)[:, last]
+        row, col = np.nonzero((both >= kth[:, None]) & (both > NONE))
         s, i = both[row, col], ids[row, col]
         order = np.lexsort((i, -s, row))
         row, s, i = row[order], s[order], i[order]
@@ -125,18 +127,20 @@ class Best:
         row, s, i = row[~same], s[~same], i[~same]
         nth = np.arange(len(row)) - np.searchsorted(row, row)
         use = nth < k
-        self.score[lo:hi], self.id[lo:hi] = -np.inf, -1
+        self.score[lo:hi], self.id[lo:hi] = NONE, -1
         self.score[lo + row[use], nth[use]] = s[use]
         self.id[lo + row[use], nth[use]] = i[use]
         self.floor[lo:hi] = np.maximum(self.floor[lo:hi], self.score[lo:hi, k - 1])
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of integer rows, as doubles that are exact up to 2**53."""
-    top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
+    """Exact inner products of integer rows; an error where they might not fit a long."""
+    top = largest(a) * largest(b) * max(1, a.shape[1])
     if top < EXACT:
-        return a.astype(np.float64) @ b.astype(np.float64).T
-    return (a.astype(np.int64) @ b.astype(np.int64).T).astype(np.float64)
+        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+    if top >= LONGS:
+        raise OverflowError("vector components too large for scores in 64 bits")
+    return a.astype(np.int64) @ b.astype(np.int64).T
 
 
 def bound(center, norm, radius, centers, norms, radii) -> np.ndarray:
@@ -182,15 +186,8 @@ def farthest_first(rows: np.ndarray, most: int) -> np.ndarray:
 
 def integer_vectors(df: DataFrame, id_column: str, vector_column: str, scale: float) -> DataFrame:
     """id, v: floor(scale * x) of every usable vector; equal rows once."""
-    x = F.col(vector_column)
-    usable = x.isNotNull() & ~F.exists(
-        x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == float("inf"))
-    )
-    v = F.transform(x, lambda c: F.floor(F.lit(float(scale)) * c.cast("double")).cast("bigint"))
-    return (
-        df.where(usable & F.col(id_column).isNotNull())
-        .select(F.col(id_column).cast("bigint").alias("id"), v.alias("v")).distinct()
-    )
+    named = {"id": F.col(f"`{id_column}`").cast("bigint")}
+    return scaled_vectors(df.where(F.col(f"`{id_column}`").isNotNull()), vector_column, scale, named).distinct()
 
 
 def _matrix(values, width: int) -> np.ndarray:
@@ -279,10 +276,10 @@ def top_k(
                     continue
                 tree, floor = loaded
                 best = dual_search(tree, data, Best(tree, k, floor))
-                row, col = np.nonzero(np.isfinite(best.score))
+                row, col = np.nonzero(best.score > NONE)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tree.ids[row], pa.int64()), pa.array(best.id[row, col], pa.int64()),
-                     pa.array(best.score[row, col].astype(np.int64), pa.int64())], ["query_id", "vec_id", "score"]
+                     pa.array(best.score[row, col], pa.int64())], ["query_id", "vec_id", "score"]
                 )
 
     found = meet.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")

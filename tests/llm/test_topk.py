@@ -122,3 +122,17 @@ def test_empty_table(spark):
 
 def test_query_against_sql(spark, small):
     assert differences(op2_topk(spark, small), oracle_connection(small), ORACLE_SQL["op2_topk"]) == []
+
+
+def test_scores_beyond_doubles_are_exact(spark):
+    rows = [(i, [2e7, i / 64]) for i in range(40)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    integers = [(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows]
+    assert sorted(tuple(r) for r in top_k(frame, k=5).collect()) == brute(integers, k=5)
+
+
+@pytest.mark.parametrize("large", [1e9, 1e300])
+def test_scores_that_fit_no_long_are_refused(spark, large):
+    frame = spark.createDataFrame([(i, [large, 1.0]) for i in range(3)], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        top_k(frame).collect()
