@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import annotate, bounded_batches, held_out, raw_texts, table
-from shelfcast.llm.samples import hash_sample, stretch
+from shelfcast.llm.samples import hash_sample
 
 #: Bound on the labelled documents that training reads.
-SAMPLE_DOCS = 4000
+SAMPLE_DOCS = 1200
 WINDOW = 192
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -154,16 +154,15 @@ def fit_language(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
     rows: int = SAMPLE_DOCS,
 ) -> dict | None:
-    """Train on one stretch of WINDOW * 2 characters of each of at most ``rows`` documents outside the held-out fold."""
+    """Train on all windows of at most ``rows`` documents outside the held-out fold."""
     known = documents.where(
         ~held_out(id_column) & F.col(lang_column).isNotNull() & F.col(text_column).rlike(r"\p{L}")
     )
     taken = hash_sample(known.select(
-        F.col(id_column).alias("id"), stretch(text_column, id_column, WINDOW * 2).alias("piece"),
-        F.col(lang_column).alias("said"),
+        F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("said"),
     ), "id", rows).collect()
-    pairs = sorted((r["piece"], r["said"]) for r in taken)
-    return train([piece.encode() for piece, _ in pairs], [said for _, said in pairs])
+    pairs = sorted((r["text"], r["said"]) for r in taken)
+    return train([text.encode() for text, _ in pairs], [said for _, said in pairs])
 
 
 def predict_language(

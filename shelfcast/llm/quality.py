@@ -18,14 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import annotate, bounded_batches, held_out, raw_texts, table
-from shelfcast.llm.samples import labelled_texts
+from shelfcast.llm.samples import labelled_texts, unpacked
 
 #: Bound on the labelled documents that training reads.
 SAMPLE_DOCS = 5000
-#: Lines of a training document that the field is fitted on; all of its lines enter the logistic fit.
-TRAIN_LINES = 40
-#: Training texts whose bytes are unpacked at once on the driver.
-TRAIN_TEXTS = 100
 BINS = 8
 ROUNDS = 160
 RATE = 0.08
@@ -175,8 +171,8 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 
 def _sample_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """line_features of many texts, TRAIN_TEXTS at a time."""
-    parts = [(at, line_features(texts[at : at + TRAIN_TEXTS])) for at in range(0, len(texts), TRAIN_TEXTS)]
+    """line_features of many texts, a bounded number of bytes at a time."""
+    parts = [(part.start, line_features(texts[part])) for part in unpacked(texts)]
     return (
         np.concatenate([f for _, (f, _, _) in parts]), np.concatenate([n for _, (_, n, _) in parts]),
         np.concatenate([o + at for at, (_, _, o) in parts]),
@@ -189,19 +185,13 @@ def train(texts: list[bytes], labels: list[int]) -> dict:
     if len(y) == 0 or y.min() == y.max():
         return {"constant": float(y.mean()) if len(y) else 0.5}
     features, lengths, owner = _sample_features(texts)
-    nth = np.arange(len(owner)) - np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])[
-        np.cumsum(np.concatenate([[0], np.diff(owner) > 0]))
-    ]
     cuts = np.sort(np.quantile(features, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T, axis=1)
     for j, row in enumerate(cuts):  # rare values matter: quantiles of what differs from the commonest value
         some = features[features[:, j] != np.median(features[:, j]), j]
         if len(some) and len(np.unique(row)) < BINS // 2:
             cuts[j] = np.sort(np.quantile(some, np.linspace(0, 1, BINS + 1)[1:-1]))
     bins = to_bins(features, cuts)
-    use = nth < TRAIN_LINES
-    b, o = bins[use], owner[use]
-    o = np.unique(o, return_inverse=True)[1]
-    target = y[owner[use]]
+    b, o, target = bins, owner, y[owner]
     weight = (1.0 / np.bincount(o))[o]  # documents count alike
     linked = o[1:] == o[:-1]
     params = {"w": np.zeros((3, N_FEATURES * BINS)), "a": np.zeros((2, 2))}

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import held_out
 
-#: Characters of one training text; a longer one gives a stretch from a place set by its id's hash.
-TRAIN_CHARS = 20_000
+#: UTF-8 bytes of training texts (or one text, if longer) that the driver unpacks at once.
+UNPACK_BYTES = 500_000
 
 
-def stretch(text: str, place: str, size: int) -> F.Column:
-    """At most ``size`` characters of a text, from a place that the hash of ``place`` sets."""
-    room = F.greatest(F.length(text) - size, F.lit(0)) + 1
-    return F.substring(text, (F.pmod(F.xxhash64(place), room.cast("bigint")) + 1).cast("int"), F.lit(size))
+def unpacked(texts: list[bytes], limit: int = UNPACK_BYTES) -> Iterator[slice]:
+    """Places of consecutive texts of at most ``limit`` bytes together."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        if i > start and held + len(t) > limit:
+            yield slice(start, i)
+            start, held = i, 0
+        held += len(t)
+    if start < len(texts):
+        yield slice(start, len(texts))
 
 
 def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
@@ -33,7 +41,7 @@ def labelled_texts(
     documents: DataFrame, labels: DataFrame, label: str, rows: dict[int, int] | int, id_column: str = "doc_id",
     text_column: str = "text",
 ) -> list[tuple[str, int]]:
-    """Training texts and labels, at most ``rows`` of them (of each label value, if a dict says so).
+    """Whole training texts and labels, at most ``rows`` of them (of each label value, if a dict says so).
 
     Held-out documents give none. Which rows are taken depends on the hash of the id alone; of an id with several
     labels the smallest counts, of repeated documents one text.
@@ -53,7 +61,6 @@ def labelled_texts(
     texts = (
         documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
         .join(F.broadcast(chosen), "id")  # bounded by rows
-        .select("id", "label", stretch("text", "id", TRAIN_CHARS).alias("text"))
         .groupBy("id", "label").agg(F.min("text").alias("text"))
     )
     found = sorted((r["id"], r["text"] or "", r["label"]) for r in texts.collect())

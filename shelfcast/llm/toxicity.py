@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import annotate, bounded_batches, held_out, raw_texts, slices, table
-from shelfcast.llm.samples import labelled_texts
+from shelfcast.llm.samples import labelled_texts, unpacked
 
 #: Bounds on the labelled documents, of each label, that training reads.
 SAMPLE_DOCS = {1: 2500, 0: 3500}
@@ -36,8 +37,10 @@ IMPURE = 0.01
 #: Log odds of a text without stems, before training.
 START = -3.0
 MEMORY_TOKENS = 100_000
-#: Characters of a disguised stretch that one lattice holds; longer ones are read in pieces.
-LATTICE_CHARS = 48
+#: Characters of a disguised stretch up to which a task remembers its reading.
+MEMORY_CHARS = 48
+#: Characters after which a lattice hands on what all its readings agree on.
+SETTLE_CHARS = 32
 SEPARATOR = 0xFF  # never in UTF-8
 
 SYMBOLS = 28  # 0: anything that is no letter, 1-26: a-z, 27: other letters
@@ -106,11 +109,10 @@ class Channel:
 
     def restore(self, stretch: str) -> str:
         if (found := self.known.get(stretch)) is None:
-            cut = [stretch[i : i + LATTICE_CHARS] for i in range(0, len(stretch), LATTICE_CHARS)]
-            found = "".join(map(self._viterbi, cut))
+            found = self._viterbi(stretch)
             if len(self.known) >= MEMORY_TOKENS:
                 self.known.clear()
-            if len(stretch) <= LATTICE_CHARS:
+            if len(stretch) <= MEMORY_CHARS:
                 self.known[stretch] = found
         return found
 
@@ -124,10 +126,13 @@ class Channel:
         return [*out, ("", DROP if c == before else SAME - 3), (c if c >= "\x80" else " ", KEEP if c >= "\x80" else SAME)]
 
     def _viterbi(self, stretch: str) -> str:
+        """The likeliest reading of a whole stretch, however long: readings that are still open carry on, and the
+        beginning that they share is put aside from time to time."""
+        settled: list[str] = []
         spaced = sum(c in SEPARATORS for c in stretch) * 3 >= len(stretch)
         states = {(0, 0): (0.0, "")}
         before = ""
-        for c in stretch:
+        for n, c in enumerate(stretch, 1):
             options, new = self._readings(c, before, spaced), {}
             for (a, b), (score, text) in states.items():
                 row = self.model[a][b]
@@ -142,8 +147,13 @@ class Channel:
             states = new
             if not (spaced and c in SEPARATORS):
                 before = c
+            if n % SETTLE_CHARS == 0:
+                same = len(commonprefix([text for _, text in states.values()]))
+                settled.append(next(iter(states.values()))[1][:same])
+                states = {key: (score, text[same:]) for key, (score, text) in states.items()}
         model = self.model
-        return max((score + model[a][b][0], text) for (a, b), (score, text) in states.items())[1]
+        last = max((score + model[a][b][0], text) for (a, b), (score, text) in states.items())[1]
+        return "".join(settled) + last
 
 
 def disguised(data: np.ndarray) -> list[tuple[int, int]]:
@@ -284,7 +294,7 @@ def train(sample: list[tuple[str, int]], channel: Channel) -> dict:
     if not stems:
         return model
     scorer = Scorer(model, channel)
-    x = np.concatenate([scorer.present(raw[at : at + 200]) for at in range(0, len(raw), 200)]).astype(float)
+    x = np.concatenate([scorer.present(raw[part]) for part in unpacked(raw)]).astype(float)
     hits, misses = x[y == 1].sum(axis=0), x[y == 0].sum(axis=0) * (y == 1).sum() / (y == 0).sum()
     start = LOG((hits + 0.5) / (misses + 0.5))  # a stem seen often and purely decides alone
     w, base = start.copy(), START

@@ -48,3 +48,30 @@ def test_messy_rows_and_empty_tables(spark, messy, empty):
     assert fit_language(empty) is None
     assert predict_language(empty, None).count() == 0
     assert {r["lang_pred"] for r in predict_language(messy, None).collect()} == {"und"}
+
+
+def test_whole_table_against_the_plain_network(spark, small):
+    """Every text, window by window, through the untabled network; the query must say the same."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = fit_language(docs)
+    got = {r["doc_id"]: r for r in op3_language(spark, small).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        if r["text"] is None or not any(c.isalpha() for c in r["text"]):
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        x, _, sizes = window_bytes([r["text"].encode()])
+        seen = model["used"][x]
+        pooled = []
+        for w in language.WIDTHS:
+            places = x.shape[1] - w + 1
+            out = np.zeros((len(x), places, language.FILTERS)) + model[f"b{w}"]
+            for j in range(w):
+                out += model[f"k{w}"][j][x[:, j : j + places]] * seen[:, j : j + places, None]
+            pooled.append(np.maximum(out.max(axis=1), 0))
+        p = language.softmax(np.concatenate(pooled, axis=1) @ model["v"] + model["c"])
+        p = (p * sizes[:, None]).sum(axis=0) / sizes.sum()
+        assert np.isclose(got[r["doc_id"]]["score"], p.max(), atol=1e-3)
+        if np.sort(p)[-1] - np.sort(p)[-2] > 1e-3:
+            assert got[r["doc_id"]]["lang_pred"] == model["names"][int(p.argmax())]

@@ -71,3 +71,27 @@ def test_score_does_not_depend_on_neighbours():
     together = score_texts(texts[:4], model)
     assert np.allclose(together, [score_texts([t], model)[0] for t in texts[:4]])
     assert together[0] > 0.5 > together[1]
+
+
+def test_a_signal_far_down_a_text_is_learnt():
+    """Texts that differ only behind their sixtieth line, and there in many lines."""
+    top = b"An ordinary line of text.\n" * 60
+    texts = [top + tail * 90 for tail in (b"More of the same text.\n", b"||| ### ||| ###\n")] * 10
+    model = quality.train(texts, [1, 0] * 10)
+    good, bad = score_texts(texts[:2], model)
+    assert good > 0.8 and bad < 0.2
+    alone, _ = score_texts([b"More of the same text.\n" * 5, b"||| ### ||| ###\n" * 5], model)
+    assert alone > 0.5
+
+
+def test_training_texts_are_whole(spark, monkeypatch):
+    from shelfcast.llm import samples
+
+    long = "word " * 30_000
+    docs = spark.createDataFrame([(1, long), (2, "short")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id bigint, quality int")
+    found = dict.fromkeys(t for t, _ in samples.labelled_texts(docs, labels, "quality", 9))
+    assert long in found
+    monkeypatch.setattr(samples, "UNPACK_BYTES", 10)
+    parts = list(samples.unpacked([b"x" * n for n in (3, 4, 9, 30, 1)], 10))
+    assert [(p.start, p.stop) for p in parts] == [(0, 2), (2, 3), (3, 4), (4, 5)]

@@ -47,6 +47,24 @@ def test_viterbi_against_all_readings(channel):
         assert any(np.isclose(value(t, c), best) and t == channel._viterbi(text) for t, c in readings(text))
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_a_long_stretch_is_one_lattice(channel, monkeypatch, seed):
+    """Putting the shared beginning aside changes nothing: the reading is that of a lattice never settled."""
+    rng = np.random.default_rng(seed)
+    words = " ".join(rng.choice(LINES) for _ in range(8))
+    apart = " ".join(words.replace(" ", ""))[: 60 + 20 * seed]
+    stretch = "".join({"o": "0", "i": "1", "s": "$"}.get(c, c) if rng.random() < 0.4 else c for c in apart)
+    monkeypatch.setattr(toxicity, "SETTLE_CHARS", 10**9)
+    whole = channel._viterbi(stretch)
+    for every in (1, 7, 32):
+        monkeypatch.setattr(toxicity, "SETTLE_CHARS", every)
+        assert channel._viterbi(stretch) == whole
+
+
+def test_a_very_long_stretch(channel):
+    assert channel._viterbi("l0ser" * 4_000).count("loser") > 3_900
+
+
 def test_counts_cover_all_texts(spark):
     frame = spark.createDataFrame([(t,) for t in ["abc", None, "", "Abcé"]], "text string").repartition(3)
     counts = trigram_counts(frame)
