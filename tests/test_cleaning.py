@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shelfcast.operators.cleaning import Link, clean_dedup, clean_link_check, clean_nulls, clean_standardise
-from shelfcast.operators.quality import TableCheck, quality_report, sales_reconciliation
+from shelfcast.operators.quality import KeySet, Reference, key_counts, quality_report, sales_reconciliation
 from shelfcast.sources.scan import scan_typed
 
 
@@ -77,10 +77,11 @@ def test_quality_report_counts(spark):
         "order_id long, line_no int, at string",
     )
     orders = spark.createDataFrame([(1,)], "order_id long")
-    check = TableCheck(
-        "lines", lines, ["order_id", "line_no"], F.col("at").isNull(), ((lines, "order_id", orders, "order_id"),)
-    )
-    row = quality_report([check]).first()
+    keys = KeySet("lines", ["order_id", "line_no"], ["order_id"], lines.columns, bad=F.col("at").isNull())
+    counts = key_counts(lines, [keys])
+    children = counts.select(F.col("order_id").alias("key"), F.col("row_count").alias("rows"))
+    parents = {"orders": orders.select(F.col("order_id").alias("key"))}
+    row = quality_report(["lines"], [counts], [Reference(["lines"], children, "orders")], parents).first()
     assert row.asDict() == {
         "table_name": "lines", "row_count": 4, "null_cells": 1, "duplicate_rows": 1, "orphan_rows": 2, "bad_dates": 1,
     }

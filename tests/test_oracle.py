@@ -13,7 +13,7 @@ def connection(small):
 
 
 def test_only_iterative_models_lack_a_twin():
-    assert set(PLANS) - set(ORACLE_SQL) == {"trend_huber", "residual_gbt", "hybrid_forecast", "hybrid_metrics"}
+    assert set(PLANS) - set(ORACLE_SQL) == {"residual_gbt", "hybrid_forecast", "hybrid_metrics"}
     assert set(ORACLE_SQL) <= set(PLANS)
 
 
