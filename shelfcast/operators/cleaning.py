@@ -2,37 +2,77 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfcast.functions.exact import code, money
+from shelfcast.functions.exact import AMOUNT_DIGITS, code, fits, money
 
 
 def clean_standardise(
-    df: DataFrame, dates: Sequence[str] = (), codes: Sequence[str] = (), amounts: Sequence[str] = (),
-    flags: bool = True,
+    df: DataFrame, dates: Sequence[str] = (), codes: Sequence[str] = (),
+    amounts: Sequence[str] | Mapping[str, int] = (), flags: bool = True,
 ) -> DataFrame:
-    """DATE dates, trimmed upper-case codes (blank becomes NULL) and two-decimal amounts.
+    """DATE dates, trimmed upper-case codes (blank becomes NULL) and decimal amounts.
 
-    A date or amount that cannot be read becomes NULL and, with ``flags``, is marked in
-    ``<column>_invalid``; NaN is a missing amount, not an invalid one.
+    ``amounts`` names the columns, or maps each to the digits it keeps after the point (two,
+    unless said). A date or amount that cannot be read or does not fit becomes NULL and, with
+    ``flags``, is marked in ``<column>_invalid``; an amount that had more digits than are kept is
+    marked in ``<column>_rounded``. NaN is a missing amount, not an invalid one.
     """
+    digits = dict(amounts) if isinstance(amounts, Mapping) else dict.fromkeys(amounts, AMOUNT_DIGITS)
     changed: dict[str, Column] = {name: F.col(name).try_cast("date") for name in dates}
     changed |= {name: code(name) for name in codes}
-    changed |= {name: money(name) for name in amounts}
+    changed |= {name: money(name, kept) for name, kept in digits.items()}
     kinds = dict(df.dtypes)
     if flags:
-        for name in (*dates, *amounts):
+        for name in (*dates, *digits):
             present = F.col(name).isNotNull()
             if kinds[name] in ("double", "float"):
                 present = present & ~F.isnan(name)
             changed[f"{name}_invalid"] = present & changed[name].isNull()
+        for name in digits:
+            changed[f"{name}_rounded"] = F.coalesce(_differs(name, kinds[name], changed[name]), F.lit(False))
     return df.withColumns(changed)
 
 
+def _differs(name: str, kind: str, kept: Column) -> Column:
+    """Whether the kept decimal is another number than the recorded one."""
+    if kind in ("double", "float"):
+        return kept.cast(kind) != F.col(name)
+    wide = kept != F.col(name).try_cast("decimal(38,18)")
+    return wide | (kept.cast("double") != F.col(name).try_cast("double"))
+
+
+def clean_scale_profile(df: DataFrame, table_name: str, digits: Mapping[str, int], most: int = 8) -> DataFrame:
+    """How many digits after the point the numbers of each column need, and whether they are kept.
+
+    One row per column and number of digits (NULL: more than ``most``, or not finite) with the
+    rows that need them; ``kept`` says whether ``digits`` of the column suffices. A missing
+    number (NULL, NaN) needs none and is not counted. Each row becomes one cell per column and
+    is counted on the map side, so a shuffle carries at most ``most`` + 2 rows per column and task.
+    """
+    cells = F.array(*[
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double")).alias("number"),
+            F.lit(kept).alias("scale"),
+        )
+        for name, kept in digits.items()
+    ])
+    rows = df.select(F.explode(cells).alias("c")).select("c.*").where(F.col("number").isNotNull())
+    infinite = F.abs("number") == F.lit(float("inf"))
+    needed = F.when(infinite, F.lit(None).cast("int"))
+    for d in range(most + 1):
+        needed = needed.when(fits("number", d), F.lit(d))
+    return rows.groupBy("column_name", "scale", needed.alias("digits")).agg(F.count("*").alias("row_count")).select(
+        F.lit(table_name).alias("table_name"), "column_name", "digits", "scale",
+        F.coalesce(F.col("digits") <= F.col("scale"), F.lit(False)).alias("kept"), "row_count",
+    )
+
+
 def clean_dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by the other columns from left to right, NULL first.
 

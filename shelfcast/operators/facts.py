@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfcast.functions.exact import count_if, ratio
+from shelfcast.functions.exact import count_if, or_zero, ratio
 from shelfcast.operators.dims import with_calendar
 
 ORDER_SUMS = ("units", "returned_units", "gross", "net", "cogs", "shipping_fee", "return_amount")
@@ -71,7 +71,7 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Dat
     """One row per order, also for an order without lines. Lines are summed before the
     join, so a long order reaches it as one row."""
     joined = orders.join(order_sums(items), "order_id", "left").join(order_payments(payments), "order_id", "left")
-    filled = joined.withColumns({name: F.coalesce(name, F.lit(0)).cast("decimal(28,4)") for name in ORDER_SUMS})
+    filled = joined.withColumns({name: or_zero(joined, name) for name in ORDER_SUMS})
     return filled.withColumns(
         {
             "line_count": F.coalesce("line_count", F.lit(0)).cast("bigint"),

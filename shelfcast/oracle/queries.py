@@ -18,6 +18,8 @@ from shelfcast.oracle.ctes import (
 
 PREVIEW_ROWS = 10
 
+needed_digits = " ".join(f"when round(number * 1e{d}) / 1e{d} = number then {d}" for d in range(9))
+
 BODIES: dict[str, str] = {
     # --- sources and inspection
     "scan_typed": """
@@ -104,7 +106,9 @@ BODIES: dict[str, str] = {
                try_cast(o_orderdate as date) as o_orderdate, nullif(upper(trim(o_orderpriority)), '') as o_orderpriority,
                o_orderdate is not null and try_cast(o_orderdate as date) is null as o_orderdate_invalid,
                o_totalprice is not null and not isnan(o_totalprice)
-                   and try_cast(o_totalprice as decimal(12,2)) is null as o_totalprice_invalid
+                   and try_cast(o_totalprice as decimal(12,2)) is null as o_totalprice_invalid,
+               coalesce(cast(try_cast(o_totalprice as decimal(12,2)) as double) <> o_totalprice, false)
+                   as o_totalprice_rounded
         from orders""",
     "clean_dedup": f"""
         select l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -117,11 +121,22 @@ BODIES: dict[str, str] = {
               from (select l_orderkey, l_linenumber, l_partkey, l_suppkey,
                            cast(l_quantity as decimal(12,2)) as l_quantity,
                            cast(l_extendedprice as decimal(12,2)) as l_extendedprice,
-                           cast(l_discount as decimal(12,2)) as l_discount, cast(l_tax as decimal(12,2)) as l_tax,
+                           cast(l_discount as decimal(14,4)) as l_discount, cast(l_tax as decimal(14,4)) as l_tax,
                            upper(trim(l_returnflag)) as l_returnflag, upper(trim(l_linestatus)) as l_linestatus,
                            cast(l_shipdate as date) as l_shipdate
                     from lineitem))
         where pick = 1""",
+    "clean_scale_profile": f"""
+        select 'lineitem' as table_name, column_name, digits, scale, coalesce(digits <= scale, false) as kept,
+               count(*) as row_count
+        from (select column_name, scale,
+                     cast(case when isinf(number) then null {needed_digits} end as int) as digits
+              from (select 'l_quantity' as column_name, 2 as scale, l_quantity as number from lineitem
+                    union all select 'l_extendedprice', 2, l_extendedprice from lineitem
+                    union all select 'l_discount', 4, l_discount from lineitem
+                    union all select 'l_tax', 4, l_tax from lineitem)
+              where number is not null and not isnan(number))
+        group by all""",
     "clean_nulls": """
         select review_id, product_id, coalesce(rating, 3) as rating, n_chars, rating is null as rating_missing
         from stg_reviews""",

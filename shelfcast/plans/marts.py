@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfcast.functions.calendar import month_start
-from shelfcast.functions.exact import count_if, ratio
+from shelfcast.functions.exact import count_if, or_zero, ratio
 from shelfcast.functions.ranking import rank_in_group
 from shelfcast.operators.facts import profit_of_sums, summed
 from shelfcast.operators.promotions import promo_days
@@ -106,13 +106,8 @@ def mart_promotion_effectiveness(daily: DataFrame, promotions: DataFrame) -> Dat
         )
         .join(inside, "promo_id", "left")
         .join(totals, "category", "left")
-        .withColumns(
-            {
-                "revenue_inside": F.coalesce("revenue_inside", F.lit(0)).cast("decimal(38,4)"),
-                "discount_amount": F.coalesce("discount_amount", F.lit(0)).cast("decimal(38,4)"),
-            }
-        )
     )
+    joined = joined.withColumns({name: or_zero(joined, name) for name in ("revenue_inside", "discount_amount")})
     inside_rate = ratio("revenue_inside", "active_days")
     outside_rate = ratio(
         F.col("all_revenue") - F.col("revenue_inside"), F.col("all_days") - F.col("active_days")

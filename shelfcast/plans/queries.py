@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.calendar import calendar_parts
-from shelfcast.functions.exact import doubles
+from shelfcast.functions.exact import AMOUNT_DIGITS, RATE_DIGITS, doubles
 from shelfcast.operators import cleaning, features, model, seasonal
 from shelfcast.operators.seasonal import TARGETS
 from shelfcast.plans import reports
@@ -19,6 +19,10 @@ from shelfcast.sources.scan import TABLE_SCHEMAS, scan_typed
 
 PREVIEW_ROWS = 10
 NEUTRAL_RATING = 3
+# Digits that each number of a raw line keeps.
+LINE_DIGITS = {
+    "l_quantity": AMOUNT_DIGITS, "l_extendedprice": AMOUNT_DIGITS, "l_discount": RATE_DIGITS, "l_tax": RATE_DIGITS,
+}
 
 
 def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
@@ -129,12 +133,16 @@ def _deduplicated_lines(w: Warehouse) -> DataFrame:
         w.raw("lineitem"),
         dates=["l_shipdate"],
         codes=["l_returnflag", "l_linestatus"],
-        amounts=["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+        amounts=LINE_DIGITS,
         flags=False,
     )
     return cleaning.clean_dedup(lines, ["l_orderkey", "l_linenumber"])
 
 
+def _scale_profile(w: Warehouse) -> DataFrame:
+    return cleaning.clean_scale_profile(w.raw("lineitem"), "lineitem", LINE_DIGITS)
+
+
 def _filled_reviews(w: Warehouse) -> DataFrame:
     return cleaning.clean_nulls(w.table("reviews"), {"rating": F.lit(NEUTRAL_RATING)})
 
@@ -258,6 +266,7 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "clean_standardise": _standardised_orders,
     "clean_dedup": _deduplicated_lines,
     "clean_nulls": _filled_reviews,
+    "clean_scale_profile": _scale_profile,
     "clean_link_check": _plain("link_check"),
     "quality_report": _plain("quality_report"),
     "processed_table_summary": _plain("processed_table_summary"),

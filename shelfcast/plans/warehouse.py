@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from shelfcast.functions.calendar import month_start
-from shelfcast.functions.exact import from_hundredths
+from shelfcast.functions.exact import Scaled
 from shelfcast.operators import cleaning, dims, facts, features, model, quality
 from shelfcast.operators.seasonal import ForecastWindow, forecast_horizon
 from shelfcast.operators.sessions import web_sessions
@@ -245,7 +245,7 @@ def _quality_report(w: Warehouse) -> DataFrame:
 
     # A product that is there twice repeats its lines in order_items, and nowhere else.
     first = F.row_number().over(Window.partitionBy("product_id").orderBy("name")) == 1
-    items = roles.stg_items(t("lines"), t("products").withColumn("is_first", first), ["is_first", "units_h"]).withColumns(
+    items = roles.stg_items(t("lines"), t("products").withColumn("is_first", first), ["is_first", "units_n"]).withColumns(
         {"month": month_start("ship_date"), "is_line": F.coalesce("is_first", F.lit(True))}
     )
     line, returned = F.col("is_line").cast("int"), (F.col("is_line") & F.col("is_returned")).cast("int")
@@ -257,7 +257,7 @@ def _quality_report(w: Warehouse) -> DataFrame:
             keys("returns", ["order_id", "product_id"], ["order_id"],
                  ["order_id", "product_id", "units", "return_amount", "return_reason"], when=returned == 1),
             keys("stock", ["product_id", "month"], ["product_id", "month"], when=F.col("is_line"),
-                 sums={"lines": line, "returned": returned, "units_h": F.col("units_h")}),
+                 sums={"lines": line, "returned": returned, "units_n": F.col("units_n")}),
         ),
         "shipments": lambda: counted(
             t("shipments"), keys("shipments", ["order_id", "line_no"], (), t("shipments").columns, bad=~F.col("is_valid"))
@@ -285,7 +285,8 @@ def _quality_report(w: Warehouse) -> DataFrame:
     with ThreadPoolExecutor(WRITERS) as writers:
         found = dict(zip(jobs, writers.map(lambda job: job(), jobs.values())))
     stock = named(found["items"], "stock")
-    inventory = roles.stock_of(stock.select("product_id", "month", from_hundredths("units_h").alias("demand")), t("products"))
+    units = Scaled(F.col("units_n"), Scaled.of(t("lines"), "units_n").digits)
+    inventory = roles.stock_of(stock.select("product_id", "month", units.decimal().alias("demand")), t("products"))
     stock_counts = quality.key_counts(
         inventory, [keys("inventory", ["product_id", "month"], (), t("inventory").columns, bad=F.col("month").isNull())]
     )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.functions.calendar import month_start
-from shelfcast.functions.exact import code, from_hundredths, from_ten_thousandths, hundredths, money, ratio
+from shelfcast.functions.exact import AMOUNT_DIGITS, RATE_DIGITS, Scaled, code, money, ratio, whole
 
 # The role contract of promotions (days and percent).
 PROMO_FIRST_OFFSET = 14
@@ -52,58 +52,69 @@ def stg_products(part: DataFrame) -> DataFrame:
     )
 
 
-def stg_lines(lineitem: DataFrame) -> DataFrame:
-    """Order lines as recorded, before any product is looked up; ``*_h`` are hundredths."""
+def stg_lines(
+    lineitem: DataFrame, amount_digits: int = AMOUNT_DIGITS, rate_digits: int = RATE_DIGITS
+) -> DataFrame:
+    """Order lines as recorded, before any product is looked up; ``*_n`` are whole numbers, and
+    the metadata of each says of which unit. ``clean_scale_profile`` shows the digits a table needs."""
+    numbers = [
+        Scaled(whole(source, digits), digits).named(name)
+        for source, name, digits in (
+            ("l_quantity", "units_n", amount_digits),
+            ("l_extendedprice", "gross_n", amount_digits),
+            ("l_discount", "discount_n", rate_digits),
+            ("l_tax", "tax_n", rate_digits),
+        )
+    ]
     return lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("product_id"),
-        hundredths("l_quantity").alias("units_h"),
-        hundredths("l_extendedprice").alias("gross_h"),
-        hundredths("l_discount").alias("discount_h"),
-        hundredths("l_tax").alias("tax_h"),
+        *numbers,
         (code("l_returnflag") == RETURNED_FLAG).alias("is_returned"),
         code("l_linestatus").alias("line_status"),
         F.to_date("l_shipdate").alias("ship_date"),
     )
 
 
-def _net() -> Column:
-    return F.col("gross_h") * (100 - F.col("discount_h"))
+def _net(lines: DataFrame) -> Scaled:
+    return Scaled.of(lines, "gross_n") * Scaled.of(lines, "discount_n").complement()
 
 
-def _fee() -> Column:
-    return F.col("gross_h") * F.col("tax_h")
+def _fee(lines: DataFrame) -> Scaled:
+    return Scaled.of(lines, "gross_n") * Scaled.of(lines, "tax_n")
 
 
 def stg_items(lines: DataFrame, products: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """Order lines with money columns, and the ``carried`` columns of line or product. A line
     of an unknown product is kept at no cost; the link check lists it."""
     prices = products.select(
-        "product_id", "category", (F.col("price") * 100).cast("bigint").alias("price_h"),
+        "product_id", "category", Scaled.of(products, "price").named("price_n"),
         *[c for c in carried if c not in lines.columns],
     )
-    zero = F.lit(0).cast("bigint")
+    priced = lines.join(prices, "product_id", "left")
+    units, gross = Scaled.of(priced, "units_n"), Scaled.of(priced, "gross_n")
+    net, fee = _net(priced), _fee(priced)
+    cogs = (units * Scaled.of(priced, "price_n")).or_zero()
     returned = F.col("is_returned")
-    cogs = F.coalesce(F.col("units_h") * F.col("price_h"), zero)
-    return_amount = F.when(returned, _net()).otherwise(zero)
-    return lines.join(prices, "product_id", "left").select(
+    return_amount = net.where(returned)
+    return priced.select(
         "order_id",
         "line_no",
         "product_id",
         "category",
-        from_hundredths("units_h").alias("units"),
-        from_hundredths("gross_h").alias("gross"),
-        from_ten_thousandths(F.col("gross_h") * F.col("discount_h")).alias("discount"),
-        from_ten_thousandths(_net()).alias("net"),
-        from_ten_thousandths(cogs).alias("cogs"),
-        from_ten_thousandths(_fee()).alias("shipping_fee"),
+        units.decimal().alias("units"),
+        gross.decimal().alias("gross"),
+        (gross * Scaled.of(priced, "discount_n")).decimal().alias("discount"),
+        net.decimal().alias("net"),
+        cogs.decimal().alias("cogs"),
+        fee.decimal().alias("shipping_fee"),
         "is_returned",
-        from_hundredths(F.when(returned, F.col("units_h")).otherwise(zero)).alias("returned_units"),
+        units.where(returned).decimal().alias("returned_units"),
         F.when(returned, F.col("line_status")).alias("return_reason"),
-        from_ten_thousandths(return_amount).alias("return_amount"),
-        from_ten_thousandths(_net() - cogs).alias("gross_profit"),
-        from_ten_thousandths(_net() - cogs - _fee() - return_amount).alias("net_profit"),
+        return_amount.decimal().alias("return_amount"),
+        (net - cogs).decimal().alias("gross_profit"),
+        (net - cogs - fee - return_amount).decimal().alias("net_profit"),
         "ship_date",
         *carried,
     )
@@ -160,7 +171,7 @@ def stg_promotions(orders: DataFrame, part: DataFrame) -> DataFrame:
 def stg_shipments(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return (
         lines.select(
-            "order_id", "line_no", "ship_date", from_ten_thousandths(_fee()).alias("shipping_fee")
+            "order_id", "line_no", "ship_date", _fee(lines).decimal().alias("shipping_fee")
         )
         .join(orders.select("order_id", "order_date"), "order_id")
         .withColumn("lead_days", F.datediff("ship_date", "order_date"))
@@ -172,8 +183,8 @@ def stg_returns(lines: DataFrame) -> DataFrame:
     return lines.where("is_returned").select(
         "order_id",
         "product_id",
-        from_hundredths("units_h").alias("units"),
-        from_ten_thousandths(_net()).alias("return_amount"),
+        Scaled.of(lines, "units_n").decimal().alias("units"),
+        _net(lines).decimal().alias("return_amount"),
         F.col("line_status").alias("reason"),
     )
 
@@ -191,8 +202,9 @@ def stg_reviews(documents: DataFrame, labels: DataFrame, part: DataFrame) -> Dat
 def stg_inventory(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Product-month stock. Lines are summed before the product join, so a hot product
     reaches the join with one row per month."""
+    units = Scaled.of(lines, "units_n")
     demand = lines.groupBy("product_id", month_start("ship_date").alias("month")).agg(
-        from_hundredths(F.sum("units_h")).alias("demand")
+        Scaled(F.sum(units.whole), units.digits).decimal().alias("demand")
     )
     return stock_of(demand, products)
 
@@ -225,6 +237,7 @@ def stg_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Daily series. Line cost is summed per order before the join, so a long order
     reaches it as one row; a day without lines has zero cost."""
     order_cost = items.groupBy("order_id").agg(F.sum("cogs").alias("cogs"))
+    cost_digits = items.schema["cogs"].dataType.scale
     return (
         orders.select(
             F.col("o_orderkey").alias("order_id"),
@@ -235,6 +248,6 @@ def stg_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
         .groupBy("date")
         .agg(
             F.sum("revenue").alias("revenue"),
-            F.coalesce(F.sum("cogs"), F.lit(0)).cast("decimal(38,4)").alias("cogs"),
+            F.coalesce(F.sum("cogs"), F.lit(0)).cast(f"decimal(38,{cost_digits})").alias("cogs"),
         )
     )

@@ -13,7 +13,8 @@ def test_standardise(spark):
     ).withColumn("at", F.col("at").cast("timestamp_ntz"))
     rows = clean_standardise(df, ["at"], ["code"], ["amount"]).collect()
     assert (rows[0]["code"], rows[0]["at"], float(rows[0]["amount"])) == ("AB", dt.date(2001, 2, 3), 1.01)
-    assert tuple(rows[1]) == (None, None, None, False, False)
+    assert rows[0]["amount_rounded"]
+    assert tuple(rows[1]) == (None, None, None, False, False, False)
 
 
 def test_bad_values_are_flagged_and_do_not_end_the_job(spark):
