@@ -46,6 +46,12 @@ LAYERS: dict[str, tuple[str, ...]] = {
 
 # Date column that gives the year partition of a published table.
 YEAR_OF = {
+    "orders": "order_date",
+    "order_items": "ship_date",
+    "shipments": "ship_date",
+    "inventory": "month",
+    "web_traffic": "event_date",
+    "sales": "date",
     "fact_sales_item": "order_date",
     "fact_orders": "order_date",
     "fact_shipments": "ship_date",
@@ -53,8 +59,17 @@ YEAR_OF = {
     "fact_inventory_snapshot": "month",
     "fact_sales_series": "date",
     "fact_web_traffic": "date",
+    "mart_sales_overview": "order_date",
+    "mart_product_performance": "month",
+    "mart_return_diagnostics": "month",
+    "mart_shipping_service": "month",
+    "mart_inventory_risk": "month",
+    "mart_operations": "month",
 }
 
+# The layers that ``open`` reads.
+DATA_LAYERS = ("processed", "dim", "fact", "mart")
+
 # Tables of YEAR_OF with a year column of their own.
 HAS_YEAR = ("fact_sales_series",)
 
@@ -102,7 +117,7 @@ class Warehouse:
         ``root``. Reports, the inventory and checks then scan those files; only what was not
         published is built from ``source``."""
         warehouse = cls(spark, source, window)
-        for layer in ("processed", "dim", "fact", "mart"):
+        for layer in DATA_LAYERS:
             for name in LAYERS[layer]:
                 df = spark.read.parquet(os.path.join(root, layer, name))
                 added = name in YEAR_OF and name not in HAS_YEAR
@@ -149,15 +164,23 @@ class Warehouse:
         with ThreadPoolExecutor(WRITERS) as writers:
             seen = dict(zip(names, writers.map(write, names)))
         for name, df in frames.items():
-            columns = df.schema
-            if name in YEAR_OF and "year" not in df.columns:
-                columns = T.StructType([*columns.fields, T.StructField("year", T.IntegerType())])
-            self._tables[name] = self.spark.read.schema(columns).parquet(paths[name]).select(*df.columns)
-            self._published.add(name)
-        self._keep_counts(root, layer, {name: (len(frames[name].columns), seen[name]) for name in names})
+            self.use(name, self.files(name, df.schema, paths[name]).select(*df.columns))
+        self.keep_counts(root, layer, {name: (len(frames[name].columns), seen[name]) for name in names})
         return [(layer, name, self._tables[name]) for name in names]
 
-    def _keep_counts(self, root: str, layer: str, seen: dict[str, tuple[int, dict]]) -> None:
+    def files(self, name: str, columns: T.StructType, path: str) -> DataFrame:
+        """The files of a published table, with the year of their partitions."""
+        if name in YEAR_OF and "year" not in columns.names:
+            columns = T.StructType([*columns.fields, T.StructField("year", T.IntegerType())])
+        return self.spark.read.schema(columns).parquet(path)
+
+    def use(self, name: str, df: DataFrame, published: bool = True) -> None:
+        """Read a table from this frame, instead of building it."""
+        self._tables[name] = df
+        if published:
+            self._published.add(name)
+
+    def keep_counts(self, root: str, layer: str, seen: dict[str, tuple[int, dict]]) -> None:
         """Write what the publishing jobs observed; a table that is published again has its counts replaced."""
         rows = [
             (n["row_count"], columns, n["first_date"], n["last_date"], layer, name) for name, (columns, n) in seen.items()

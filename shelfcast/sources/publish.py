@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, functions as F
 
 
@@ -46,3 +49,28 @@ def publish_table(df: DataFrame, path: str, year_of: str | None = None, date: st
         gathered = yearly.hint("rebalance", "year").observe(seen, *metrics)
         gathered.write.mode("overwrite").partitionBy("year").parquet(path)
     return seen.get
+
+
+# Directory of the rows without a date.
+NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
+
+
+def publish_years(df: DataFrame, path: str, year_of: str, held: Sequence[int | None]) -> None:
+    """Replace years of a table that ``publish_table`` partitioned; other years keep their files.
+
+    ``df`` holds all rows of the years it has any of. ``held`` are the years (None: no date) whose
+    published rows are out of date; one of them that ``df`` has no row of is removed. The
+    rows of each are counted by the writing job itself. A second run gives the same files.
+    """
+    spark = df.sparkSession
+    yearly = df if "year" in df.columns else df.withColumn("year", F.year(year_of))
+    seen = Observation()
+    metrics = [F.count_if(F.col("year").eqNullSafe(F.lit(y))).alias(f"rows_{i}") for i, y in enumerate(held)]
+    gathered = yearly.hint("rebalance", "year").observe(seen, F.count(F.lit(1)).alias("rows"), *metrics)
+    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("year").parquet(path)
+    counts = seen.get
+    for i, year in enumerate(held):
+        if not counts[f"rows_{i}"]:
+            gone = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, f"year={NO_YEAR if year is None else year}"))
+            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)

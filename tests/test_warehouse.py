@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import dims, facts, features
 from shelfcast.plans import marts, reports
 from shelfcast.plans.queries import run
-from shelfcast.plans.warehouse import LAYERS, YEAR_OF, Warehouse
+from shelfcast.plans.warehouse import DATA_LAYERS, LAYERS, YEAR_OF, Warehouse
 from shelfcast.session import publish_folder, shared_folder
 from shelfcast.sources.publish import forecast_publish, publish_table
 
@@ -197,7 +197,7 @@ def test_published_layers(spark, w):
     read = spark.read.parquet(path).drop("year")
     assert sorted(read.columns) == sorted(w.table("fact_orders").columns)
     assert read.exceptAll(w.table("fact_orders").select(*read.columns)).count() == 0
-    assert set(YEAR_OF) <= set(LAYERS["fact"])
+    assert set(YEAR_OF) <= {name for layer in DATA_LAYERS for name in LAYERS[layer]}
 
 
 def test_forecast_file(spark, tmp_path):
