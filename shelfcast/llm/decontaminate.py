@@ -6,8 +6,10 @@ tables: a shift table, by hash of the block of bytes under the cursor, says how
 says zero, buckets by suffix and prefix block select patterns, and direct comparison of the bytes confirms. Many
 cursors walk through a slice of texts together, as array operations.
 
-The benchmark goes to the tasks in shards of at most ``shard_bytes`` of text; each further shard is a further pass
-over the documents in the same job, which adds its findings to the earlier ones, so no size of it is cut.
+The benchmark goes to the tasks in shards of about ``shard_bytes`` of text, dealt by hash; each further shard is a
+further pass, which adds its findings to the earlier ones, so no size of it is cut. A pass is written to the shared
+folder before the next one begins: the driver and a task hold one shard at a time, however many there are. Only a
+single item text that is longer than a shard makes one larger.
 
 Defined results: null or wordless texts have no words, no hits and are not contaminated; null or wordless items
 give no window; an item id that repeats counts once, a null one as an empty string; rows that repeat give a row
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import annotate, bounded_batches, fresh, raw_texts, table
+from shelfcast.llm.common import annotate, bounded_batches, fresh, raw_texts, stored, table
 
 WINDOW = 13
 #: Bytes of benchmark text that a task holds at once.
@@ -219,8 +221,10 @@ def find_benchmark(
         F.coalesce(F.col(item_column).cast("string"), F.lit("")).alias("item"),
         F.col(item_text).cast("string").alias("text"),
     ).where(F.col("text").isNotNull())
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = int(total // shard_bytes) + 1
+    shards = _shards(items, shard_bytes)
+    if shards > 1:  # rows that repeat would all be dealt to one shard
+        items = stored(items.distinct(), "benchmark")
+        shards = _shards(items, shard_bytes)
     keep = list(keep)
     passes: list[str] = []
     out = documents
@@ -231,11 +235,17 @@ def find_benchmark(
         carried = [*keep, *([] if last or text_column in keep else [text_column]), *passes]
         passes.append(name if shards == 1 else fresh(out, f"{name}_{shard}"))
         out = annotate(out, text_column, _maker(held, window), FIELDS, carried, passes[-1])
+        if not last:
+            out = stored(out, "benchmark-pass")
     if shards > 1:
         out = _merge(out, passes, keep, name)
     return out
 
 
+def _shards(items: DataFrame, shard_bytes: int) -> int:
+    return int((items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes) + 1
+
+
 def _merge(df: DataFrame, passes: list[str], keep: list[str], name: str) -> DataFrame:
     """Findings of several passes as one struct; overlapping or touching ranges are joined."""
     ranges = F.array_sort(F.flatten(F.array(*[F.col(f"{p}.ranges") for p in passes])))

@@ -6,6 +6,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from shelfcast.llm import decontaminate
 from shelfcast.llm.decontaminate import Searcher, contaminated, find_benchmark, op10_decontamination, words_of
 from shelfcast.llm.queries import ORACLE_SQL
 from tests_support import differences, oracle_connection
@@ -90,3 +91,27 @@ def test_query_against_sql(spark, small):
 def test_digest_of_items(spark, small):
     got = op10_decontamination(spark, small).where("n_items = 0").first()
     assert got["items_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_a_shard_stays_small_while_the_benchmark_grows(spark, monkeypatch):
+    """Ten times the benchmark, and an item that comes again and again, make more shards and not larger ones."""
+    sizes = []
+    make = decontaminate._maker
+
+    def recorded(items, window):
+        sizes.append(sum(len(text) for _, text in items))
+        return make(items, window)
+
+    monkeypatch.setattr(decontaminate, "_maker", recorded)
+    documents = spark.createDataFrame([(i, f"some text item{i * 7} goes on") for i in range(30)], "doc_id long, text string")
+    largest = []
+    for n in (60, 600):
+        items = [(i, f"item{i} goes on") for i in range(n)] + [(0, "item0 goes on")] * n
+        benchmark = spark.createDataFrame(items, "item_id long, text string")
+        found = find_benchmark(documents, benchmark, shard_bytes=300).collect()
+        hit = {r["doc_id"]: r["found"]["items"] for r in found}
+        assert hit == {i: [str(i * 7)] if i * 7 < n else [] for i in range(30)}
+        largest.append(max(sizes))
+        assert len(sizes) >= n // 30
+        sizes.clear()
+    assert largest[1] <= 3 * 300
