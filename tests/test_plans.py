@@ -3,6 +3,7 @@
 import contextlib
 import io
 import re
+import threading
 
 import pytest
 
@@ -14,9 +15,13 @@ from shelfcast.plans.warehouse import Warehouse
 EAGER = {"forecast_publish", "layer_publish", "residual_gbt", "hybrid_forecast", "trend_huber", "hybrid_metrics"}
 
 
+# Standard output is shared by the threads that build tables side by side.
+ONE_AT_A_TIME = threading.Lock()
+
+
 def plan_of(df) -> str:
     text = io.StringIO()
-    with contextlib.redirect_stdout(text):
+    with ONE_AT_A_TIME, contextlib.redirect_stdout(text):
         df.explain("formatted")
     return text.getvalue()
 
