@@ -6,6 +6,11 @@ fingerprints within 3 bits thus have counts within 3, and within 1 on one half o
 fingerprint lies in the grid cell of its counts, once for each half, and visits the cells that are one higher in one
 coordinate; pairs of a cell are then compared bit by bit.
 
+A grid of 2 * 5^8 cells grows crowded, so each cell is divided by the counts of a second segmentation of the
+same half, whose segments cross those of the first: on that half the two fingerprints differ in at most one bit, so
+here, too, they are at most one step apart, and the bit that makes a step in both grids is known. No cell of both grids
+holds more than 90^2 = 8100 of the 2^32 values of a half (the 4 x 4 bit matrices with given sums, twice).
+
 Work is on distinct fingerprints, so copies never meet each other; a cell returns a spanning forest of its links and
 not the pairs. Links within a cell are found in blocks of PAIRS comparisons. The cells of a tight group are bounded
 by the number of different fingerprints within a few bits of each other, not by its documents.
@@ -78,7 +83,7 @@ def fingerprints(
 
 
 def grid(distinct: DataFrame, column: str = "fp") -> DataFrame:
-    """cell, visitor, fp: each fingerprint's own cells and those it visits."""
+    """cell, visitor, segment, fp: each fingerprint's own cells, and those it visits, by the segment that is higher."""
     per_half = SEGMENTS // 2
     width = 64 // SEGMENTS
     counts = [
@@ -93,13 +98,42 @@ def grid(distinct: DataFrame, column: str = "fp") -> DataFrame:
         own = F.lit(half).cast("bigint") * F.lit(1 << 3 * per_half)
         for s in range(per_half):
             own = own + F.col("n")[half * per_half + s] * F.lit(1 << 3 * s)
-        places.append(F.struct(own.alias("cell"), F.lit(False).alias("visitor")))
+        places.append(F.struct(own.alias("cell"), F.lit(False).alias("visitor"), F.lit(half * per_half).alias("segment")))
         for s in range(per_half):
             higher = F.when(F.col("n")[half * per_half + s] < width, own + F.lit(1 << 3 * s))
-            places.append(F.struct(higher.alias("cell"), F.lit(True).alias("visitor")))
+            segment = F.lit(half * per_half + s).alias("segment")
+            places.append(F.struct(higher.alias("cell"), F.lit(True).alias("visitor"), segment))
     return (
         named.select("fp", F.explode(F.array(*places)).alias("p"))
-        .where("p.cell is not null").select("p.cell", "p.visitor", "fp")
+        .where("p.cell is not null").select("p.cell", "p.visitor", "p.segment", "fp")
+    )
+
+
+def divided(placed: DataFrame) -> DataFrame:
+    """cell, visitor, fp: the cells of ``grid``, each divided by the counts of the crossing segments of its half.
+
+    Crossing segment t of a half holds its bits t, t + 8, t + 16 and t + 24. It shares one bit at most with a segment
+    of the grid, so a visitor goes where that bit, if it is not set, would lead: to four places at most.
+    """
+    width = 64 // SEGMENTS
+    per_half = SEGMENTS // 2
+    half = F.shiftrightunsigned("fp", 32)
+    bits = F.when(F.col("segment") < per_half, F.col("fp").bitwiseAND(F.lit((1 << 32) - 1))).otherwise(half)
+    counts = F.lit(0).cast("bigint")
+    for t in range(per_half):
+        mask = sum(1 << b for b in range(t, 32, per_half))
+        counts = counts + F.bit_count(F.col("bits").bitwiseAND(F.lit(mask))) * F.lit(1 << 3 * t)
+    fine = placed.withColumn("bits", bits).withColumn("fine", counts)
+    steps = []
+    for j in range(width):
+        bit = (F.col("segment") % per_half) * width + j
+        unset = F.getbit("bits", bit) == 0
+        place = F.col("fine") + F.pow(F.lit(8.0), bit % per_half).cast("bigint")
+        steps.append(F.when(unset, place))
+    at = F.when(F.col("visitor"), F.array(*steps)).otherwise(F.array("fine"))
+    return (
+        fine.select("cell", "visitor", "fp", F.explode(at).alias("place")).where("place is not null")
+        .select((F.col("cell") * F.lit(1 << 3 * per_half) + F.col("place")).alias("cell"), "visitor", "fp")
     )
 
 
@@ -161,7 +195,7 @@ def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     """(u, v), u > v: edges that connect every two fingerprints within ``bits`` <= 3 bits; column fp."""
     if not 0 <= bits <= 3:
         raise ValueError("the grid covers distances up to 3")
-    placed = grid(distinct).repartition("cell").sortWithinPartitions("cell", "visitor")
+    placed = divided(grid(distinct)).repartition("cell").sortWithinPartitions("cell", "visitor")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []

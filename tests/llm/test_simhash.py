@@ -9,7 +9,7 @@ from xxhash import xxh64
 
 from shelfcast.llm import simhash
 from shelfcast.llm.components import components
-from shelfcast.llm.simhash import fingerprint, grid, links, near_duplicates, op6_simhash, shingle_hashes
+from shelfcast.llm.simhash import divided, fingerprint, grid, links, near_duplicates, op6_simhash, shingle_hashes
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -79,6 +79,32 @@ def test_grid_rows_are_bounded(spark):
     assert grid(spark.createDataFrame([(5,), (-1,)], "fp bigint")).groupBy("fp").count().agg(F.max("count")).first()[0] <= 18
 
 
+def test_every_close_pair_meets_in_a_divided_cell(spark):
+    rng = random.Random(5)
+    pairs = []
+    for _ in range(300):
+        a = b = rng.getrandbits(64)
+        for bit in rng.sample(range(64), rng.randrange(4)):
+            b ^= 1 << bit
+        pairs.append((a, b))
+    signed = [tuple(int(np.array(f, np.uint64).view(np.int64)) for f in p) for p in pairs]
+    placed = divided(grid(spark.createDataFrame([(f,) for f in {f for p in signed for f in p}], "fp bigint")))
+    cells = {}
+    for r in placed.collect():
+        cells.setdefault(r["fp"], set()).add((r["cell"], r["visitor"]))
+    for a, b in signed:
+        met = {(c, u and v) for c, u in cells[a] for d, v in cells[b] if c == d}
+        assert any(not both_visit for _, both_visit in met)
+
+
+def test_random_fingerprints_crowd_no_cell(spark):
+    rows = spark.range(1_000_000).select(F.xxhash64("id").alias("fp"))
+    residents = divided(grid(rows).where("not visitor")).groupBy("cell").count()
+    coarse = grid(rows).where("not visitor").groupBy("cell").count()
+    assert coarse.agg(F.max("count")).first()[0] > 300
+    assert residents.agg(F.max("count")).first()[0] <= 20
+
+
 @pytest.mark.parametrize("edges", [
     [], [(2, 1)], [(i + 1, i) for i in range(60)], [(100, i) for i in range(40)] + [(200, 100), (9, 8)],
     [(i, 0) for i in range(1, 300)],
