@@ -203,6 +203,10 @@ BODIES: dict[str, str] = {
         select order_id, customer_id, order_date, status, is_cancelled, payment_method, line_count,
                {dbl("payment_value", *ORDER_SUMS)}
         from f_orders""",
+    "order_line_shares": f"""
+        select i.order_id, i.line_no, i.status, cast(i.net as double) as net, cast(o.net as double) as order_net,
+               o.line_count, {ratio("i.net", "o.net")} as net_share
+        from f_item i join f_orders o using (order_id)""",
     "fact_shipments": """
         select order_id, line_no, order_date, ship_date, lead_days, cast(shipping_fee as double) as shipping_fee,
                not is_valid as is_invalid_date

@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.calendar import calendar_parts
-from shelfcast.functions.exact import AMOUNT_DIGITS, RATE_DIGITS, doubles
+from shelfcast.functions.exact import AMOUNT_DIGITS, RATE_DIGITS, doubles, ratio
 from shelfcast.operators import cleaning, features, model, seasonal
 from shelfcast.operators.seasonal import TARGETS
 from shelfcast.plans import reports
 from shelfcast.plans.warehouse import LAYERS, Warehouse
 from shelfcast.session import apply_skew_settings, durable, publish_folder
+from shelfcast.sources.colocated import buckets_for, colocate, write_bucketed
 from shelfcast.sources.publish import forecast_publish, submission_form
 from shelfcast.sources.scan import TABLE_SCHEMAS, scan_typed
 
@@ -227,6 +228,21 @@ def _hybrid_metrics(w: Warehouse) -> DataFrame:
     return rounded(metrics, {"rmse": 4, "mae": 4, "r2": 6})
 
 
+def _order_line_shares(w: Warehouse) -> DataFrame:
+    """Each line beside its order's sums, from facts stored by order: no line moves in the join."""
+    lines, orders = w.stored_together(["fact_sales_item", "fact_orders"])
+    root = publish_folder(w.spark, "by-order")
+    buckets = buckets_for(lines.count())
+    by_order = colocate(
+        lines.select("order_id", "line_no", "status", "net"), os.path.join(root, "fact_sales_item"), "order_id", buckets
+    )
+    sums = orders.select("order_id", "line_count", F.col("net").alias("order_net"))
+    joined = by_order.join_one(write_bucketed(sums, os.path.join(root, "fact_orders"), "order_id", buckets))
+    return joined.select(
+        "order_id", "line_no", "status", "net", "order_net", "line_count", ratio("net", "order_net").alias("net_share")
+    )
+
+
 def _plain(name: str) -> Callable[[Warehouse], DataFrame]:
     return lambda w: w.table(name)
 
@@ -276,6 +292,7 @@ PLANS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "visitors_by_month": _plain("visitors_by_month"),
     "customers_by_month": _plain("customers_by_month"),
     **{name: _plain(name) for layer in ("dim", "fact", "mart") for name in LAYERS[layer]},
+    "order_line_shares": _order_line_shares,
     "report_business_overview": lambda w: reports.report_business_overview(w.table("fact_orders")),
     "report_profit_diagnostic": lambda w: reports.report_profit_diagnostic(
         w.table("fact_sales_item"), w.table("dim_promotion")

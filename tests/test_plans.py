@@ -12,7 +12,10 @@ from shelfcast.plans.queries import PLANS, run
 from shelfcast.plans.warehouse import Warehouse
 
 # These run jobs while they are built.
-EAGER = {"forecast_publish", "layer_publish", "residual_gbt", "hybrid_forecast", "trend_huber", "hybrid_metrics"}
+EAGER = {
+    "forecast_publish", "layer_publish", "residual_gbt", "hybrid_forecast", "trend_huber", "hybrid_metrics",
+    "order_line_shares",
+}
 
 
 # Standard output is shared by the threads that build tables side by side.

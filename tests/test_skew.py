@@ -17,7 +17,7 @@ QUERIES = (
     "quality_report", "fact_sales_item", "fact_orders", "fact_inventory_snapshot", "fact_web_traffic",
     "mart_sales_overview", "mart_product_performance", "mart_customer_insight", "mart_promotion_effectiveness",
     "mart_return_diagnostics", "mart_shipping_service", "mart_operations", "report_profit_diagnostic",
-    "report_segment_insight", "feat_traffic", "feat_expected_mean",
+    "report_segment_insight", "feat_traffic", "feat_expected_mean", "order_line_shares",
 )
 
 
