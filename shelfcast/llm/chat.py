@@ -4,7 +4,9 @@ The log has a row per event: conversation, slot (place of the message), seq, kin
 opens a message (role, first text), ``delta`` appends streamed text, ``edit`` replaces the text so far,
 ``regenerate`` empties it for a new answer. Stage one deals the log out by conversation and slot, sorts by sequence
 and folds each message; so a conversation that holds much of the log is folded by many tasks. Stage two deals the
-final messages out by conversation, sorts by slot and streams through them, holding one message at a time.
+final messages out by conversation, sorts by slot and streams through them, holding one message at a time. A
+digest of a conversation depends on its order from end to end, so one task reads a whole conversation there, and
+numbers its rows in ``events_of``.
 
 Template: ``### role: text</turn>\n`` per message. A backslash goes before each backslash, ``###``, ``</turn>`` and,
 in roles, colon of the content; so an unescaped ``</turn>`` always ends a turn.
@@ -186,7 +188,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def events_of(conversations: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
-    """The log that streaming these messages would leave: a start, then deltas of ``delta_chars`` characters.
+    """A log that such messages may leave: each starts empty and streams a draft (its first ``delta_chars`` characters
+    backwards) that does not last. An answer is then regenerated and streamed again in deltas of ``delta_chars``; any
+    other message is edited, which gives its first characters, and the rest is streamed.
 
     Slots number the rows of a conversation by turn, then role and text, so rows that repeat stay messages.
     """
@@ -195,14 +199,29 @@ def events_of(conversations: DataFrame, delta_chars: int = DELTA_CHARS) -> DataF
         F.col("conv_id").cast("bigint"), "turn", F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("slot", order.cast("bigint"))
-    parts = F.sequence(F.lit(0), F.ceil(F.length("text") / F.lit(float(delta_chars))).cast("int"))
-    return rows.select("conv_id", "slot", "role", "text", F.explode(parts).alias("seq")).select(
-        "conv_id", "slot", F.col("seq").cast("bigint"),
-        F.when(F.col("seq") == 0, "start").otherwise("delta").alias("kind"),
-        F.when(F.col("seq") == 0, F.col("role")).otherwise("").alias("role"),
-        F.when(F.col("seq") == 0, "").otherwise(
-            F.substring("text", (F.col("seq") - 1) * delta_chars + 1, F.lit(delta_chars))
-        ).alias("text"),
+    answer = F.col("role") == LOSS_ROLE
+    parts = F.ceil(F.length("text") / F.lit(float(delta_chars))).cast("int")
+    # Part 0 is the start, -1 the draft, -2 what ends it; the others are numbered from 1.
+    streamed = F.when(answer, F.sequence(F.lit(1), parts)).otherwise(F.sequence(F.lit(2), parts))
+    streamed = F.when(parts >= F.when(answer, 1).otherwise(2), streamed).otherwise(F.array().cast("array<int>"))
+    log = rows.select(
+        "conv_id", "slot", "role", "text", answer.alias("answer"),
+        F.explode(F.concat(F.array(F.lit(0), F.lit(-1), F.lit(-2)), streamed)).alias("part"),
+    )
+    first = F.substring("text", 1, delta_chars)
+    text = (
+        F.when(F.col("part") > 0, F.substring("text", (F.col("part") - 1) * delta_chars + 1, F.lit(delta_chars)))
+        .when(F.col("part") == -1, F.reverse(first))
+        .when((F.col("part") == -2) & ~F.col("answer"), first)
+        .otherwise("")
+    )
+    kind = (
+        F.when(F.col("part") == 0, "start").when(F.col("part") != -2, "delta").when(F.col("answer"), "regenerate")
+        .otherwise("edit")
+    )
+    return log.select(
+        "conv_id", "slot", F.when(F.col("part") > 0, F.col("part") + 2).otherwise(-F.col("part")).cast("bigint").alias("seq"),
+        kind.alias("kind"), F.when(F.col("part") == 0, F.col("role")).otherwise("").alias("role"), text.alias("text"),
     )
 
 

@@ -54,6 +54,19 @@ def test_messy_conversations(spark):
         assert got[conv]["formatted_chars"] == len("".join(render(r, t) for _, r, t in turns))
 
 
+def test_the_log_holds_what_does_not_last(spark):
+    texts = {"assistant": ["", "short", "x" * 7 + "long answer"], "user": ["", "brief", "0123456789" * 3, None]}
+    rows = [(1, i, role, t) for role, ts in texts.items() for i, t in enumerate(ts)]
+    log = events_of(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"), 8)
+    kinds = {}
+    for r in log.orderBy("slot", "seq").collect():
+        kinds.setdefault(r["slot"], []).append(r["kind"])
+    assert sorted(k for ks in kinds.values() for k in ks if k in ("edit", "regenerate")) == ["edit"] * 4 + ["regenerate"] * 3
+    assert all(ks[0] == "start" and ks[1] == "delta" for ks in kinds.values())
+    got = sorted((r["role"], r["text"]) for r in final_messages(log).collect())
+    assert got == sorted((role, t or "") for _, _, role, t in rows)
+
+
 def test_empty_log(spark):
     log = spark.createDataFrame([], EVENTS)
     assert read_back(format_chat(log)).count() == 0
