@@ -7,7 +7,12 @@ fallback. Because no piece holds a marker after another character, text can be c
 changing its pieces; so distinct stretches are encoded once, many to a string, in batches, by the library's threads. ``verify_parity``
 compares with the sentencepiece library.
 
-A model with a compiled character map other than identity is refused, since the backend could not be exact.
+User-defined pieces are taken out of the text first, the longest at each place, since the model never merges or splits
+them. The scores of a unigram model are summed in single precision from the beginning of a text, which decides between
+readings of equal score; the backend sums doubles, so ``Lattice`` reads whole texts for such a model instead.
+
+What could not be exact is refused by name: a compiled character map other than identity, unused pieces, user-defined
+pieces with a space or marker or in a unigram model, model types other than unigram and BPE.
 
 Defined results: a null text counts as empty (no pieces); rows that repeat give a row each; other columns are
 ignored; strings of control pieces inside texts are ordinary text; an empty table gives no rows.
@@ -31,7 +36,7 @@ from shelfcast.llm.tokens import byte_balanced, public_tokenizer
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Piece kinds of the model format (fixed values).
-NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
+NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Model types of the model format (fixed values).
 UNIGRAM, BPE = 1, 2
 #: Stretches that a task remembers, and the longest one it remembers.
@@ -41,6 +46,9 @@ MEMORY_CHARS = 64
 RUN_BYTES = 16_384
 #: Threads of the library within one task.
 THREADS = 2
+#: What an unknown character costs below the worst piece of a unigram model (fixed value).
+UNKNOWN_COST = 10.0
+SINGLE = struct.Struct("f")
 STRETCH = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -141,6 +149,11 @@ def backend(model: dict, words: bool = False):
     if model["charsmap"]:
         raise ValueError("the model's compiled character map is not supported")
     pieces = model["pieces"]
+    for piece, _, kind in pieces:
+        if kind == UNUSED:
+            raise ValueError(f"unused piece {piece!r} is not supported")
+        if kind == USER and (model["type"] == UNIGRAM or " " in piece or MARK in piece):
+            raise ValueError(f"user-defined piece {piece!r} is not supported")
     if model["type"] == BPE:
         vocabulary = {p: i for i, (p, _, _) in enumerate(pieces)}
         core = models.BPE(
@@ -159,13 +172,71 @@ def backend(model: dict, words: bool = False):
     return tokenizer
 
 
+def single(x: float) -> float:
+    """Rounded to single precision."""
+    return SINGLE.unpack(SINGLE.pack(x))[0]
+
+
+class Lattice:
+    """The best reading under a unigram model, with the library's roundings: every sum is rounded to single precision,
+    and of equal readings the first, that is the one with the longest last piece, stays."""
+
+    def __init__(self, model: dict):
+        pieces = model["pieces"]
+        plain = [s for _, s, kind in pieces if kind == NORMAL]
+        self.unknown = model["unknown"]
+        self.unknown_score = single(min(plain, default=0.0) - UNKNOWN_COST)
+        self.scores = {p: (s, i) for i, (p, s, kind) in enumerate(pieces) if kind == NORMAL}
+        self.begins = {p[:n] for p in self.scores for n in range(1, len(p) + 1)}
+        self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
+        self.fallback = model["byte_fallback"]
+
+    def encode(self, text: str) -> np.ndarray:
+        """Time grows with the length of the text times that of the longest piece."""
+        n = len(text)
+        best, came, piece = [0.0] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
+        scores, begins = self.scores, self.begins
+        for i in range(n):
+            here = best[i]
+            for j in range(i + 1, n + 1):
+                part = text[i:j]
+                if part not in begins:
+                    break
+                if part in scores:
+                    score, number = scores[part]
+                    offer = single(score + here)
+                    if came[j] < 0 or offer > best[j]:
+                        best[j], came[j], piece[j] = offer, i, number
+            if text[i] not in scores:
+                offer = single(self.unknown_score + here)
+                if came[i + 1] < 0 or offer > best[i + 1]:
+                    best[i + 1], came[i + 1], piece[i + 1] = offer, i, self.unknown
+        ids: list[int] = []
+        at, after = n, -1
+        while at:
+            start, number = came[at], piece[at]
+            if number != self.unknown:
+                ids.append(number)
+            elif self.fallback:
+                ids += [self.bytes[b] for b in reversed(text[start:at].encode())]
+            elif after != self.unknown:  # unknown characters in a row are one piece
+                ids.append(number)
+            at, after = start, number
+        return np.array(ids[::-1], np.int32)
+
+
 class Codec:
     """Encode and decode whole texts."""
 
     def __init__(self, data: bytes):
         self.model = parse_model(data)
         self.tokenizer, self.word_tokenizer = backend(self.model), backend(self.model, words=True)
+        self.lattice = Lattice(self.model) if self.model["type"] == UNIGRAM else None
         self.cuttable = cuttable(self.model)
+        user = {p: i for i, (p, _, kind) in enumerate(self.model["pieces"]) if kind == USER}
+        self.user = {p: np.array([i], np.int32).tobytes() for p, i in user.items()}
+        longest = sorted(map(re.escape, user), key=len, reverse=True)
+        self.user_pattern = re.compile("(" + "|".join(longest) + ")") if user else None
         self.opens = np.array([p.startswith(MARK) for p, _, _ in self.model["pieces"]])
         self.known: dict[str, bytes] = {}  # ids as int32
         self.bytes_of = []
@@ -183,14 +254,27 @@ class Codec:
         text = normalise(text, self.model)
         if not text:
             return []
+        if self.user_pattern:
+            out = []
+            for i, part in enumerate(self.user_pattern.split(text)):
+                if i % 2 or (part and not self.cuttable):
+                    out.append(part)
+                else:
+                    out += STRETCH.findall(part)
+            return out
         return STRETCH.findall(text) if self.cuttable else [text]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.lattice:
+            return [self.lattice.encode(normalise(t, self.model)) for t in texts]
         cut = [self.stretches(t) for t in texts]
         new = set().union(*cut).difference(self.known) if cut else set()
         if len(self.known) + len(new) > MEMORY_STRETCHES:
             self.known, new = {}, set().union(*cut)
         known = self.known
+        if self.user:
+            known.update(self.user)
+            new = new - self.user.keys()
         words = [s for s in new if len(s) > 1 and s[0] == MARK and s[1] != MARK] if self.cuttable else []
         for batch in byte_balanced(words, RUN_BYTES * 64):
             runs = list(byte_balanced(batch, RUN_BYTES))

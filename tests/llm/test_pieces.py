@@ -1,9 +1,12 @@
+import random
+import struct
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shelfcast.llm.pieces import (
-    BPE, BYTE, MODEL, NORMAL, UNKNOWN, backend, decode_ids, encode_documents, load_codec, merges_of, normalise,
+    BPE, BYTE, CONTROL, MODEL, NORMAL, UNIGRAM, UNKNOWN, UNUSED, USER, Codec, backend, decode_ids, encode_documents, load_codec, merges_of, normalise,
     op5_pieces, verify_parity,
 )
 from shelfcast.llm.tokens import public_tokenizer
@@ -61,6 +64,72 @@ def test_unigram_models_and_extra_white_space():
         backend(model | {"charsmap": b"x"})
 
 
+def field(number, value):
+    def varint(n):
+        out = b""
+        while n >= 0x80:
+            out += bytes([n & 0x7F | 0x80])
+            n >>= 7
+        return out + bytes([n])
+
+    if isinstance(value, bytes):
+        return varint(number << 3 | 2) + varint(len(value)) + value
+    if isinstance(value, float):
+        return varint(number << 3 | 5) + struct.pack("<f", value)
+    return varint(number << 3) + varint(value)
+
+
+def model_file(pieces, kind, fallback, squeeze=False):
+    """A model with identity normaliser, written by hand."""
+    out = b"".join(field(1, field(1, p.encode()) + field(2, float(s)) + field(3, k)) for p, s, k in pieces)
+    trainer = field(3, kind) + field(4, len(pieces)) + field(35, int(fallback))
+    normaliser = field(1, b"identity") + field(3, 1) + field(4, int(squeeze)) + field(5, 1)
+    return out + field(2, trainer) + field(3, normaliser)
+
+
+SPECIAL = [("<unk>", 0, UNKNOWN), ("<s>", 0, CONTROL), ("</s>", 0, CONTROL)]
+BYTES = [(f"<0x{b:02X}>", 0, BYTE) for b in range(256)]
+
+
+def agrees(data, alphabet, seed, n=400):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_proto=data)
+    codec, rng = Codec(data), random.Random(seed)
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(60))) for _ in range(n)] + ["", " ", alphabet[0] * 3000]
+    for text, ids in zip(texts, codec.encode(texts)):
+        expected = library.encode(text)
+        assert ids.tolist() == expected, text
+        assert codec.decode(ids) == library.decode(expected)
+
+
+@pytest.mark.parametrize("fallback", [True, False])
+@pytest.mark.parametrize("squeeze", [True, False])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_unigram_ties(seed, fallback, squeeze):
+    rng = random.Random(seed)
+    parts = {"".join(rng.choices("ab$", k=rng.randrange(1, 5))) for _ in range(40)} | {"$", "$$", "▁", "▁a", "▁$"}
+    scores = [-1.1, -2.3, -3.7, -4.6]  # so few that readings often tie
+    pieces = [*SPECIAL, *[(p, rng.choice(scores), NORMAL) for p in sorted(parts)], *(BYTES if fallback else [])]
+    agrees(model_file(pieces, UNIGRAM, fallback, squeeze), ["a", "b", "$", "$", " ", "é", "日"], seed)
+
+
+@pytest.mark.parametrize("fallback", [True, False])
+def test_user_defined_pieces(fallback):
+    pieces = [
+        *SPECIAL, ("<sep>", 0, USER), ("<sep><sep>", 0, USER), ("ba", 0, USER), ("▁", -9, NORMAL), ("a", -8, NORMAL),
+        ("b", -7, NORMAL), ("ab", -1, NORMAL), ("aab", -3, NORMAL), ("▁a", -2, NORMAL), ("▁ab", -4, NORMAL),
+        ("<", -10, NORMAL), ("s", -11, NORMAL), *(BYTES if fallback else []),
+    ]
+    agrees(model_file(pieces, BPE, fallback), ["a", "b", " ", "<sep>", "<s", "é", "<"], 4)
+
+
+def test_what_cannot_be_exact_is_refused():
+    for kind, piece in [(BPE, ("x", 0, UNUSED)), (BPE, ("a b", 0, USER)), (BPE, ("▁b", 0, USER)), (UNIGRAM, ("x", 0, USER)), (3, ("x", 0, NORMAL))]:
+        with pytest.raises(ValueError, match="not supported"):
+            Codec(model_file([*SPECIAL, ("a", -1, NORMAL), piece], kind, False))
+
+
 def test_messy_rows(spark, messy, empty, library):
     encoded = encode_documents(messy)
     rows = encoded.collect()
