@@ -22,7 +22,7 @@ no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -157,8 +157,10 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def cell_links(fps: np.ndarray, cells: np.ndarray, visitors: np.ndarray, bits: int) -> Iterator[tuple]:
-    """Forests of the links of whole cells; rows come sorted by cell, residents first."""
+def cell_links(
+    fps: np.ndarray, cells: np.ndarray, visitors: np.ndarray, bits: int, reduced: Callable = forest
+) -> Iterator[tuple]:
+    """Links of whole cells, ``reduced`` to forests as a rule; rows come sorted by cell, residents first."""
     first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
     size = np.diff(np.append(first, len(cells)))
     residents = np.add.reduceat((~visitors).astype(np.int64), first)
@@ -179,20 +181,23 @@ def cell_links(fps: np.ndarray, cells: np.ndarray, visitors: np.ndarray, bits: i
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
         close = np.bitwise_count(fps[i] ^ fps[j]) <= bits
         if close.any():
-            a, b = forest(fps[i[close]].view(np.int64), fps[j[close]].view(np.int64))
+            a, b = reduced(fps[i[close]].view(np.int64), fps[j[close]].view(np.int64))
             a_held.append(a)
             b_held.append(b)
             held += len(a)
             if held > PAIRS:
-                a, b = forest(np.concatenate(a_held), np.concatenate(b_held))
+                a, b = reduced(np.concatenate(a_held), np.concatenate(b_held))
                 a_held, b_held, held = [a], [b], len(a)
         at = to
     if a_held:
-        yield forest(np.concatenate(a_held), np.concatenate(b_held))
+        yield reduced(np.concatenate(a_held), np.concatenate(b_held))
 
 
-def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
-    """(u, v), u > v: edges that connect every two fingerprints within ``bits`` <= 3 bits; column fp."""
+def links(distinct: DataFrame, bits: int = BITS, reduced: Callable = forest) -> DataFrame:
+    """(u, v), u > v: edges that connect every two fingerprints within ``bits`` <= 3 bits; column fp.
+
+    ``reduced`` maps the links of some cells (two arrays of fingerprints as longs) to the edges that stand for them.
+    """
     if not 0 <= bits <= 3:
         raise ValueError("the grid covers distances up to 3")
     placed = divided(grid(distinct)).repartition("cell").sortWithinPartitions("cell", "visitor")
@@ -212,7 +217,7 @@ def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
                 part = whole.slice(0, cut)
                 fps = part["fp"].to_numpy().view(np.uint64)
                 visitors = part["visitor"].to_pandas().to_numpy(bool)
-                for a, b in cell_links(fps, cells[:cut], visitors, bits):
+                for a, b in cell_links(fps, cells[:cut], visitors, bits, reduced):
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
 
         least = 50_000
