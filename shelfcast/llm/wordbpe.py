@@ -5,7 +5,8 @@ white space, which neither normalisation nor a word of the tokenizer crosses, an
 through the tokenizer's own normaliser and pre-tokenizer; the strings of special tokens are cut out first, as the
 library does. All words of the table are counted on Spark; the frequent ones are compiled, with their ids as outputs,
 into a shared-suffix automaton in one file of the shared folder, which each executor fetches once and its tasks map
-into memory. A word that the lexicon lacks is merged exactly: the pair of lowest rank first, the leftmost of equal ones.
+into memory. Words that the lexicon lacks are merged exactly, many side by side: in each word the pair of lowest rank
+first, the leftmost of equal ones.
 
 The lexicon decides how an id is found, never which: with any lexicon, an empty one too, results are the same.
 
@@ -35,10 +36,12 @@ MODEL = "word_bpe_49k.json"
 #: A word is frequent if it makes up one in so many of all words that repeat; so there are at most as many.
 LEXICON_SHARE = 1 << 18
 WORD_CHARS = 48
-#: Merged words, and words of odd stretches, that a task remembers; longer ones than WORD_CHARS never.
+#: Ids of words, and words of odd stretches, that a task remembers; longer ones than WORD_CHARS never.
 MEMORY_ENTRIES = 200_000
 #: Bytes of a word from which on merging takes a heap.
 HEAP_BYTES = 64
+#: Words that are merged side by side at once.
+STEP_WORDS = 8192
 
 STRETCH = re.compile(r"[^\t-\r ]+")
 # Characters that no neighbour of theirs changes in normalisation; the letters are letters in every Unicode version.
@@ -78,6 +81,14 @@ class Merger:
         self.byte_of = {letter: byte for byte, letter in letters.items()}
         self.inner = [vocabulary[letters[b]] for b in range(256)]
         self.last = [vocabulary[letters[b] + suffix] for b in range(256)]
+        size = max(*vocabulary.values(), -1) + 1
+        keys = np.array([a * (size + 1) + b for a, b in self.rank], np.int64)
+        order = np.argsort(keys)
+        # Pairs of parts as sorted numbers, with their ranks; ``size`` stands for no part.
+        self.no_part, self.pair_keys = size, np.append(keys[order], np.iinfo(np.int64).max)
+        self.pair_ranks = np.append(np.array([*self.rank.values()], np.int32)[order], np.int32(len(pairs)))
+        self.made_of = np.array(self.made, np.int64)
+        self.inner_of, self.last_of = np.array(self.inner, np.int64), np.array(self.last, np.int64)
         self.written = [""] * (max(*vocabulary.values(), *self.added.values(), 0) + 1)
         for token, number in (*vocabulary.items(), *self.added.items()):
             self.written[number] = token
@@ -146,6 +157,60 @@ class Merger:
                         heapq.heappush(heap, (found, left))
         return [p for p in part if p >= 0]
 
+    def ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs a-b of parts; the number of merges where a pair has none."""
+        key = a * (self.no_part + 1) + b
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], np.int32(len(self.made)))
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as bytes of 32-bit numbers: short words in step, a merge in each at a time."""
+        out = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        low = 0
+        for high in (6, 8, 10, 12, 16, 24, 32, HEAP_BYTES):
+            chosen = np.flatnonzero((sizes > low) & (sizes <= high))
+            low = high
+            for at in range(0, len(chosen), STEP_WORDS):
+                part = chosen[at : at + STEP_WORDS]
+                for i, ids in zip(part.tolist(), self._merge_in_step([words[i] for i in part], sizes[part])):
+                    out[i] = ids
+        for i in np.flatnonzero(sizes > HEAP_BYTES).tolist():
+            out[i] = np.array(self.merge(words[i]), np.int32).tobytes()
+        return out
+
+    def _merge_in_step(self, words: list[bytes], sizes: np.ndarray) -> list[bytes]:
+        """Words as rows of a matrix whose last column is no part; parts are linked lists, a merged one is left out."""
+        n, width, none = len(words), int(sizes.max()), len(self.made)
+        row, column = np.arange(n), np.arange(width)
+        inside = column < sizes[:, None]
+        part = np.full((n, width + 1), self.no_part, np.int64)
+        part[:, :width][inside] = self.inner_of[np.frombuffer(b"".join(words), np.uint8)]
+        part[row, sizes - 1] = self.last_of[np.frombuffer(b"".join([w[-1:] for w in words]), np.uint8)]
+        after = np.tile(np.append(column + 1, width), (n, 1))
+        after[row, sizes - 1] = width
+        before = np.tile(np.append(column - 1, width), (n, 1))
+        before[:, 0] = width
+        rank = np.full((n, width + 1), none, np.int32)
+        rank[:, :width] = self.ranks_of(part[:, :-1].ravel(), part[:, 1:].ravel()).reshape(n, width)
+        while len(row):
+            i = rank[row].argmin(axis=1)
+            least = rank[row, i]
+            going = least < none
+            row, i, least = row[going], i[going], least[going]
+            j = after[row, i]
+            h, k = before[row, i], after[row, j]
+            part[row, i], part[row, j] = self.made_of[least], self.no_part
+            after[row, i], before[row, k] = k, i
+            rank[row, j] = none
+            rank[row, i] = self.ranks_of(part[row, i], part[row, k])
+            rank[row, h] = self.ranks_of(part[row, h], part[row, i])
+            before[row, width] = after[row, width] = width
+        left = part != self.no_part
+        ids = part[left].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(left.sum(axis=1))).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
     def decode(self, ids: np.ndarray) -> str:
         """The written tokens with a space between each two: the file has no decoder."""
         written = self.written
@@ -153,11 +218,12 @@ class Merger:
 
 
 class Encoder:
-    """Texts to ids: words by the lexicon, others by merging."""
+    """Texts to ids: words by the lexicon, others by merging; a task looks a word up once while it remembers it."""
 
     def __init__(self, merger: Merger, lexicon: Transducer):
         self.merger, self.lexicon = merger, lexicon
-        self.merged: dict[bytes, bytes] = {}
+        self.special = {i: np.array([i], np.int32).tobytes() for i in merger.added.values()}
+        self.found: dict[str | bytes | int, bytes] = dict(self.special)
         self.cut: dict[str, list] = {}
 
     def _odd(self, stretch: str) -> list[str | bytes | int]:
@@ -178,35 +244,38 @@ class Encoder:
             out += WORD.findall(stretch.lower()) if self.merger.is_plain(stretch) else self._odd(stretch)
         return out
 
-    def _merge(self, word: bytes) -> bytes:
-        if word not in self.merged:
-            ids = np.array(self.merger.merge(word), np.int32).tobytes()
-            if len(word) > WORD_CHARS:
-                return ids
-            if len(self.merged) >= MEMORY_ENTRIES:
-                self.merged = {}
-            self.merged[word] = ids
-        return self.merged[word]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self._words(t) for t in texts]
-        units = list(set().union(*cut)) if cut else []
-        words = [u for u in units if not isinstance(u, int)]
+    def _look_up(self, words: list[str | bytes]) -> list[bytes]:
         raw = [w if isinstance(w, bytes) else w.encode() for w in words]
         known, ids, places = self.lexicon.lookup(raw)
         packed = np.ascontiguousarray(ids, np.int32).tobytes()
-        found: dict[str | bytes | int, bytes] = {
-            u: np.array([u], np.int32).tobytes() for u in units if isinstance(u, int)
-        }
         at = (4 * places).tolist()
         place = iter(zip(at, at[1:]))
-        for word, word_bytes, is_known in zip(words, raw, known.tolist()):
+        known = known.tolist()
+        merged = iter(self.merger.merge_many([w for w, is_known in zip(raw, known) if not is_known]))
+        out = []
+        for is_known in known:
             if is_known:
                 a, b = next(place)
-                found[word] = packed[a:b]
+                out.append(packed[a:b])
             else:
-                found[word] = self._merge(word_bytes)
-        return [np.frombuffer(b"".join(map(found.__getitem__, c)), np.int32) for c in cut]
+                out.append(next(merged))
+        return out
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [self._words(t) for t in texts]
+        units = set().union(*cut)
+        new = list(units.difference(self.found))
+        if len(self.found) + len(new) > MEMORY_ENTRIES:
+            self.found = dict(self.special)
+            new = list(units.difference(self.found))
+        self.found.update(zip(new, self._look_up(new)))
+        out = [np.frombuffer(b"".join(map(self.found.__getitem__, c)), np.int32) for c in cut]
+        for word in new:
+            if len(word) > WORD_CHARS:
+                del self.found[word]
+        if len(self.found) > MEMORY_ENTRIES:  # of a single long text
+            self.found = dict(self.special)
+        return out
 
 
 def word_counts(documents: DataFrame, text_column: str = "text") -> DataFrame:

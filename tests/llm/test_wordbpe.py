@@ -99,6 +99,32 @@ def test_both_ways_of_merging(merger, word):
     assert merger._merge_short(list(part)) == merger._merge_long(list(part))
 
 
+@given(st.lists(st.one_of(
+    st.text("abcdeilnorst'é", min_size=1, max_size=40).map(str.encode), st.binary(min_size=1, max_size=100),
+    st.sampled_from([b"a", b"aaaaaaaaa", b"x" * 64, b"x" * 65, b""]),
+), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_words_merged_side_by_side(merger, words):
+    assert [np.frombuffer(ids, np.int32).tolist() for ids in merger.merge_many(words)] == [merger.merge(w) for w in words]
+
+
+def test_a_word_is_looked_up_once(monkeypatch, merger):
+    """Later texts ask only for new words; forgetting, long words and special tokens change no id."""
+    import shelfcast.llm.wordbpe as module
+
+    task = Encoder(merger, lexicon(merger, WORDS))
+    asked, look_up = [], task.lexicon.lookup
+    monkeypatch.setattr(task.lexicon, "lookup", lambda words: asked.append(sorted(words)) or look_up(words))
+    texts = ["the walking qzx", "walking qzx the new", "x" * 60 + " <|endoftext|> the naïve日", "x" * 60]
+    for text in texts:
+        assert task.encode([text])[0].tolist() == library(merger, text)[0]
+    assert asked[:2] == [[b"qzx", b"the", b"walking"], [b"new"]] and asked[3] == [b"x" * 60]
+    monkeypatch.setattr(module, "MEMORY_ENTRIES", 5)
+    for text in [*texts, " ".join(f"w{i}x" for i in range(30)), *texts]:
+        assert task.encode([text])[0].tolist() == library(merger, text)[0]
+        assert len(task.found) <= 5
+
+
 def test_plain_characters_are_what_they_are_taken_for(merger):
     import unicodedata
 
