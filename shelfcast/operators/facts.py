@@ -67,6 +67,19 @@ def order_sums(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id").agg(F.count("*").alias("line_count"), *summed(ORDER_SUMS))
 
 
+def line_sums(lines: DataFrame) -> DataFrame:
+    """``line_count`` and ``order_net`` of each order, as ``fact_orders`` has them."""
+    sums = lines.groupBy("order_id").agg(F.count("*").alias("line_count"), F.sum("net").alias("order_net"))
+    return sums.withColumn("order_net", or_zero(sums, "order_net"))
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """A row for every row whose key stands several times. A left join with them repeats rows just as one with the
+    whole table does; since they are few as a rule, it need not move the other side once they are stored."""
+    often = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    return often.select(key, F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("nth")).select(key)
+
+
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
     """One row per order, also for an order without lines. Lines are summed before the
     join, so a long order reaches it as one row."""

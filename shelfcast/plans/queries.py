@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.calendar import calendar_parts
 from shelfcast.functions.exact import AMOUNT_DIGITS, RATE_DIGITS, doubles, ratio
-from shelfcast.operators import cleaning, features, model, seasonal
+from shelfcast.operators import cleaning, facts, features, model, seasonal
 from shelfcast.operators.seasonal import TARGETS
 from shelfcast.plans import reports
 from shelfcast.plans.warehouse import LAYERS, Warehouse
-from shelfcast.session import apply_skew_settings, durable, publish_folder
+from shelfcast.session import apply_skew_settings, durable, publish_folder, shuffles_cleared
 from shelfcast.sources.colocated import buckets_for, colocate, write_bucketed
 from shelfcast.sources.publish import forecast_publish, submission_form
 from shelfcast.sources.scan import TABLE_SCHEMAS, scan_typed
@@ -229,16 +229,15 @@ def _hybrid_metrics(w: Warehouse) -> DataFrame:
 
 
 def _order_line_shares(w: Warehouse) -> DataFrame:
-    """Each line beside its order's sums, from facts stored by order: no line moves in the join."""
-    lines, orders = w.stored_together(["fact_sales_item", "fact_orders"])
-    root = publish_folder(w.spark, "by-order")
-    buckets = buckets_for(lines.count())
-    by_order = colocate(
-        lines.select("order_id", "line_no", "status", "net"), os.path.join(root, "fact_sales_item"), "order_id", buckets
-    )
-    sums = orders.select("order_id", "line_count", F.col("net").alias("order_net"))
-    joined = by_order.join_one(write_bucketed(sums, os.path.join(root, "fact_orders"), "order_id", buckets))
-    return joined.select(
+    """Each line beside its order's sums. Lines are stored by order once, with no more than is asked for; then neither
+    the sums nor the join move one. Rows of a key that repeats are repeated as in the facts."""
+    with shuffles_cleared(w.spark):
+        root = publish_folder(w.spark, "by-order")
+        lines = w.line_amounts()
+        buckets = buckets_for(w.table("lines").count())
+        by_order = colocate(lines, os.path.join(root, "lines"), "order_id", buckets)
+        headers = write_bucketed(w.order_headers(), os.path.join(root, "orders"), "order_id", buckets)
+    return by_order.beside(facts.line_sums).join_one(headers).select(
         "order_id", "line_no", "status", "net", "order_net", "line_count", ratio("net", "order_net").alias("net_share")
     )
 

@@ -141,6 +141,26 @@ class Warehouse:
             return self.table("fact_sales_item")
         return facts.sales_lines(self.table("order_items"), self.table("orders"))
 
+    def line_amounts(self) -> DataFrame:
+        """order_id, line_no and net of the lines of ``order_items``; a scan, where no product repeats."""
+        if "order_items" in self._published:
+            return self.table("order_items").select("order_id", "line_no", "net")
+        products = durable(facts.repeated_keys(self.table("products"), "product_id"), "repeated-products")
+        lines = self.table("lines").select(
+            "order_id", "line_no", "product_id", roles.net_of(self.table("lines")).decimal().alias("net")
+        )
+        return lines.join(products, "product_id", "left").select("order_id", "line_no", "net")
+
+    def order_headers(self) -> DataFrame:
+        """order_id and status of the orders, each as often as a line of it meets the rows of ``fact_sales_item``'s
+        header and of ``fact_orders``."""
+        customers = self.table("customers").join(self.table("geography").select("nation_id"), "nation_id", "left")
+        orders = self.table("orders").select("order_id", "customer_id", "status")
+        often = durable(facts.repeated_keys(customers.select("customer_id"), "customer_id"), "repeated-customers")
+        twice = durable(facts.repeated_keys(orders.select("order_id"), "order_id"), "repeated-orders")
+        headers = orders.join(often, "customer_id", "left").join(twice, "order_id", "left")
+        return headers.select("order_id", "status")
+
     def stored(self, name: str) -> DataFrame:
         """A table that the caller scans several times, computed once."""
         if name not in self._published:

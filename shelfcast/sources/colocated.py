@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import os
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from shelfcast.session import durable
+from shelfcast.session import CODEC, durable
 
 #: Rows of one bucket. The number of buckets is a power of two, so that tables of different sizes still meet.
 BUCKET_ROWS = 5_000_000
@@ -32,6 +33,13 @@ class Colocated:
     def all(self) -> DataFrame:
         return self.near.unionByName(self.apart)
 
+    def beside(self, sums: Callable[[DataFrame], DataFrame]) -> Colocated:
+        """Each row beside its key's row of ``sums``, which maps a frame to one row per key. All rows of a key lie in
+        one of the two parts, so neither meets the sums of the other. Rows without a key go."""
+        return replace(
+            self, near=self.near.join(sums(self.near), self.key), apart=self.apart.join(sums(self.apart), self.key)
+        )
+
     def join_one(self, other: DataFrame, how: str = "inner") -> DataFrame:
         """Join with a table that has one row per key, ``inner`` or ``left``.
 
@@ -66,13 +74,15 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFram
     """One file per bucket, sorted by the key: the exchange deals rows out as the buckets do."""
     name = f"bucketed_{uuid.uuid4().hex}"
     writer = df.repartition(buckets, F.col(f"`{key}`")).write.format("parquet").option("path", path)
+    writer = writer.option("compression", CODEC)
     writer.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     df.sparkSession.sql(f"drop table {name}")  # the files stay
     return bucketed_files(df.sparkSession, path, df.schema, key, buckets)
 
 
 def colocate(df: DataFrame, root: str, key: str, buckets: int, hot_rows: int = HOT_ROWS) -> Colocated:
-    """Store a long table by key under ``root``. ``df`` is read twice, so it should be a stored table.
+    """Store a long table by key under ``root``. ``df`` is read three times, so it should be a stored table, or a scan
+    of one.
 
     A table without rows gives empty parts; repeated rows stay. Rows without a key match nothing, and
     so are dealt out with the hot ones.
@@ -86,5 +96,5 @@ def colocate(df: DataFrame, root: str, key: str, buckets: int, hot_rows: int = H
     )
     apart = os.path.join(root, "apart")
     rest = df.where(F.col(key).isNull()).unionByName(df.join(hot, key, "left_semi").select(*df.columns))
-    rest.write.parquet(apart)
+    rest.write.option("compression", CODEC).parquet(apart)
     return Colocated(key, near, spark.read.schema(df.schema).parquet(apart), hot)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from shelfcast.session import CODEC
+
 
 def submission_form(forecast: DataFrame) -> DataFrame:
     """Date as yyyy-MM-dd text, Revenue, COGS."""
@@ -43,11 +45,12 @@ def publish_table(df: DataFrame, path: str, year_of: str | None = None, date: st
     )
     seen = Observation()
     if year_of is None:
-        df.observe(seen, *metrics).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+        writer = df.observe(seen, *metrics).write.mode("overwrite").option("compression", CODEC)
+        writer.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     else:
         yearly = df if "year" in df.columns else df.withColumn("year", F.year(year_of))
         gathered = yearly.hint("rebalance", "year").observe(seen, *metrics)
-        gathered.write.mode("overwrite").partitionBy("year").parquet(path)
+        gathered.write.mode("overwrite").option("compression", CODEC).partitionBy("year").parquet(path)
     return seen.get
 
 
@@ -68,7 +71,7 @@ def publish_years(df: DataFrame, path: str, year_of: str, held: Sequence[int | N
     metrics = [F.count_if(F.col("year").eqNullSafe(F.lit(y))).alias(f"rows_{i}") for i, y in enumerate(held)]
     gathered = yearly.hint("rebalance", "year").observe(seen, F.count(F.lit(1)).alias("rows"), *metrics)
     writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("year").parquet(path)
+    writer.option("compression", CODEC).partitionBy("year").parquet(path)
     counts = seen.get
     for i, year in enumerate(held):
         if not counts[f"rows_{i}"]:

@@ -77,7 +77,7 @@ def stg_lines(
     )
 
 
-def _net(lines: DataFrame) -> Scaled:
+def net_of(lines: DataFrame) -> Scaled:
     return Scaled.of(lines, "gross_n") * Scaled.of(lines, "discount_n").complement()
 
 
@@ -94,7 +94,7 @@ def stg_items(lines: DataFrame, products: DataFrame, carried: Sequence[str] = ()
     )
     priced = lines.join(prices, "product_id", "left")
     units, gross = Scaled.of(priced, "units_n"), Scaled.of(priced, "gross_n")
-    net, fee = _net(priced), _fee(priced)
+    net, fee = net_of(priced), _fee(priced)
     cogs = (units * Scaled.of(priced, "price_n")).or_zero()
     returned = F.col("is_returned")
     return_amount = net.where(returned)
@@ -184,7 +184,7 @@ def stg_returns(lines: DataFrame) -> DataFrame:
         "order_id",
         "product_id",
         Scaled.of(lines, "units_n").decimal().alias("units"),
-        _net(lines).decimal().alias("return_amount"),
+        net_of(lines).decimal().alias("return_amount"),
         F.col("line_status").alias("reason"),
     )
 
