@@ -2,13 +2,14 @@
 
 import datetime as dt
 import os
+import time
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.operators import dims, facts, features
-from shelfcast.plans import marts, reports
+from shelfcast.plans import marts, reports, warehouse
 from shelfcast.plans.queries import run
 from shelfcast.plans.warehouse import DATA_LAYERS, LAYERS, YEAR_OF, Warehouse
 from shelfcast.session import publish_folder, shared_folder
@@ -243,3 +244,36 @@ def test_queries_do_not_depend_on_the_session_time_zone(spark, small):
             assert sorted(map(str, run(name, spark, small).collect())) == rows[name]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_long_tables_are_written_one_at_a_time_and_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    """Shuffle files of one long table lie on the disks at a time, and go with the job that made them."""
+    open_now, most, cleared = [], [], []
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    publish, held = warehouse.publish_table, spark.conf.get(key, None)
+
+    def watched(df, path, year_of=None, date=None):
+        name = path.rsplit("/", 1)[1]
+        open_now.append(name)
+        most.append(sum(n in warehouse.LONG for n in open_now))
+        cleared.append(spark.conf.get(key))
+        time.sleep(0.2)
+        seen = publish(df, path, year_of, date)
+        open_now.remove(name)
+        return seen
+
+    monkeypatch.setattr(warehouse, "publish_table", watched)
+    w = Warehouse(spark, "nowhere")
+    names = ("orders", "shipments", "payments", "customers", "geography")
+    for n, name in enumerate(names):
+        days = spark.range(40).selectExpr("id % 7 as k", "date '1999-12-20' + cast(id as int) as order_date", "current_date() as ship_date")
+        w.use(name, days.groupBy("order_date", "ship_date").agg(F.count("k").alias("n"), F.lit(n).alias("of")), published=False)
+    w.publish_layer("processed", names, str(tmp_path))
+    assert max(most) == 1 and cleared == ["true"] * len(names)
+    assert spark.conf.get(key, None) == held
+    for n, name in enumerate(names):
+        assert {(r["n"], r["of"]) for r in w.table(name).collect()} == {(1, n)} and w.table(name).count() == 40
+    kept = {r["table_name"]: r["row_count"] for r in w._counts.collect()}
+    assert kept == dict.fromkeys(names, 40)
+    codecs = {p.name.split(".")[-2] for p in tmp_path.glob("processed/**/*.parquet")}
+    assert codecs == {"zstd"}
