@@ -253,3 +253,58 @@ def test_links_of_a_tight_group_are_thinned_and_connect_the_same():
     assert reached == set(map(int, nodes))
     few = nearcopies.close_pairs(np.array([5, 1, 5]), np.array([1, 5, 9]))
     assert sorted(zip(*few)) == [(5, 1), (9, 5)]
+
+
+@pytest.mark.parametrize("seed", [6098, 33728, 36729])
+def test_a_pair_that_shares_no_band_is_linked(spark, seed):
+    """Similarity 0.8 just so; no band in common, and fingerprints more than 3 bits apart."""
+    words = [f"w{seed}x{i}" for i in range(14)]
+    pair = [" ".join(words[:13]), " ".join(words[1:])]
+    a, b = (signature(t.encode()) for t in pair)
+    assert jaccard(*pair) == 0.8 and not any(p == q for p, q in zip(a[2], b[2])) and (a[4] ^ b[4]).bit_count() > 3
+    rows = [(1, pair[0], "en"), (2, pair[1], "en"), (3, sentence(1, 40), "en"), (None, pair[1], "en")]
+    frame = spark.createDataFrame(rows_of(rows), SCHEMA)
+    assert {r["doc_id"]: r["component"] for r in near_copies(frame).collect()} == {1: 1, 2: 1, 3: 3, None: 1}
+
+
+@pytest.mark.parametrize("size", [300, 3])
+def test_no_link_rests_on_the_grid_or_the_bands(spark, monkeypatch, size):
+    """Shared shingles alone name every pair, also within a large group, whatever a slice of documents holds."""
+    monkeypatch.setattr(nearcopies, "OWNERS", size)
+    for name in ("grid_candidates", "band_candidates"):
+        monkeypatch.setattr(nearcopies, name, lambda classes, *rest, f=getattr(nearcopies, name): f(classes, *rest).limit(0))
+    rng = random.Random(6)
+    texts = pairs_at_the_border(9, [rng.choice([5, 6, 9, 11, 25, 60, 120]) for _ in range(80)])
+    template = sentence(77, 60).split()
+    for i in range(60):
+        words = template[:]
+        for _ in range(rng.randrange(1, 4)):
+            words[rng.randrange(60)] = f"n{rng.randrange(10_000)}"
+        texts.append(" ".join(words))
+    texts += ["a " * n for n in range(1, 9)] + ["", "b", texts[0], texts[3].upper()]
+    expected, links = groups_by_force(texts)
+    assert links > 60
+    frame = spark.createDataFrame(rows_of([(i, t, "en") for i, t in enumerate(texts)]), SCHEMA).repartition(3)
+    got = {r["doc_id"]: r["component"] for r in near_copies(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == expected
+
+
+def test_pairs_that_meet_hold_all_similar_ones_and_none_of_one_group(spark):
+    rng = random.Random(12)
+    sets = []
+    for _ in range(12):
+        base = rng.sample(range(60), rng.randrange(1, 14))
+        sets += [sorted({*rng.sample(base, max(1, len(base) - rng.randrange(3))), *rng.sample(range(60), rng.randrange(2))}) for _ in range(6)]
+    group = [i % 12 // 3 if i % 5 == 0 else i for i in range(len(sets))]
+    similar = {
+        (j, i) for i in range(len(sets)) for j in range(i + 1, len(sets))
+        if 5 * len({*sets[i]} & {*sets[j]}) >= 4 * len({*sets[i]} | {*sets[j]})
+    }
+    assert len(similar) > 30
+    frame = spark.createDataFrame(list(enumerate(sets)), "id bigint, hashes array<bigint>")
+    named = spark.createDataFrame([(i, g) for i, g in enumerate(group) if g != i], "id bigint, joined bigint")
+    got = {(r["u"], r["v"]) for r in nearcopies.meeting(frame, named).collect()}
+    assert {(u, v) for u, v in similar if group[u] != group[v]} <= got
+    assert all(group[u] != group[v] for u, v in got)
+    one = spark.createDataFrame([(i, 0) for i in range(len(sets))], "id bigint, joined bigint")
+    assert nearcopies.meeting(frame, one).count() == 0
